@@ -105,9 +105,11 @@ def expired_points(points: DataFrame, time: str = "event_time",
     spread by point and no station gathers in one task. ``time`` is the time of arrival; append
     mode emits a point when the watermark reaches the end of its session.
     """
-    arrived = points.withWatermark(time, "0 seconds")
-    own = F.session_window(F.col(time), f"{lifetime} seconds")
-    ended = arrived.groupBy(own.alias("_shown"), *points.columns).agg(
-        F.count(F.lit(1)).alias("copies")
+    arrived = points.withWatermark(time, "0 seconds").withColumn("_at", F.unix_micros(time))
+    own = F.session_window(F.col(time), f"{lifetime} seconds").alias("_shown")
+    others = [c for c in points.columns if c != time]
+    ended = arrived.groupBy(own, *others, "_at").agg(F.count(F.lit(1)).alias("copies"))
+    return ended.select(
+        *others, F.timestamp_micros("_at").alias(time), "copies",
+        F.timestamp_micros(F.unix_micros(F.col("_shown.end"))).alias("expired_at"),
     )
-    return ended.select(*points.columns, "copies", F.col("_shown.end").alias("expired_at"))
