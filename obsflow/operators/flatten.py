@@ -40,26 +40,30 @@ def _is_whole(element: Column, fields) -> Column:
     return whole
 
 
-def _parse(payloads: DataFrame, column: str, schema: StructType) -> DataFrame:
+def _parsed(column: str, schema: StructType) -> Column:
     read = StructType([*schema.fields, StructField(_CORRUPT, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    return payloads.withColumn("_payload", F.from_json(column, read, options))
+    return F.from_json(column, read, options)
 
 
-def _elements(array: str, fields, also: Column | None = None) -> Column:
-    return _elements_of(f"_payload.{array}", fields, also)
+def _whole_list(payload: Column, array: str, fields) -> Column:
+    """True where the payload has the list and no element of it misses a field."""
+    elements = F.forall(payload[array], lambda e: F.coalesce(_is_whole(e, fields), F.lit(False)))
+    return F.coalesce(elements, F.lit(False))
 
 
-def _elements_of(array: str, fields, also: Column | None = None) -> Column:
-    """The payload's list where the payload is whole, null elsewhere."""
-    items = F.col(array)
-    whole = F.forall(items, lambda element: F.coalesce(_is_whole(element, fields), F.lit(False)))
-    return F.when(whole if also is None else whole & also, items)
+def _whole_group(fields):
+    return lambda payload: _whole_list(payload, "list", fields)
 
 
-def _has_position(payload: str | None = "_payload") -> Column:
-    prefix = f"{payload}." if payload else ""
-    return F.col(f"{prefix}lon").isNotNull() & F.col(f"{prefix}lat").isNotNull()
+def _whole_history(payload: Column) -> Column:
+    placed = payload["lon"].isNotNull() & payload["lat"].isNotNull()
+    return placed & _whole_list(payload, "hourly", _HISTORY_FIELDS.values())
+
+
+def _payload_where(parsed: Column, wanted) -> Column:
+    """Rows of the parsed payload where ``wanted`` holds; parses once, unlike a filter."""
+    return F.explode(F.filter(F.array(parsed), wanted)).alias("_payload")
 
 
 def explode_conditions(rows: DataFrame, column: str = "conditions", out: str = "weather",
@@ -78,9 +82,8 @@ def explode_conditions(rows: DataFrame, column: str = "conditions", out: str = "
 def flatten_group(payloads: DataFrame, column: str = "value", extended: bool = False) -> DataFrame:
     """Payloads of several stations to raw observations; ``extended`` adds id, tempmin, tempmax."""
     fields = _EXTENDED_FIELDS if extended else _GROUP_FIELDS
-    items = _parse(payloads, column, GROUP).select(
-        F.explode(_elements("list", fields.values())).alias("_e")
-    )
+    whole = payloads.select(_payload_where(_parsed(column, GROUP), _whole_group(fields.values())))
+    items = whole.select(F.explode("_payload.list").alias("_e"))
     rows = items.select(
         *[_field(F.col("_e"), path).alias(c) for c, path in fields.items()],
         F.col("_e.weather.main").alias("conditions"),
@@ -95,22 +98,23 @@ def flatten_history(payloads: DataFrame, column: str = "value", name: str = "nam
     Several conditions in one hour give several rows with the same ``ts``; ``position`` names a
     column that keeps their order.
     """
-    items = _parse(payloads, column, HISTORY).select(
-        F.col(name).alias("name"), F.col("_payload.lon").alias("lon"),
-        F.col("_payload.lat").alias("lat"),
-        F.explode(_elements("hourly", _HISTORY_FIELDS.values(), _has_position())).alias("_e"),
+    whole = payloads.select(
+        F.col(name).alias("name"), _payload_where(_parsed(column, HISTORY), _whole_history)
     )
-    return _history_rows(items, position)
+    return _history_rows(whole, position)
 
 
 def flatten_history_documents(documents: DataFrame, position: str | None = None) -> DataFrame:
     """Like ``flatten_history`` for documents read by ``sources.files.read_history``."""
-    elements = _elements_of("hourly", _HISTORY_FIELDS.values(), _has_position(None))
-    items = documents.select("name", "lon", "lat", F.explode(elements).alias("_e"))
-    return _history_rows(items, position)
+    payload = F.struct("lon", "lat", "hourly")
+    return _history_rows(documents.select("name", _payload_where(payload, _whole_history)), position)
 
 
-def _history_rows(items: DataFrame, position: str | None) -> DataFrame:
+def _history_rows(payloads: DataFrame, position: str | None) -> DataFrame:
+    items = payloads.select(
+        "name", F.col("_payload.lon").alias("lon"), F.col("_payload.lat").alias("lat"),
+        F.explode("_payload.hourly").alias("_e"),
+    )
     rows = items.select(
         "name", "lon", "lat",
         *[_field(F.col("_e"), path).alias(c) for c, path in _HISTORY_FIELDS.items()],
@@ -123,13 +127,13 @@ def _history_rows(items: DataFrame, position: str | None) -> DataFrame:
 def rejected_payloads(payloads: DataFrame, column: str = "value", kind: str = "group") -> DataFrame:
     """Payloads the flattening leaves out: unreadable ones and ones that miss a required field."""
     if kind == "group":
-        parsed, usable = _parse(payloads, column, GROUP), _elements("list", _GROUP_FIELDS.values())
+        schema, whole = GROUP, _whole_group(_GROUP_FIELDS.values())
     elif kind == "history":
-        parsed = _parse(payloads, column, HISTORY)
-        usable = _elements("hourly", _HISTORY_FIELDS.values(), _has_position())
+        schema, whole = HISTORY, _whole_history
     else:
         raise ValueError(f"unknown kind {kind!r}")
-    return parsed.filter(usable.isNull()).drop("_payload")
+    broken = _payload_where(_parsed(column, schema), lambda payload: ~whole(payload))
+    return payloads.select("*", broken).drop("_payload")
 
 
 def drop_section(payloads: DataFrame, column: str, schema: DataType) -> DataFrame:

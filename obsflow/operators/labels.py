@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from obsflow.constants import LABEL_SHIFT_ROWS
 from obsflow.functions.weather import merge_weather, utc_hour
-from obsflow.operators.ordered import shift_rows
+from obsflow.operators.ordered import join_unique, shift_rows
 from obsflow.schemas import TRAIN_COLUMNS
 
 _LABELS = {"weather_forecast": "weather", "temp_forecast": "temp"}
@@ -29,7 +29,7 @@ def label_lead(df: DataFrame, rows: int = LABEL_SHIFT_ROWS, outputs=None, keys=(
 
 
 def label_at_offset(df: DataFrame, hours: int = 3, outputs=None, key: str = "name",
-                    order=("ts", "event_id")) -> DataFrame:
+                    order=("ts", "event_id"), max_rows=None) -> DataFrame:
     """Labels from the last row of the hour ``hours`` later; null where that hour has no row.
 
     The label side is first reduced to one row per station and hour, so a hot hour is combined
@@ -38,13 +38,13 @@ def label_at_offset(df: DataFrame, hours: int = 3, outputs=None, key: str = "nam
     outputs = outputs or _LABELS
     hour = F.floor(F.col("ts") / 3600).cast("bigint")
     last = (
-        df.groupBy(F.col(key).alias("_key"), (hour - hours).alias("_hour"))
+        df.groupBy(key, (hour - hours).alias("_hour"))
         .agg(F.max_by(F.struct(*outputs.values()), F.struct(*order)).alias("_last"))
-        .select("_key", "_hour", *[F.col(f"_last.{c}").alias(o) for o, c in outputs.items()])
+        .select(key, "_hour", *[F.col(f"_last.{c}").alias(o) for o, c in outputs.items()])
     )
-    return (
-        df.join(last, (F.col(key) == F.col("_key")) & (hour == F.col("_hour")), "left")
-        .drop("_key", "_hour")
+    timed = df.withColumn("_hour", hour)
+    return join_unique(timed, last, [key, "_hour"], order, max_rows=max_rows).select(
+        *df.columns, *outputs
     )
 
 

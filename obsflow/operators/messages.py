@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from obsflow.functions.messages import is_complete, parse_observation
 from obsflow.functions.weather import hour_of_epoch, merge_weather
 from obsflow.schemas import OBS_COLUMNS, OBS_RAW_COLUMNS
 
 
-def parse_messages(messages: DataFrame, column: str = "value") -> DataFrame:
-    """Raw observation columns plus ``value`` and ``readable``; all messages are kept."""
-    parsed = messages.select(
-        F.col(column).alias("value"), parse_observation(column).alias("_parsed")
-    )
-    return parsed.select(
-        "value", *[F.col(f"_parsed.{c}").alias(c) for c in OBS_RAW_COLUMNS],
-        is_complete(F.col("_parsed")).alias("readable"),
-    )
+def _parsed_where(column: str, wanted) -> Column:
+    """A list of the parsed message, or of nothing where ``wanted`` turns it down.
+
+    Exploding this list filters on the parsed fields and parses once. A filter would be moved
+    below the projection and would parse again for every field it names.
+    """
+    return F.filter(F.array(parse_observation(column)), wanted)
+
+
+def read_messages(messages: DataFrame, column: str = "value") -> DataFrame:
+    """Raw observation columns of the messages that are whole."""
+    rows = messages.select(F.explode(_parsed_where(column, is_complete)).alias("_parsed"))
+    return rows.select(*[F.col(f"_parsed.{c}").alias(c) for c in OBS_RAW_COLUMNS])
 
 
 def to_observations(raw: DataFrame, offset: float = 2, wrap: bool = False) -> DataFrame:
@@ -28,12 +32,13 @@ def to_observations(raw: DataFrame, offset: float = 2, wrap: bool = False) -> Da
 
 
 def decode_messages(messages: DataFrame, column: str = "value", **hour) -> DataFrame:
-    readable = parse_messages(messages, column).filter("readable")
-    return to_observations(readable.select(*OBS_RAW_COLUMNS), **hour)
+    return to_observations(read_messages(messages, column), **hour)
 
 
 def rejected_messages(messages: DataFrame, column: str = "value") -> DataFrame:
-    return parse_messages(messages, column).filter(~F.col("readable")).select("value")
+    """The text of the messages that are not whole."""
+    broken = F.explode(_parsed_where(column, lambda parsed: ~is_complete(parsed)))
+    return messages.select(F.col(column).alias("value"), broken.alias("_parsed")).select("value")
 
 
 def archive_columns(observations: DataFrame) -> DataFrame:

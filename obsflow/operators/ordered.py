@@ -1,4 +1,4 @@
-"""Row shifts and row numbers within ordered groups, for groups of any size.
+"""Row shifts, row numbers and key joins for groups of any size.
 
 A window sorts each group in one task, so a station holding a third of all rows would be one
 huge task. Here such a group is first divided along its own order into cells of bounded size.
@@ -9,6 +9,8 @@ across them. Groups that fit one task take the plain window.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -20,6 +22,8 @@ MAX_ROWS = 4_000_000
 #: Oversized groups divided per level. The largest come first; one left out holds fewer rows
 #: than total / MAX_SPLIT_GROUPS and is still handled whole, so this bounds the broadcast only.
 MAX_SPLIT_GROUPS = 100_000
+#: Tasks that rows with a null join key are dealt out to.
+NULL_SHARES = 1024
 _MAX_LEVELS = 16
 _MAX_FANOUT = 65_536
 
@@ -176,3 +180,38 @@ def row_positions(
     return numbered.join(offsets, match, "left").select(
         *df.columns, (F.col(out) + F.coalesce(F.col("_before"), F.lit(0))).alias(out)
     )
+
+
+def join_unique(
+    left: DataFrame, right: DataFrame, keys, salt_by, how: str = "left",
+    max_rows: int | None = None,
+) -> DataFrame:
+    """Join with a right side that has at most one row per key.
+
+    Keys with more than ``max_rows`` rows on the left are dealt out over several tasks by a hash
+    of the ``salt_by`` columns, and their one right row is repeated for each. That adds at most
+    total / max_rows rows to the right side.
+    """
+    keys = list(keys)
+    if max_rows is None and is_small(left):
+        return left.join(right, keys, how)
+    limit = max_rows or MAX_ROWS
+    hot = (
+        left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+        .orderBy(F.col("_n").desc()).limit(MAX_SPLIT_GROUPS)
+        .select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_shares"))
+    )
+    rows = hot.collect()
+    if not rows:
+        return left.join(right, keys, how)
+    shares = F.broadcast(left.sparkSession.createDataFrame(rows, hot.schema))
+    # Null keys match nothing; dealing them out keeps them from gathering in one task.
+    nullable = reduce(or_, [F.col(k).isNull() for k in keys])
+    width = F.when(nullable, F.lit(NULL_SHARES)).otherwise(F.col("_shares"))
+    own = F.pmod(F.xxhash64(*salt_by), width).cast("int")
+    dealt = left.join(shares, keys, "left").withColumn("_share", F.coalesce(own, F.lit(0)))
+    every = F.sequence(F.lit(0), F.coalesce(F.col("_shares") - 1, F.lit(0)))
+    repeated = right.join(shares, keys, "left").withColumn("_share", F.explode(every))
+    return dealt.drop("_shares").join(
+        repeated.drop("_shares"), [*keys, "_share"], how
+    ).drop("_share")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from obsflow.constants import BACKFILL_DAYS, IDS_PER_REQUEST, STATIONS
 from obsflow.functions.weather import epoch_day_offset
-from obsflow.operators.ordered import row_positions
+from obsflow.operators.ordered import join_unique, row_positions
 
 
 def default_stations(spark: SparkSession) -> DataFrame:
@@ -31,9 +31,14 @@ def pair_by_position(left: DataFrame, right: DataFrame, left_order, right_order)
     return numbered_left.join(numbered_right, "position")
 
 
-def with_coordinates(df: DataFrame, stations: DataFrame, key: str = "name") -> DataFrame:
-    """Add lat, lon of each row's station; rows of unlisted stations are left out."""
-    return df.join(stations.select(key, "lat", "lon"), key)
+def with_coordinates(df: DataFrame, stations: DataFrame, key: str = "name", salt_by=("event_id",),
+                     max_rows: int | None = None) -> DataFrame:
+    """Add lat, lon of each row's station; rows of unlisted stations are left out.
+
+    ``stations`` lists each station once.
+    """
+    places = stations.select(key, "lat", "lon")
+    return join_unique(df, places, [key], salt_by, how="inner", max_rows=max_rows)
 
 
 def backfill_plan(stations: DataFrame, as_of: int, days: int = BACKFILL_DAYS) -> DataFrame:

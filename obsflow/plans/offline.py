@@ -9,6 +9,7 @@ from obsflow.functions.weather import kelvin_to_celsius, merge_weather, temp_ban
 from obsflow.operators.flatten import flatten_history_documents
 from obsflow.operators.labels import label_lag, training_table
 from obsflow.operators.models import fit_forecaster, save_model
+from obsflow.session import materialize
 from obsflow.sources.files import dedup_history, read_history, write_csv
 
 #: Rows of one hour keep the order of their conditions in the payload.
@@ -27,7 +28,8 @@ def build_training_files(spark: SparkSession, documents: str, out: str) -> None:
 
 
 def train(table: DataFrame, path: str, **settings) -> PipelineModel:
-    model = fit_forecaster(table, **settings)
+    """Fit on a training table and save. The table is written once, as fitting reads it often."""
+    model = fit_forecaster(materialize(table, "training"), **settings)
     save_model(model, path)
     return model
 

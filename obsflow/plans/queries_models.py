@@ -21,7 +21,7 @@ from obsflow.plans.queries_tables import _LATEST_SQL
 from obsflow.plans.registry import query
 from obsflow.plans.testview import LAGGED_SQL, MERGED_SQL, OBS_SQL, observations
 from obsflow.schemas import OBS_RAW, OBS_RAW_COLUMNS
-from obsflow.session import scratch_path
+from obsflow.session import materialize, scratch_path
 from obsflow.sources.archive import KeyedArchive
 from obsflow.sources.messages import FolderTopic, publish, read_observation_stream, replay_forecasts
 from obsflow.streaming import jobs
@@ -33,10 +33,10 @@ _models: dict = {}
 
 
 def training_rows(spark, sf):
+    """The training table of the known classes, written once because fitting reads it often."""
     rows = training_table(observations(spark, sf), keep=("event_id",))
-    return rows.filter(
-        F.col("weather").isin(*FINAL_CLASSES) & F.col("weather_forecast").isin(*FINAL_CLASSES)
-    )
+    known = F.col("weather").isin(*FINAL_CLASSES) & F.col("weather_forecast").isin(*FINAL_CLASSES)
+    return materialize(rows.filter(known), "training")
 
 
 def forecaster(spark, sf):

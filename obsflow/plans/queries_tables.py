@@ -109,6 +109,18 @@ def at_offset(spark, sf):
     )
 
 
+@query("label_at_offset_hot_hours", f"""{_HOT_SQL}, timed as (select *, cast(floor(ts / 3600) as bigint)
+ as h from hot), last as (select side, h, weather, temp from timed qualify row_number() over (
+ partition by side, h order by ts desc, event_id desc) = 1)
+ select event_id, last.weather as weather_forecast, last.temp as temp_forecast
+ from timed left join last on last.side = timed.side and last.h = timed.h + 3""")
+def at_offset_hot_hours(spark, sf):
+    rows = _hot(spark, sf)
+    return label_at_offset(rows, key="side", max_rows=cells_of(rows, 1440, 2)).select(
+        "event_id", "weather_forecast", "temp_forecast"
+    )
+
+
 @query("offline_dataset", f"""with {EXPLODED_SQL}, unique_rows as (select distinct name, ts, weather
  from exploded) select name, count(*) - 3 as n from unique_rows group by name having count(*) > 3""")
 def offline_dataset(spark, sf):

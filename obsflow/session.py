@@ -41,6 +41,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/obsflow-{label}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write once to the shared scratch folder and read back, where several jobs use a result."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate, or None where it has none to give."""
     try:
