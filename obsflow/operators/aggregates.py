@@ -50,10 +50,9 @@ def fit_viewport(bounds: DataFrame, width: float, height: float, pad: float = 0.
 
 
 def place_on_map(df: DataFrame, viewport: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
-    """Add x, y in a fitted viewport. The viewport is the one row of an aggregate."""
-    return (
-        df.join(F.broadcast(viewport))
-        .withColumns({"x": mercator_x(lon, F.col("scale"), F.col("tx")),
-                      "y": mercator_y(lat, F.col("scale"), F.col("ty"))})
-        .drop("scale", "tx", "ty")
-    )
+    """Add x, y in a fitted viewport, which is the one row of an aggregate."""
+    fitted = viewport.select(F.struct("scale", "tx", "ty")).scalar()
+    return df.withColumns({
+        "x": mercator_x(lon, fitted["scale"], fitted["tx"]),
+        "y": mercator_y(lat, fitted["scale"], fitted["ty"]),
+    })

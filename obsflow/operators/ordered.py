@@ -48,6 +48,14 @@ def _oversized(rows: DataFrame, keys, order, max_rows: int) -> list:
     )
 
 
+def _same_cell(keys) -> Column:
+    """The row's group and cell are those in ``_k0, _k1, ...`` and ``_c``; null keys are a group."""
+    match = F.col(CELL) == F.col("_c")
+    for i, k in enumerate(keys):
+        match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return match
+
+
 def _subdivide(rows: DataFrame, hot: list, keys, order, max_rows: int):
     """Divide the groups in ``hot`` into equal widths of their first order column that varies.
 
@@ -64,14 +72,21 @@ def _subdivide(rows: DataFrame, hot: list, keys, order, max_rows: int):
                 break
     if not plan:
         return rows, None
-    schema = ", ".join(
-        [f"_k{i} {rows.schema[k].dataType.simpleString()}" for i, k in enumerate(keys)]
-        + ["_c array<bigint>", "_axis int", "_low double", "_step double", "_fanout bigint"]
-    )
-    table = F.broadcast(rows.sparkSession.createDataFrame(plan, schema))
-    match = F.col(CELL) == F.col("_c")
-    for i, k in enumerate(keys):
-        match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    names = ["_c", "_axis", "_low", "_step", "_fanout"]
+    if not keys and len(plan) == 1:
+        path, *values = plan[0]
+        path = F.array(*map(F.lit, path)).cast("array<bigint>")
+        found = [F.when(F.col(CELL) == path, v).alias(n)
+                 for n, v in zip(names, [path, *map(F.lit, values)])]
+        marked = rows.select("*", *found)
+    else:
+        types = ["array<bigint>", "int", "double", "double", "bigint"]
+        schema = ", ".join(
+            [f"_k{i} {rows.schema[k].dataType.simpleString()}" for i, k in enumerate(keys)]
+            + [f"{n} {t}" for n, t in zip(names, types)]
+        )
+        table = F.broadcast(rows.sparkSession.createDataFrame(plan, schema))
+        marked = rows.join(table, _same_cell(keys), "left")
     value = F.lit(None).cast("double")
     for axis, c in enumerate(order):
         value = F.when(F.col("_axis") == axis, F.col(c).cast("double")).otherwise(value)
@@ -83,8 +98,8 @@ def _subdivide(rows: DataFrame, hot: list, keys, order, max_rows: int):
         F.concat(F.col(CELL), F.array(part))
     )
     columns = [c for c in rows.columns if c != CELL]
-    divided = rows.join(table, match, "left").select(*columns, cell.alias(CELL))
-    inside = rows.join(table, match, "inner").select(*keys, *order, cell.alias(CELL))
+    divided = marked.select(*columns, cell.alias(CELL))
+    inside = marked.filter(F.col("_c").isNotNull()).select(*keys, *order, cell.alias(CELL))
     return divided, inside
 
 
@@ -172,12 +187,9 @@ def row_positions(
                 F.col(CELL).alias("_c"),
                 F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
-    match = F.col(CELL) == F.col("_c")
-    for i, k in enumerate(keys):
-        match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     # One row per cell, at most about 4 * total / max_rows: small next to the rows, and left to
     # the optimizer to broadcast by its measured size.
-    return numbered.join(offsets, match, "left").select(
+    return numbered.join(offsets, _same_cell(keys), "left").select(
         *df.columns, (F.col(out) + F.coalesce(F.col("_before"), F.lit(0))).alias(out)
     )
 
