@@ -38,7 +38,7 @@ def append_json_lines(df: DataFrame, path: str, key: str = "name"):
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType = OBS_RAW) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).json(path).select(*schema.fieldNames())
 
 
 def dedup_history(rows: DataFrame, keys=("name", "ts", "weather"), order=()) -> DataFrame:

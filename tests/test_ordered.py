@@ -33,8 +33,8 @@ def brute(data, key=True):
     return groups
 
 
-@pytest.mark.parametrize("n", [1, 3, -1, -3])
-@pytest.mark.parametrize("max_rows", [None, 2, 7, 40, 1000])
+@pytest.mark.parametrize("n", [1, 3, -3])
+@pytest.mark.parametrize("max_rows", [None, 2, 40])
 def test_shift_rows(spark, n, max_rows):
     data = rows()
     df = spark.createDataFrame(data, SCHEMA)
