@@ -36,8 +36,7 @@ def _oversized(rows: DataFrame, keys, order, max_rows: int) -> list:
     """Groups above ``max_rows`` with the extent of every order column: at most total/max_rows."""
     extents = []
     for i, c in enumerate(order):
-        extents += [F.min(F.col(c).cast("double")).alias(f"_lo{i}"),
-                    F.max(F.col(c).cast("double")).alias(f"_hi{i}")]
+        extents += [F.min(c).alias(f"_lo{i}"), F.max(c).alias(f"_hi{i}"), F.count(c).alias(f"_n{i}")]
     return (
         rows.groupBy(*keys, CELL)
         .agg(F.count(F.lit(1)).alias("_n"), *extents)
@@ -56,6 +55,24 @@ def _same_cell(keys) -> Column:
     return match
 
 
+def _cut(group, axes: int, max_rows: int):
+    """Where to divide a group: the column, its lowest value, the width and number of parts.
+
+    A later column may be cut only where all earlier ones are constant. None where the first one
+    that varies cannot be cut: it is not finite, or differs by less than a double can tell.
+    """
+    for axis in range(axes):
+        low, high, known = group[f"_lo{axis}"], group[f"_hi{axis}"], group[f"_n{axis}"]
+        if known == 0 or (known == group["_n"] and low == high):
+            continue
+        low, span = float(low), float(high) - float(low)
+        if not math.isfinite(span) or (span == 0 and known == group["_n"]):
+            return None
+        parts = min(math.ceil(2 * group["_n"] / max_rows), _MAX_FANOUT)
+        return axis, low, span / parts or 1.0, parts
+    return None
+
+
 def _subdivide(rows: DataFrame, hot: list, keys, order, max_rows: int):
     """Divide the groups in ``hot`` into equal widths of their first order column that varies.
 
@@ -63,13 +80,9 @@ def _subdivide(rows: DataFrame, hot: list, keys, order, max_rows: int):
     """
     plan = []
     for group in hot:
-        for axis in range(len(order)):
-            low, high = group[f"_lo{axis}"], group[f"_hi{axis}"]
-            if low is not None and high > low:
-                fanout = min(math.ceil(2 * group["_n"] / max_rows), _MAX_FANOUT)
-                step = (high - low) / fanout
-                plan.append((*[group[k] for k in keys], group[CELL], axis, low, step, fanout))
-                break
+        cut = _cut(group, len(order), max_rows)
+        if cut:
+            plan.append((*[group[k] for k in keys], group[CELL], *cut))
     if not plan:
         return rows, None
     names = ["_c", "_axis", "_low", "_step", "_fanout"]

@@ -41,13 +41,17 @@ class KeyedArchive:
     def compact(self, upto: int) -> None:
         """Fold the batches up to and including ``upto`` into one base folder.
 
-        Readers take the base only once it is complete. Batches folded into it are left on disk
-        and no longer read; remove them when no reader started before is left.
+        Readers take the base only once it is complete. What the base before this one replaced
+        is removed; what this one replaces stays for readers that started earlier.
         """
-        if upto > self._base():
-            latest_per_key(self._parts(upto), self.keys, self.order).write.mode(
-                "overwrite"
-            ).parquet(f"{self.path}/base/upto={upto}")
+        before = self._base()
+        if upto <= before:
+            return
+        latest_per_key(self._parts(upto), self.keys, self.order).write.mode("overwrite").parquet(
+            f"{self.path}/base/upto={upto}"
+        )
+        self._remove("batch/id", before)
+        self._remove("base/upto", before - 1)
 
     def _parts(self, upto: int | None = None) -> DataFrame:
         base = self._base()
@@ -64,12 +68,19 @@ class KeyedArchive:
 
     def _complete(self, prefix: str) -> list[int]:
         """Numbers of the folders ``prefix=N`` whose write was committed."""
-        jvm = self.spark._jvm
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{prefix}=*/_SUCCESS")
-        files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
-        return sorted(
-            int(f.getPath().getParent().getName().split("=")[1]) for f in files or []
-        )
+        files, _ = self._glob(f"{prefix}=*/_SUCCESS")
+        return sorted(int(f.getParent().getName().split("=")[1]) for f in files)
+
+    def _remove(self, prefix: str, upto: int) -> None:
+        folders, system = self._glob(f"{prefix}=*")
+        for folder in folders:
+            if int(folder.getName().split("=")[1]) <= upto:
+                system.delete(folder, True)
+
+    def _glob(self, pattern: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}")
+        system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return [found.getPath() for found in system.globStatus(path) or []], system
 
 
 def create_archive_table(spark: SparkSession, table: str, location: str | None = None,

@@ -2,22 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from obsflow.functions.text import station_from_path
 from obsflow.schemas import CATALOGUE, HISTORY, OBS_RAW, TRAIN
 
 
-def by_station(df: DataFrame, key: str = "name") -> DataFrame:
-    """Rows gathered per station for writing; adaptive execution splits the large stations."""
-    return df.hint("rebalance", key)
+def station_bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def write_csv(df: DataFrame, path: str, key: str | None = "name", mode: str = "errorifexists"):
-    """CSV with a header and without an index, one folder per station where ``key`` is given."""
-    writer = (by_station(df, key) if key else df).write.mode(mode).option("header", True)
-    (writer.partitionBy(key) if key else writer).csv(path)
+def _by_folder(df: DataFrame, key: str | None, buckets: int | None) -> tuple[DataFrame, list[str]]:
+    """Rows gathered by the folder they go to, and the folder columns.
+
+    One folder per station suits station lists; with ``buckets``, stations share that many
+    folders and stay a column. Adaptive execution splits what is large.
+    """
+    if buckets:
+        df, key = df.withColumn("bucket", station_bucket(key, buckets)), "bucket"
+    return (df.hint("rebalance", key), [key]) if key else (df, [])
+
+
+def write_csv(df: DataFrame, path: str, key: str | None = "name", mode: str = "errorifexists",
+              buckets: int | None = None):
+    """CSV with a header and without an index, in folders per station where ``key`` is given."""
+    rows, folders = _by_folder(df, key, buckets)
+    rows.write.mode(mode).option("header", True).partitionBy(*folders).csv(path)
 
 
 def read_csv(spark: SparkSession, paths, schema: StructType = TRAIN, key: str | None = None):
@@ -27,14 +38,16 @@ def read_csv(spark: SparkSession, paths, schema: StructType = TRAIN, key: str |
     return spark.read.schema(schema).option("header", True).csv(paths)
 
 
-def write_json_lines(df: DataFrame, path: str, key: str = "name", mode: str = "errorifexists"):
-    """JSON lines, one folder per station; fails if the path already exists."""
-    by_station(df, key).write.mode(mode).partitionBy(key).json(path)
+def write_json_lines(df: DataFrame, path: str, key: str = "name", mode: str = "errorifexists",
+                     buckets: int | None = None):
+    """JSON lines in folders per station; fails if the path already exists."""
+    rows, folders = _by_folder(df, key, buckets)
+    rows.write.mode(mode).partitionBy(*folders).json(path)
 
 
-def append_json_lines(df: DataFrame, path: str, key: str = "name"):
+def append_json_lines(df: DataFrame, path: str, key: str = "name", buckets: int | None = None):
     """Add a page of history. A page added twice is removed again by ``dedup_history``."""
-    write_json_lines(df, path, key, mode="append")
+    write_json_lines(df, path, key, mode="append", buckets=buckets)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType = OBS_RAW) -> DataFrame:

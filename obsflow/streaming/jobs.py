@@ -50,11 +50,13 @@ def score_stream(messages: DataFrame, forecaster: PipelineModel, hour_offset: fl
     return forecasts(decode_messages(messages), forecaster, hour_offset)
 
 
-def fan_out(archive: KeyedArchive, forecaster: PipelineModel, emit, hour_offset: float = 0):
+def fan_out(archive: KeyedArchive, forecaster: PipelineModel, emit, hour_offset: float = 0,
+            compact_every: int = 720):
     """Decode a batch once, archive every row, then score and emit what can be scored.
 
     ``emit(messages, batch_id)`` writes forecast messages. Archived rows include classes the
-    models do not know; forecasts do not.
+    models do not know; forecasts do not. The archive is compacted every ``compact_every``
+    batches: at 5 seconds each, once an hour.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         observations = decode_messages(batch).persist(StorageLevel.MEMORY_AND_DISK)
@@ -62,6 +64,8 @@ def fan_out(archive: KeyedArchive, forecaster: PipelineModel, emit, hour_offset:
             archive.upsert(observations, batch_id)
             scored = forecasts(observations, forecaster, hour_offset)
             emit(scored.select(encode_forecast().alias("value")), batch_id)
+            if batch_id % compact_every == compact_every - 1:
+                archive.compact(batch_id)
         finally:
             observations.unpersist()
     return skip_empty(handle)

@@ -60,6 +60,17 @@ def test_compaction_keeps_the_content(spark, tmp_path):
     assert content(store) == [A2, B1, B2], "an unfinished base is not read"
 
 
+def test_compaction_removes_what_the_base_before_replaced(spark, tmp_path):
+    store = archive(spark, tmp_path)
+    for i, row in enumerate((A1, B1, A2, B2)):
+        store.upsert(frame(spark, row), i)
+        store.compact(i)
+    folders = sorted(p.name for p in (tmp_path / "archive" / "batch").iterdir())
+    bases = sorted(p.name for p in (tmp_path / "archive" / "base").iterdir())
+    assert folders == ["id=3"] and bases == ["upto=2", "upto=3"]
+    assert content(store) == [A2, B1, B2]
+
+
 def test_create_table_is_idempotent(spark, tmp_path):
     for _ in range(2):
         create_archive_table(spark, "relevations", str(tmp_path / "table"))

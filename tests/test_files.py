@@ -26,6 +26,17 @@ def test_json_lines_fail_if_present(spark, tmp_path):
         files.write_json_lines(observations(spark), path)
 
 
+def test_stations_can_share_folders(spark, tmp_path):
+    path = str(tmp_path / "obs")
+    files.write_json_lines(observations(spark), path, buckets=4)
+    assert all(p.name.startswith("bucket=") for p in (tmp_path / "obs").iterdir() if p.is_dir())
+    assert files.read_json_lines(spark, path).exceptAll(observations(spark)).count() == 0
+    files.write_csv(observations(spark), str(tmp_path / "one"), key=None)
+    files.write_csv(observations(spark), str(tmp_path / "csv"), buckets=4)
+    for folder in ("one", "csv"):
+        assert files.read_csv(spark, str(tmp_path / folder), OBS_RAW).count() == 6
+
+
 def test_append_twice_then_dedup(spark, tmp_path):
     path = str(tmp_path / "obs")
     files.append_json_lines(observations(spark), path)

@@ -104,3 +104,22 @@ def test_join_unique(spark, how, max_rows):
         got.toPandas().sort_values(key, ignore_index=True)[want.columns],
         want.toPandas().sort_values(key, ignore_index=True),
     )
+
+
+@pytest.mark.parametrize("times", [
+    (None, 500.0), (float("nan"), 1.0), (float("inf"), 2.0), (float("-inf"), 2.0, None), (None,),
+])
+def test_times_that_cannot_be_divided(spark, times):
+    data = [("hot", times[i % len(times)], i, float(i)) for i in range(60)]
+    df = spark.createDataFrame(data, SCHEMA)
+    got = {r.id: r.position for r in row_positions(df, ["name"], ["ts", "id"], max_rows=5).collect()}
+    plain = {r.id: r.position for r in row_positions(df, ["name"], ["ts", "id"]).collect()}
+    assert got == plain
+
+
+def test_numbers_closer_than_doubles_tell(spark):
+    base = 2**62
+    data = [("hot", base + (i * 7) % 40, i) for i in range(40)]
+    df = spark.createDataFrame(data, "name string, big bigint, id bigint")
+    got = {r.id: r.position for r in row_positions(df, ["name"], ["big", "id"], max_rows=5).collect()}
+    assert got == {r[2]: r[1] - base for r in data}

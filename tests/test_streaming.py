@@ -83,7 +83,7 @@ def test_fan_out_equals_the_batch_result(spark, tmp_path, forecaster):
     schema = decode_messages(stream).schema
     archive = KeyedArchive(spark, str(tmp_path / "archive"), schema, order=ORDER)
     emit = jobs.emit_to_folder(str(tmp_path / "forecast"))
-    drain(stream.writeStream.foreachBatch(jobs.fan_out(archive, forecaster, emit)), tmp_path / "c")
+    drain(stream.writeStream.foreachBatch(jobs.fan_out(archive, forecaster, emit, compact_every=2)), tmp_path / "c")
 
     everything = decode_messages(spark.read.text(topic.path))
     expected = latest_per_key(everything, order=ORDER)
