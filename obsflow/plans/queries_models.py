@@ -7,10 +7,11 @@ return what the sink then holds.
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from obsflow.constants import FINAL_CLASSES
-from obsflow.functions.messages import encode_forecast, encode_observation
+from obsflow.functions.messages import encode_forecast
 from obsflow.functions.weather import event_time, utc_hour
 from obsflow.operators import models as ml
 from obsflow.operators.labels import training_table
@@ -23,7 +24,9 @@ from obsflow.plans.testview import LAGGED_SQL, MERGED_SQL, OBS_SQL, observations
 from obsflow.schemas import OBS_RAW, OBS_RAW_COLUMNS
 from obsflow.session import materialize, scratch_path
 from obsflow.sources.archive import KeyedArchive
-from obsflow.sources.messages import FolderTopic, publish, read_observation_stream, replay_forecasts
+from obsflow.sources.messages import (
+    FolderTopic, observation_messages, publish, read_observation_stream, replay_forecasts,
+)
 from obsflow.streaming import jobs
 
 _RAW = ", ".join(OBS_RAW_COLUMNS)
@@ -69,6 +72,41 @@ def lr_baseline(spark, sf):
     return model.transform(ml.regression_data(test, encoding)).select("label", "prediction")
 
 
+#: The training rows of the model queries.
+_TRAIN_SQL = LAGGED_SQL + """, train as (select * from lagged where temp_forecast is not null
+ and weather <> 'Squall' and weather_forecast <> 'Squall'
+ and cast(('0x' || substr(md5(cast(event_id as varchar)), 1, 8)) as bigint) % 10 < 8)"""
+
+
+@query("gbt_calibration", f"""with {_TRAIN_SQL} select count(*) as n,
+ round(avg(temp_forecast), 6) as mean_forecast from train""")
+def gbt_calibration(spark, sf):
+    """Boosted trees with squared loss keep the mean of the rows they were fitted on."""
+    train, _ = hash_split(training_rows(spark, sf), "event_id")
+    encoding = ml.fit_encoding(train)
+    data = ml.regression_data(train, encoding)
+    return ml.fit_boosted(data, max_iter=ROUNDS).transform(data).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("temp_forecast"), 6).alias("mean_forecast")
+    )
+
+
+@query("lr_normal_equations", f"""with {_TRAIN_SQL} select count(*) as n,
+ cast(0 as double) as residual, cast(0 as double) as with_temp, cast(0 as double) as with_hour,
+ cast(0 as double) as with_lat from train""")
+def lr_normal_equations(spark, sf):
+    """Least squares leave residuals with mean 0 that no feature explains any further."""
+    train, _ = hash_split(training_rows(spark, sf), "event_id")
+    encoding = ml.fit_encoding(train)
+    data = ml.regression_data(train, encoding)
+    rest = F.col("label") - F.col("prediction")
+    slots = vector_to_array(F.col(ml.REGRESSION_FEATURES))
+    return ml.fit_linear(data).transform(data).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg(rest), 4).alias("residual"),
+        *[F.round(F.avg(rest * slots[i]), 4).alias(f"with_{c}")
+          for c, i in (("temp", 3), ("hour", 2), ("lat", 1))],
+    )
+
+
 @query("lr_one_feature", f"""with {LAGGED_SQL} select round(regr_slope(temp_forecast, temp), 6) as slope,
  round(regr_intercept(temp_forecast, temp), 4) as intercept from lagged where temp_forecast is not null""")
 def lr_one_feature(spark, sf):
@@ -97,19 +135,26 @@ def two_stage_forecast(spark, sf):
     return scored.select("event_id", "weather", "predicted_label", "temp", "temp_forecast")
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", f"""with {MERGED_SQL} select event_id, true as same from merged
+ where weather <> 'Squall'""")
 def model_roundtrip(spark, sf):
+    """Whether the saved and loaded model says the same of every row it scores."""
     path = scratch_path(spark, "model")
     ml.save_model(forecaster(spark, sf), path)
-    scored = ml.score(serving_rows(spark, sf), ml.load_model(path))
-    return scored.select("event_id", "predicted_label", "temp_forecast")
+    rows = serving_rows(spark, sf)
+    first = ml.score(rows, forecaster(spark, sf))
+    second = ml.score(rows, ml.load_model(path)).select(
+        "event_id", F.struct("predicted_label", "temp_forecast").alias("loaded")
+    )
+    kept = F.struct("predicted_label", "temp_forecast") == F.col("loaded")
+    return first.join(second, "event_id").select("event_id", kept.alias("same"))
 
 
 # ---- streams ---------------------------------------------------------------------------------
 
 def staged_observations(spark, sf) -> FolderTopic:
     topic = FolderTopic(scratch_path(spark, "messages"))
-    publish(topic, observations(spark, sf).select(encode_observation("wire").alias("value")))
+    publish(topic, observation_messages(observations(spark, sf), style="wire"))
     return topic
 
 
@@ -128,7 +173,7 @@ def run_to_parquet(spark, stream, label, mode="append"):
 @query("publish_obs", f"with {OBS_SQL} select {_RAW} from obs")
 def publish_obs(spark, sf):
     topic = FolderTopic(scratch_path(spark, "published"))
-    publish(topic, observations(spark, sf).select(encode_observation().alias("value")))
+    publish(topic, observation_messages(observations(spark, sf)))
     written = spark.read.text(topic.path)
     return written.select(F.from_json("value", OBS_RAW).alias("o")).select("o.*")
 
@@ -186,6 +231,14 @@ def stream_fanout(spark, sf):
     return forecasts
 
 
+@query("stream_fanout_rows", f"""with {MERGED_SQL} select lon, lat, weather as cweather, temp as ctemp
+ from merged where weather <> 'Squall'""")
+def stream_fanout_rows(spark, sf):
+    """The observed half of the forecasts: each row of a known class is forecast once."""
+    forecasts, _ = run_fanout(spark, sf)
+    return forecasts.select("lon", "lat", "cweather", "ctemp")
+
+
 @query("stream_archive", f"""with {MERGED_SQL} select name, hour, ts, lon, lat, temp, tempfelt, pressure,
  humidity, weather from merged qualify row_number() over (partition by name, hour order by ts desc,
  temp desc, tempfelt desc, pressure desc, humidity desc, weather desc) = 1""")

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from obsflow.functions.messages import encode_observation
+
 
 @dataclass(frozen=True)
 class KafkaTopic:
@@ -66,6 +68,12 @@ def replay_forecasts(spark: SparkSession, topic, limit: int | None = None) -> Da
     return topic.read_stream(spark, "earliest", limit)
 
 
+def observation_messages(observations: DataFrame, style: str = "json", keyed: bool = False):
+    """One message per raw observation; ``keyed`` adds the station as the message key."""
+    value = encode_observation(style).alias("value")
+    return observations.select(*([F.col("name").alias("key")] if keyed else []), value)
+
+
 def publish(topic, messages: DataFrame) -> None:
     """Write a batch with one string column ``value`` (and ``key`` for keyed Kafka topics)."""
     topic.write(messages)

@@ -73,7 +73,7 @@ def test_compaction_removes_what_the_base_before_replaced(spark, tmp_path):
 
 def test_create_table_is_idempotent(spark, tmp_path):
     for _ in range(2):
-        create_archive_table(spark, "relevations", str(tmp_path / "table"))
-    assert spark.table("relevations").columns == [
+        create_archive_table(spark, "latest_rows", str(tmp_path / "table"))
+    assert spark.table("latest_rows").columns == [
         "name", "hour", "lon", "lat", "temp", "tempfelt", "pressure", "humidity", "weather"]
-    spark.sql("DROP TABLE relevations")
+    spark.sql("DROP TABLE latest_rows")

@@ -10,7 +10,9 @@ from obsflow.operators.models import fit_forecaster
 from obsflow.operators.labels import training_table
 from obsflow.schemas import OBS_RAW
 from obsflow.sources.archive import KeyedArchive, latest_per_key
-from obsflow.sources.messages import FolderTopic, KafkaTopic, publish, read_observation_stream
+from obsflow.sources.messages import (
+    FolderTopic, KafkaTopic, observation_messages, publish, read_observation_stream,
+)
 from obsflow.streaming import jobs
 
 ORDER = ("ts", "temp", "weather")
@@ -155,6 +157,14 @@ def test_points_expire_once(spark, tmp_path):
     assert sorted(ended) == [1, 2, 3]
 
 
+def test_keyed_messages(spark, tmp_path):
+    messages = observation_messages(observations(spark, 0, 3), keyed=True)
+    assert {r.key for r in messages.collect()} == {"st_0", "st_1", "st_2"}
+    topic = FolderTopic(str(tmp_path / "out"))
+    publish(topic, messages)
+    assert spark.read.text(topic.path).count() == 3
+
+
 def test_kafka_options():
     topic = KafkaTopic("weather", "broker:9092")
     assert topic.reader_options("latest", 20) == {
