@@ -110,6 +110,13 @@ def flatten_history_documents(documents: DataFrame, position: str | None = None)
     return _history_rows(documents.select("name", _payload_where(payload, _whole_history)), position)
 
 
+def rejected_history_documents(documents: DataFrame) -> DataFrame:
+    """Names of the documents that ``flatten_history_documents`` leaves out."""
+    payload = F.struct("lon", "lat", "hourly")
+    broken = _payload_where(payload, lambda p: ~_whole_history(p))
+    return documents.select("name", broken).select("name")
+
+
 def _history_rows(payloads: DataFrame, position: str | None) -> DataFrame:
     items = payloads.select(
         "name", F.col("_payload.lon").alias("lon"), F.col("_payload.lat").alias("lat"),

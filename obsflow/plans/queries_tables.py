@@ -274,6 +274,15 @@ def json_array_per_station(spark, sf):
     )
 
 
+@query("json_array_roundtrip", f"with {OBS_SQL} select event_id, {_RAW} from obs")
+def json_array_roundtrip(spark, sf):
+    path = scratch_path(spark, "arrays")
+    obs = observations(spark, sf)
+    pages = s.json_pages(obs, ["event_id", *OBS_RAW_COLUMNS], ["ts", "event_id"])
+    files.write_json_arrays(pages, path)
+    return files.read_json_arrays(spark, path, obs.schema).select("event_id", *OBS_RAW_COLUMNS)
+
+
 @query("append_history_dedup", f"""with {OBS_SQL} select event_id, {_RAW} from obs qualify
  row_number() over (partition by name, ts, weather order by event_id) = 1""")
 def append_history_dedup(spark, sf):

@@ -71,8 +71,22 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return documents.withColumn("name", station_from_path("_metadata.file_path"))
 
 
+def write_json_arrays(pages: DataFrame, path: str, key: str = "name", mode: str = "errorifexists"):
+    """Arrays from ``stations.json_pages``, one per line, in one folder per station.
+
+    A station of one page gets one file that is one JSON array.
+    """
+    rows, folders = _by_folder(pages.select(key, F.col("json").alias("value")), key, None)
+    rows.write.mode(mode).partitionBy(*folders).text(path)
+
+
+def read_json_arrays(spark: SparkSession, path: str, schema: StructType = OBS_RAW) -> DataFrame:
+    """Observations from files with one JSON array per line."""
+    return spark.read.schema(schema).json(path).select(*schema.fieldNames())
+
+
 def read_observation_arrays(spark: SparkSession, path: str) -> DataFrame:
-    """Files that hold one JSON array of observations each."""
+    """Observations from files that are one JSON array each, over any number of lines."""
     return spark.read.schema(OBS_RAW).json(path, multiLine=True)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from obsflow.constants import STATIONS
 from obsflow.operators import stations as s
+from obsflow.operators.flatten import rejected_history_documents
 from obsflow.plans.offline import build_training_files
 from obsflow.schemas import OBS_RAW
 from obsflow.sources import files
@@ -82,6 +83,18 @@ def test_json_pages_hold_all_rows_in_order(spark):
     assert listed == list(range(25))
 
 
+def test_json_array_files(spark, tmp_path):
+    pages = s.json_pages(observations(spark), list(OBS_RAW.fieldNames()), ["ts"], page_rows=2)
+    files.write_json_arrays(pages, str(tmp_path / "paged"))
+    back = files.read_json_arrays(spark, str(tmp_path / "paged"))
+    assert back.count() == 6 and back.exceptAll(observations(spark)).count() == 0
+    whole = s.json_pages(observations(spark), list(OBS_RAW.fieldNames()), ["ts"])
+    files.write_json_arrays(whole, str(tmp_path / "whole"))
+    for folder in (tmp_path / "whole").glob("name=*"):
+        (file,) = folder.glob("*.txt")
+        assert len(json.loads(file.read_text())) == 3
+
+
 def hour(n, *conditions):
     return {"dt": n * 3600, "temp": 280.0 + n, "feels_like": 279.0, "pressure": 1000, "humidity": 50,
             "weather": [{"main": c} for c in conditions]}
@@ -95,6 +108,11 @@ def test_offline_path(spark, tmp_path):
     for name in ("Milano", "Roma"):
         document = {"lat": 45.0, "lon": 9.0, "current": {"dt": 0}, "hourly": hourly + hourly[:2]}
         (folder / f"{name}.json").write_text(json.dumps(document, indent=1))
+    (folder / "Lecce.json").write_text("{ cut short")
+    (folder / "Udine.json").write_text(json.dumps({"lat": 1.0, "hourly": hourly}))
+    documents = files.read_history(spark, str(folder))
+    broken = rejected_history_documents(documents)
+    assert sorted(r.name for r in broken.collect()) == ["Lecce", "Udine"]
     (folder / "Bari.json").write_text(json.dumps({"lat": 1.0, "lon": 2.0, "hourly": hourly[:2]}))
     out = str(tmp_path / "csv")
     build_training_files(spark, str(folder), out)
