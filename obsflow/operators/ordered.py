@@ -86,12 +86,8 @@ def _subdivide(rows: DataFrame, hot: list, keys, order, max_rows: int):
     if not plan:
         return rows, None
     names = ["_c", "_axis", "_low", "_step", "_fanout"]
-    if not keys and len(plan) == 1:
-        path, *values = plan[0]
-        path = F.array(*map(F.lit, path)).cast("array<bigint>")
-        found = [F.when(F.col(CELL) == path, v).alias(n)
-                 for n, v in zip(names, [path, *map(F.lit, values)])]
-        marked = rows.select("*", *found)
+    if not keys and not plan[0][0]:  # the whole input, not cut before: nothing to look up
+        marked = rows.select("*", *[F.lit(v).alias(n) for n, v in zip(names, plan[0])])
     else:
         types = ["array<bigint>", "int", "double", "double", "bigint"]
         schema = ", ".join(
