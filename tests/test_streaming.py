@@ -122,6 +122,21 @@ def test_failed_batch_is_done_over(spark, tmp_path, forecaster):
     assert spark.read.text(str(tmp_path / "forecast")).count() == 30
 
 
+def test_running_latest_over_a_restart(spark, tmp_path):
+    topic = FolderTopic(str(tmp_path / "in"))
+    store = None
+    for first in (0, 60):
+        send(topic, observations(spark, first, 60))
+        rows = decode_messages(read_observation_stream(spark, topic))
+        store = KeyedArchive(spark, str(tmp_path / "archive"), rows.schema, order=ORDER)
+        running = jobs.running_latest(rows, store.keys, store.order)
+        handle = jobs.skip_empty(store.upsert)
+        drain(running.writeStream.outputMode("update").foreachBatch(handle), tmp_path / "c")
+    expected = latest_per_key(decode_messages(spark.read.text(topic.path)), order=ORDER)
+    assert store.read().exceptAll(expected).count() == 0
+    assert store.read().count() == expected.count() > 0
+
+
 def test_score_stream_equals_batch(spark, tmp_path, forecaster):
     topic = FolderTopic(str(tmp_path / "in"))
     send(topic, observations(spark))
