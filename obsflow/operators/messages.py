@@ -41,6 +41,18 @@ def rejected_messages(messages: DataFrame, column: str = "value") -> DataFrame:
     return messages.select(F.col(column).alias("value"), broken.alias("_parsed")).select("value")
 
 
+def parse_messages(messages: DataFrame, column: str = "value") -> DataFrame:
+    """All messages: raw observation columns, and ``rejected``, the text of those not whole.
+
+    For batches that are persisted before both kinds are used; ``rejected`` is null for the rest.
+    """
+    parsed = messages.select(F.col(column).alias("value"), parse_observation(column).alias("_parsed"))
+    broken = F.when(~is_complete(F.col("_parsed")), F.coalesce("value", F.lit("")))
+    return parsed.select(
+        *[F.col(f"_parsed.{c}").alias(c) for c in OBS_RAW_COLUMNS], broken.alias("rejected")
+    )
+
+
 def archive_columns(observations: DataFrame) -> DataFrame:
     """The nine archived columns in table order."""
     return observations.select(*OBS_COLUMNS)

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from obsflow.constants import BATCH_INTERVAL, POINT_LIFETIME_SECONDS
 from obsflow.functions.messages import encode_forecast
 from obsflow.functions.weather import hour_of_epoch
-from obsflow.operators.messages import decode_messages
+from obsflow.operators.messages import decode_messages, parse_messages, to_observations
 from obsflow.operators.models import forecast_columns, score
 from obsflow.sources.archive import KeyedArchive
 
@@ -50,24 +50,28 @@ def score_stream(messages: DataFrame, forecaster: PipelineModel, hour_offset: fl
     return forecasts(decode_messages(messages), forecaster, hour_offset)
 
 
-def fan_out(archive: KeyedArchive, forecaster: PipelineModel, emit, hour_offset: float = 0,
-            compact_every: int = 720):
-    """Decode a batch once, archive every row, then score and emit what can be scored.
+def fan_out(archive: KeyedArchive, forecaster: PipelineModel, emit, reject=None,
+            hour_offset: float = 0, compact_every: int = 720):
+    """Parse a batch once, archive every observation, then score and emit what can be scored.
 
-    ``emit(messages, batch_id)`` writes forecast messages. Archived rows include classes the
-    models do not know; forecasts do not. The archive is compacted every ``compact_every``
-    batches: at 5 seconds each, once an hour.
+    ``emit(messages, batch_id)`` writes forecast messages and ``reject`` the messages that could
+    not be read. Archived rows include classes the models do not know; forecasts do not. The
+    archive is compacted every ``compact_every`` batches: at 5 seconds each, once an hour.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        observations = decode_messages(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = parse_messages(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            observations = to_observations(parsed.filter("rejected is null").drop("rejected"))
             archive.upsert(observations, batch_id)
             scored = forecasts(observations, forecaster, hour_offset)
             emit(scored.select(encode_forecast().alias("value")), batch_id)
+            if reject:
+                broken = parsed.filter("rejected is not null")
+                reject(broken.select(F.col("rejected").alias("value")), batch_id)
             if batch_id % compact_every == compact_every - 1:
                 archive.compact(batch_id)
         finally:
-            observations.unpersist()
+            parsed.unpersist()
     return skip_empty(handle)
 
 

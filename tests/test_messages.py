@@ -1,7 +1,9 @@
 import pytest
 
 from obsflow.functions.messages import encode_forecast, encode_observation
-from obsflow.operators.messages import archive_columns, decode_messages, rejected_messages
+from obsflow.operators.messages import (
+    archive_columns, decode_messages, parse_messages, rejected_messages,
+)
 from obsflow.schemas import FORECAST, OBS_COLUMNS, OBS_RAW
 
 WIRE = (
@@ -44,6 +46,9 @@ def test_rejects(spark, old, new):
     both = messages(spark, broken, WIRE)
     assert [r.value for r in rejected_messages(both).collect()] == [broken]
     assert decode_messages(both).count() == 1
+    parsed = parse_messages(both).collect()
+    assert sorted(r.rejected or "" for r in parsed) == sorted([broken or "", ""])
+    assert [r.name for r in parsed if r.rejected is None] == ["Milan"]
 
 
 @pytest.mark.parametrize("name", ["Mignano Monte Lungo", "L'Aquila", "Forlì", "A{b}c", "St. X-Y"])

@@ -100,6 +100,24 @@ def test_fan_out_equals_the_batch_result(spark, tmp_path, forecaster):
     assert len(sent) == 150, "rows of an unknown class are archived but not forecast"
 
 
+def test_fan_out_sets_unreadable_messages_apart(spark, tmp_path, forecaster):
+    topic = FolderTopic(str(tmp_path / "in"))
+    publish(topic, spark.createDataFrame([("no message",), ("{}",)], "value string").coalesce(1))
+    send(topic, observations(spark, 0, 10))
+    stream = read_observation_stream(spark, topic)
+    archive = KeyedArchive(
+        spark, str(tmp_path / "archive"), decode_messages(stream).schema, order=ORDER)
+    handle = jobs.fan_out(
+        archive, forecaster, jobs.emit_to_folder(str(tmp_path / "forecast")),
+        reject=jobs.emit_to_folder(str(tmp_path / "rejects")))
+    drain(stream.writeStream.foreachBatch(handle), tmp_path / "c")
+    rejected = spark.read.text(str(tmp_path / "rejects")).select("value").collect()
+    assert sorted(r.value for r in rejected) == ["no message", "{}"]
+    assert spark.read.text(str(tmp_path / "forecast")).count() == 10
+    everything = decode_messages(spark.read.text(topic.path))
+    assert archive.read().exceptAll(latest_per_key(everything, order=ORDER)).count() == 0
+
+
 def test_failed_batch_is_done_over(spark, tmp_path, forecaster):
     topic = FolderTopic(str(tmp_path / "in"))
     send(topic, observations(spark, 0, 30))
