@@ -6,6 +6,8 @@ import __spark_entry__ as entry
 from oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
+#: Nested loops and Python workers have no place in any plan.
+FOREIGN = ("NestedLoopJoin", "CartesianProduct", "EvalPython", "MapInPandas", "FlatMapGroups")
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +18,9 @@ def con():
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for operator in FOREIGN:
+        assert operator not in plan
     sql = entry.oracle_sql().get(name)
     if sql is None:
         assert df.count() > 0
