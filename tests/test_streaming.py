@@ -58,6 +58,21 @@ def test_restart_neither_loses_nor_repeats(spark, tmp_path):
     assert sorted(r.ts for r in got) == [1.6e9 + i * 1800 for i in range(80)]
 
 
+def test_interval_trigger(spark, tmp_path):
+    topic, out = FolderTopic(str(tmp_path / "in")), str(tmp_path / "out")
+    send(topic, observations(spark, 0, 10))
+    stream = decode_messages(read_observation_stream(spark, topic))
+    writer = stream.writeStream.format("parquet").option("path", out)
+    query = jobs.start(writer, str(tmp_path / "c"), interval="1 second")
+    try:
+        query.processAllAvailable()
+        send(topic, observations(spark, 10, 10))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(out).count() == 20
+
+
 def test_intake_limit(spark, tmp_path):
     topic = FolderTopic(str(tmp_path / "in"))
     for i in range(3):
