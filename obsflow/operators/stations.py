@@ -33,12 +33,12 @@ def pair_by_position(left: DataFrame, right: DataFrame, left_order, right_order)
 
 def with_coordinates(df: DataFrame, stations: DataFrame, key: str = "name", salt_by=("event_id",),
                      max_rows: int | None = None) -> DataFrame:
-    """Add lat, lon of each row's station; rows of unlisted stations are left out.
+    """Each row with lat, lon of its station in place of its own; unlisted stations are left out.
 
     ``stations`` lists each station once.
     """
     places = stations.select(key, "lat", "lon")
-    return join_unique(df, places, [key], salt_by, how="inner", max_rows=max_rows)
+    return join_unique(df.drop("lat", "lon"), places, [key], salt_by, how="inner", max_rows=max_rows)
 
 
 def backfill_plan(stations: DataFrame, as_of: int, days: int = BACKFILL_DAYS) -> DataFrame:
