@@ -82,8 +82,8 @@ def text_bytes(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[list(SPACES)] = True
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[list(SPACES)] = True
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray):
@@ -94,7 +94,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray):
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, none
-    inside = ~_IS_SPACE[data]
+    inside = ~IS_SPACE[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     edges = offsets[1:-1]

@@ -1,4 +1,4 @@
 """Imports every operator, which registers its query."""
 
-from obsflow.llm import mixing  # noqa: F401
+from obsflow.llm import mixing, simhash  # noqa: F401
 from obsflow.llm.registry import ORACLES, QUERIES  # noqa: F401
