@@ -121,21 +121,33 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(max(n, 1), base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+_known: dict = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    if len(_known.get(base, ())) <= n:
+        out = np.full(max(2 * n, 1 << 16), base, np.uint64)
+        out[0] = 1
+        _known[base] = np.multiply.accumulate(out)
+    return _known[base][: n + 1]
+
+
+def sequence_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each run of ``values`` (uint64), from one running polynomial over all."""
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * _powers(int(_BASE), len(values))[:-1], out=sums[1:])
+    shift = _powers(int(_INVERSE), len(values))[starts]
+    return mix((sums[ends] - sums[starts]) * shift + (ends - starts).astype(np.uint64))
+
+
+_BYTES = mix(np.arange(1, 257, dtype=np.uint64))
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span, from one running polynomial over all bytes."""
+    """64-bit hash of each byte span."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    values = mix(np.arange(1, 257, dtype=np.uint64))[data]
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values * _powers(_BASE, len(data)), out=sums[1:])
-    shift = _powers(_INVERSE, len(data))[starts]
-    return mix((sums[ends] - sums[starts]) * shift + (ends - starts).astype(np.uint64))
+    return sequence_hashes(_BYTES[data], starts, ends)
 
 
 def shingle_hashes(words: np.ndarray, owner: np.ndarray, size: int, texts: int):
