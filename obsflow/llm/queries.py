@@ -1,4 +1,4 @@
 """Imports every operator, which registers its query."""
 
-from obsflow.llm import mixing, quality, sentencepiece, simhash, substring  # noqa: F401
+from obsflow.llm import mixing, quality, sentencepiece, sharding, simhash, substring  # noqa: F401
 from obsflow.llm.registry import ORACLES, QUERIES  # noqa: F401
