@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import reduce
+import zipfile
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set = set()
+
+
+def shipped(df: DataFrame) -> DataFrame:
+    """``df``, once its session's Python workers have this package, wherever they run."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(__file__).resolve().parent.parent
+        path = Path(tempfile.mkdtemp(prefix="obsflow-ship-")) / f"{root.name}.zip"
+        with zipfile.ZipFile(path, "w") as packed:
+            for file in sorted(root.rglob("*.py")):
+                packed.write(file, file.relative_to(root.parent))
+        context.addPyFile(str(path))
+        _shipped.add(context.applicationId)
+    return df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder: the session's ``spark.checkpoint.dir``.
 
@@ -86,15 +104,16 @@ IS_SPACE = np.zeros(256, bool)
 IS_SPACE[list(SPACES)] = True
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray):
+def words_of(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = IS_SPACE):
     """Start and end byte of each word, and the index of its text.
 
-    A word is a longest run of bytes that are not white space; texts are split at ``offsets``.
+    A word is a longest run of bytes that are not white space (not marked in ``between``, by byte);
+    texts are split at ``offsets``.
     """
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, none
-    inside = ~IS_SPACE[data]
+    inside = ~between[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     edges = offsets[1:-1]
@@ -193,7 +212,7 @@ def running_sum(df: DataFrame, order: list[Column], value: str, into: str,
             if len(values):
                 total, seen = int(ends[-1]), seen + len(values)
 
-    rows = cut(ranged.mapInArrow(add_up, schema))
+    rows = cut(shipped(ranged).mapInArrow(add_up, schema))
     totals = rows.groupBy("_part").agg(F.max(F.col("_local") + F.coalesce(value, F.lit(0))).alias("_sum"),
                                        F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -207,10 +226,6 @@ def running_sum(df: DataFrame, order: list[Column], value: str, into: str,
     return out.select(*df.columns, *made)
 
 
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write to the cluster's shared folder as Parquet and read it back."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsflow.llm.common import cut, running_sum, shingle_hashes, slices, span_hashes, table, text_bytes, words_of
+from obsflow.llm.common import cut, running_sum, shingle_hashes, shipped, slices, span_hashes, table, text_bytes, words_of
 from obsflow.llm.components import connected_components
 from obsflow.llm.registry import query
 
@@ -80,7 +80,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                     [part.column("doc_id"), part.column("row_hash"),
                      pa.array([row.tobytes() for row in found], pa.binary())], names=["doc_id", "row_hash", "signature"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, row_hash long, signature binary")
+    return shipped(rows).mapInArrow(run, f"doc_id {kind}, row_hash long, signature binary")
 
 
 def _jaccard(batches):
@@ -125,7 +125,7 @@ def near_pairs(docs: DataFrame, least: float = LEAST) -> tuple[DataFrame, DataFr
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     texts = docs.select(F.xxhash64(text).alias("row_hash"), text.alias("text"))
-    held = texts.join(wanted, "row_hash").mapInArrow(sets, "class long, shingles binary").dropDuplicates(["class"])
+    held = shipped(texts.join(wanted, "row_hash")).mapInArrow(sets, "class long, shingles binary").dropDuplicates(["class"])
     held = cut(held)
     verified = pairs.join(held.toDF("a", "left_set"), "a").join(held.toDF("b", "right_set"), "b").mapInArrow(
         _jaccard, "a long, b long, jaccard double").filter(F.col("jaccard") >= least)
@@ -191,7 +191,7 @@ def edited(docs: DataFrame) -> DataFrame:
                      pa.array([x.hex() for x in other]), pa.array(likeness(a, b)), pa.array(likeness(a, c))],
                     names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
-    return ready.mapInArrow(
+    return shipped(ready).mapInArrow(
         run, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
              "near_edited double, near_next double")
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsflow.llm.common import (
-    IS_SPACE, sequence_hashes, shingle_hashes, slices, span_hashes, table, text_bytes, with_fields, words_of,
+    IS_SPACE, sequence_hashes, shingle_hashes, shipped, slices, span_hashes, table, text_bytes, with_fields, words_of,
 )
 from obsflow.llm.registry import query
 
@@ -235,7 +235,7 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, max_rows: int = 20_0
                 yield pa.RecordBatch.from_arrays(
                     [*(pa.array(c) for c in np.ascontiguousarray(x.T)), part.column("label")], names=[*NAMES, "label"])
 
-    found = rows.mapInArrow(run, ", ".join(f"{n} double" for n in [*NAMES, "label"])).toArrow()
+    found = shipped(rows).mapInArrow(run, ", ".join(f"{n} double" for n in [*NAMES, "label"])).toArrow()
     x = np.column_stack([found.column(n).to_numpy() for n in [*NAMES, "label"]])
     x = x[np.lexsort(x.T)]  # the same model whatever the order of arrival
     return fit(x[:, :-1], x[:, -1], **options)
@@ -252,7 +252,7 @@ def score(docs: DataFrame, model: AdditiveModel) -> DataFrame:
                 scores = model.score(features(part.column("text")))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores)], names=schema.names)
 
-    return as_text.mapInArrow(run, schema)
+    return shipped(as_text).mapInArrow(run, schema)
 
 
 def trained(spark, sf_dir) -> AdditiveModel:

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsflow.llm.common import slices, table, with_fields
+from obsflow.llm.common import shipped, slices, table, with_fields
 from obsflow.llm.registry import query
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -249,7 +249,7 @@ def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array(np.diff(offsets))], names=schema.names)
 
-    return as_text.mapInArrow(run, schema)
+    return shipped(as_text).mapInArrow(run, schema)
 
 
 def decode(coded: DataFrame, path: str = MODEL) -> DataFrame:
@@ -265,7 +265,7 @@ def decode(coded: DataFrame, path: str = MODEL) -> DataFrame:
             texts = decoder(lists.flatten().to_numpy(zero_copy_only=False), offsets)
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=schema.names)
 
-    return coded.mapInArrow(run, schema)
+    return shipped(coded).mapInArrow(run, schema)
 
 
 def round_trip(docs: DataFrame, path: str = MODEL) -> DataFrame:
@@ -292,7 +292,7 @@ def round_trip(docs: DataFrame, path: str = MODEL) -> DataFrame:
                     [*(part.column(c) for c in kept), lists, pa.array(np.diff(offsets)), pa.array(crcs, pa.int64()), exact],
                     names=schema.names)
 
-    return as_text.mapInArrow(run, schema)
+    return shipped(as_text).mapInArrow(run, schema)
 
 
 @query("op7_sentencepiece")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsflow.llm.common import IS_SPACE, cut, partitions, slices, table, text_bytes, words_of
+from obsflow.llm.common import IS_SPACE, cut, partitions, shipped, slices, table, text_bytes, words_of
 from obsflow.llm.components import connected_components, forest
 from obsflow.llm.registry import query
 
@@ -85,7 +85,7 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED) -> Data
                     names=["doc_id", "row_hash", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, row_hash long, fp long")
+    return shipped(rows).mapInArrow(run, f"doc_id {kind}, row_hash long, fp long")
 
 
 @cache
@@ -197,7 +197,7 @@ def _compare(batches):
 def links(distinct: DataFrame) -> DataFrame:
     """Edges (a, b) that connect all fingerprints (fp) within ``DISTANCE`` bits of each other."""
     spark = distinct.sparkSession
-    copies = distinct.select("fp").mapInArrow(_replicate, "anchor int, fp long, home boolean")
+    copies = shipped(distinct.select("fp")).mapInArrow(_replicate, "anchor int, fp long, home boolean")
     full = cut(copies.filter("home").groupBy("anchor").count().filter(F.col("count") > TILE)
                .select("anchor", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")))
     if full.count() <= MAX_LIST:
@@ -208,7 +208,7 @@ def links(distinct: DataFrame) -> DataFrame:
     rows = tiled.select("anchor", "tile", "fp", (F.col("home") & own).alias("home"))
     dealt = rows.repartition(partitions(spark), "anchor", "tile").sortWithinPartitions(
         "anchor", "tile", F.desc("home"))
-    return dealt.mapInArrow(_compare, "a long, b long")
+    return shipped(dealt).mapInArrow(_compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

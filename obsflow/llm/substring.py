@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsflow.llm.common import (
-    sequence_hashes, slices, span_hashes, table, text_bytes, with_fields, words_of,
+    sequence_hashes, shipped, slices, span_hashes, table, text_bytes, with_fields, words_of,
 )
 from obsflow.llm.registry import query
 
@@ -93,7 +93,7 @@ def spans(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "row_hash", "place", "hash"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, row_hash long, place int, hash long")
+    return shipped(rows).mapInArrow(run, f"doc_id {kind}, row_hash long, place int, hash long")
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -156,7 +156,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(total), pa.array(removed)], names=schema.names)
 
-    return joined.select(*names, "places").mapInArrow(run, schema)
+    return shipped(joined.select(*names, "places")).mapInArrow(run, schema)
 
 
 @query("op3_sentence_spans")

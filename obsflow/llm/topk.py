@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsflow.llm.common import cut, partitions, table
+from obsflow.llm.common import cut, partitions, shipped, table
 from obsflow.llm.registry import query
 
 K, EVERY, BLOCK, QUERIES, FIRST_DEPTH = 5, 50, 8192, 1024, 32
@@ -143,14 +143,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
         dealt = df.select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"),
                           F.size("v").alias("size"), "vec_id", "v")
         dealt = dealt.repartition(partitions(spark), "block").sortWithinPartitions("block", "size")
-        return dealt.mapInArrow(_pack, "block int, size int, ids binary, rows binary"), blocks
+        return shipped(dealt).mapInArrow(_pack, "block int, size int, ids binary, rows binary"), blocks
 
     candidates, blocks = packed(rows, BLOCK)
     sent, _ = packed(queries, QUERIES)
     copies = cut(sent).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     both = candidates.withColumn("is_query", F.lit(False)).unionByName(copies.withColumn("is_query", F.lit(True)))
     met = both.repartition(partitions(spark), "block").sortWithinPartitions("block", "is_query")
-    found = met.mapInArrow(_search(k), "query_id long, vec_id long, score long")
+    found = shipped(met).mapInArrow(_search(k), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
