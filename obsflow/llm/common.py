@@ -68,13 +68,20 @@ def partitions(spark: SparkSession, least: int = 12) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def with_fields(df: DataFrame, fields: str) -> StructType:
-    """The schema of ``df`` followed by ``fields``; fails where a name is taken."""
+def with_fields(df: DataFrame, fields: str) -> tuple[DataFrame, StructType]:
+    """``df`` and its schema followed by ``fields``; these replace columns of the same name."""
     extra = StructType.fromDDL(fields)
-    taken = {name.lower() for name in df.columns} & {f.name.lower() for f in extra}
-    if taken:
-        raise ValueError(f"columns {sorted(taken)} are taken")
-    return StructType(df.schema.fields + extra.fields)
+    taken = {f.name.lower() for f in extra}
+    df = df.select(*(c for c in df.columns if c.lower() not in taken))
+    return df, StructType(df.schema.fields + extra.fields)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores after it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20):
@@ -198,7 +205,7 @@ def running_sum(df: DataFrame, order: list[Column], value: str, into: str,
     """
     spark = df.sparkSession
     ranged = df.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
-    schema = with_fields(df, "_part int, _local long, _row long")
+    _, schema = with_fields(ranged, "_part int, _local long, _row long")
 
     def add_up(batches):
         part, total, seen = TaskContext.get().partitionId(), 0, 0

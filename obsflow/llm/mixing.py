@@ -85,12 +85,12 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, share=SHARE, passes=PASSES
     plan = mix(docs, weights, share, passes).filter("times > 0").select(
         F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"),
         F.col("copy").alias("_copy"), F.col("times").cast("int").alias("_times"))
-    rows = docs.withColumn("_row", F.xxhash64(*sorted(docs.columns)))
-    number = F.row_number().over(Window.partitionBy("doc_id", "_row").orderBy("doc_id"))
-    rows = rows.withColumn("_number", number)
-    taken = rows.join(plan, rows.doc_id.eqNullSafe(plan._id) & (rows._row == plan._hash)
-                      & (rows._number == plan._copy))
-    return taken.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("doc"), "doc_id", F.xxhash64(*sorted(docs.columns)).alias("row"))
+    number = F.row_number().over(Window.partitionBy("doc_id", "row").orderBy("doc_id"))
+    rows = rows.withColumn("number", number)
+    taken = rows.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_hash"))
+                      & (F.col("number") == F.col("_copy")))
+    return taken.withColumn("again", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("doc.*")
 
 
 SQL = r"""

@@ -243,7 +243,7 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, max_rows: int = 20_0
 
 def score(docs: DataFrame, model: AdditiveModel) -> DataFrame:
     """``docs`` with score, the probability of label 1."""
-    schema = with_fields(docs, "score double")
+    docs, schema = with_fields(docs, "score double")
     as_text = docs.withColumn("text", F.col("text").cast("string"))
 
     def run(batches):

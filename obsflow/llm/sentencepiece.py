@@ -238,7 +238,7 @@ class Decoder:
 
 def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """``docs`` with token_ids and n_tokens."""
-    schema = with_fields(docs, "token_ids array<int>, n_tokens long")
+    docs, schema = with_fields(docs, "token_ids array<int>, n_tokens long")
     as_text = docs.withColumn("text", F.col("text").cast("string"))
 
     def run(batches):
@@ -254,7 +254,7 @@ def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
 
 def decode(coded: DataFrame, path: str = MODEL) -> DataFrame:
     """``coded`` with decoded, the text of its token_ids; null ids count as none."""
-    schema = with_fields(coded, "decoded string")
+    coded, schema = with_fields(coded, "decoded string")
 
     def run(batches):
         decoder = Decoder(path)
@@ -274,8 +274,8 @@ def round_trip(docs: DataFrame, path: str = MODEL) -> DataFrame:
 
     Batches are encoded and decoded in one pass, so the texts cross to Python once.
     """
-    kept = [f for f in docs.columns if f != "text"]
-    schema = with_fields(docs.select(kept), "token_ids array<int>, n_tokens long, ids_crc32 long, exact boolean")
+    others, schema = with_fields(docs.drop("text"), "token_ids array<int>, n_tokens long, ids_crc32 long, exact boolean")
+    kept = others.columns
     as_text = docs.select(*kept, F.col("text").cast("string").alias("text"))
 
     def run(batches):

@@ -71,7 +71,7 @@ def assign(docs: DataFrame, max_bytes: int = MAX_BYTES, bits: int = BITS) -> Dat
     The first 60 bits are those of md5 over the id and the md5 of the text, each as text. Sums of
     one row per prefix and depth are all that is shuffled besides the rows' ids and hashes.
     """
-    return _assign(_number(docs), max_bytes, bits).drop("_row")
+    return _assign(_number(docs.select("doc_id", "text")), max_bytes, bits).drop("_row")
 
 
 def directory(assigned: DataFrame) -> DataFrame:
@@ -83,12 +83,13 @@ def directory(assigned: DataFrame) -> DataFrame:
 def write_shards(docs: DataFrame, path: str, max_bytes: int = MAX_BYTES) -> DataFrame:
     """Write the rows as Parquet, one folder ``shard=<bits>`` each, and return the directory.
 
-    The shard without bits is named ``root``.
+    The shard without bits is named ``root``; a column ``shard`` of the rows is replaced.
     """
-    rows = cut(_number(docs))
+    rows = cut(_number(docs.select(F.struct("*").alias("doc"), "doc_id", "text")))
     assigned = _assign(rows, max_bytes, BITS)
+    columns = [F.col("doc")[c] for c in docs.columns if c.lower() != "shard"]
     name = F.when(F.col("shard") == "", "root").otherwise(F.col("shard")).alias("shard")
-    named = rows.join(assigned.select("_row", name), "_row").drop("_row")
+    named = rows.join(assigned.select("_row", name), "_row").select(*columns, "shard")
     named.repartition("shard").write.partitionBy("shard").parquet(path)
     return directory(assigned)
 

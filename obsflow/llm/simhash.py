@@ -231,10 +231,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     stay = found.groupBy("root", "doc_id").agg(F.min("row_hash").alias("_hash")).select(
         F.col("doc_id").alias("_id"), "_hash")
-    rows = docs.withColumn("_row", F.xxhash64(*sorted(docs.columns)))
-    rows = rows.withColumn("_number", F.row_number().over(Window.partitionBy("doc_id", "_row").orderBy("doc_id")))
-    return rows.filter("_number = 1").join(
-        stay, rows.doc_id.eqNullSafe(stay._id) & (rows._row == stay._hash), "left_semi").select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("doc"), "doc_id", F.xxhash64(*sorted(docs.columns)).alias("row"))
+    rows = rows.withColumn("number", F.row_number().over(Window.partitionBy("doc_id", "row").orderBy("doc_id")))
+    return rows.filter("number = 1").join(
+        stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_hash")), "left_semi").select("doc.*")
 
 
 @query("op5_simhash")

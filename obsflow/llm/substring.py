@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsflow.llm.common import (
-    sequence_hashes, shipped, slices, span_hashes, table, text_bytes, with_fields, words_of,
+    fresh, sequence_hashes, shipped, slices, span_hashes, table, text_bytes, with_fields, words_of,
 )
 from obsflow.llm.registry import query
 
@@ -142,21 +142,24 @@ def _cut_texts(texts: pa.Array, places: pa.Array):
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated sentences removed from ``text``, and n_sentences, n_removed."""
-    schema = with_fields(docs, "n_sentences long, n_removed long")
-    names = docs.columns
-    rows = docs.withColumn("_row", F.xxhash64(*sorted(names)))
-    lists = repeated_spans(docs).select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"), "places")
-    joined = rows.join(lists, rows.doc_id.eqNullSafe(lists._id) & (rows._row == lists._hash), "left")
+    found = repeated_spans(docs)
+    key, place = fresh(docs, "row_hash"), fresh(docs, "places")
+    rows = docs.withColumn(key, F.xxhash64(*sorted(docs.columns)))
+    lists = found.select(F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash"), F.col("places").alias(place))
+    same = rows["doc_id"].eqNullSafe(lists["_id"]) & (rows[key] == lists["_hash"])
+    kept, schema = with_fields(docs, "n_sentences long, n_removed long")
+    names = kept.columns
+    joined = rows.join(lists, same, "left").select(*(rows[c] for c in names), lists[place])
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
-                text, total, removed = _cut_texts(part.column("text"), part.column("places"))
+                text, total, removed = _cut_texts(part.column("text"), part.column(place))
                 columns = [text if name == "text" else part.column(name) for name in names]
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(total), pa.array(removed)], names=schema.names)
 
-    return shipped(joined.select(*names, "places")).mapInArrow(run, schema)
+    return shipped(joined).mapInArrow(run, schema)
 
 
 @query("op3_sentence_spans")

@@ -172,7 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, keep: Column, positives: int = POS
 
 def score(docs: DataFrame, model: Classifier) -> DataFrame:
     """``docs`` with score, the probability of being toxic."""
-    schema = with_fields(docs, "score double")
+    docs, schema = with_fields(docs, "score double")
     as_text = docs.withColumn("text", F.col("text").cast("string"))
 
     def run(batches):
