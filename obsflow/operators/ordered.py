@@ -1,135 +1,71 @@
 """Row shifts, row numbers and key joins for groups of any size.
 
 A window sorts each group in one task, so a station holding a third of all rows would be one
-huge task. Here such a group is first divided along its own order into cells of bounded size.
-Every window then works on one cell, and only the few rows at the edges of cells are looked at
-across them. Groups that fit one task take the plain window.
+huge task. Groups are counted first. Those above a fixed bound are range-partitioned along their
+own order into cells, every window works on one cell, and only the few rows at the edges of cells
+are looked at across them. Groups within the bound take the plain window.
 """
 
 from __future__ import annotations
 
 import math
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from obsflow.session import is_small
+from obsflow.session import counted_side, materialize
 
 CELL = "_cell"
-#: Rows one task sorts at most, as far as the order column can tell rows apart.
+#: Rows one task sorts at most, as far as the order columns can tell rows apart.
 MAX_ROWS = 4_000_000
-#: Oversized groups divided per level. The largest come first; one left out holds fewer rows
-#: than total / MAX_SPLIT_GROUPS and is still handled whole, so this bounds the broadcast only.
-MAX_SPLIT_GROUPS = 100_000
 #: Tasks that rows with a null join key are dealt out to.
 NULL_SHARES = 1024
-_MAX_LEVELS = 16
-_MAX_FANOUT = 65_536
 
 
 def _plain(keys, order):
     return Window.partitionBy(*keys).orderBy(*order)
 
 
-def _oversized(rows: DataFrame, keys, order, max_rows: int) -> list:
-    """Groups above ``max_rows`` with the extent of every order column: at most total/max_rows."""
-    extents = []
-    for i, c in enumerate(order):
-        extents += [F.min(c).alias(f"_lo{i}"), F.max(c).alias(f"_hi{i}"), F.count(c).alias(f"_n{i}")]
-    return (
-        rows.groupBy(*keys, CELL)
-        .agg(F.count(F.lit(1)).alias("_n"), *extents)
-        .filter(F.col("_n") > max_rows)
-        .orderBy(F.col("_n").desc())
-        .limit(MAX_SPLIT_GROUPS)
-        .collect()
-    )
+def _oversized(df: DataFrame, keys, max_rows: int) -> DataFrame:
+    """Keys, as ``_k0, _k1, ...``, and counted rows ``_n`` of the groups above ``max_rows``."""
+    counts = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
+        F.count(F.lit(1)).alias("_n"))
+    return materialize(counts.filter(F.col("_n") > max_rows))
 
 
-def _same_cell(keys) -> Column:
-    """The row's group and cell are those in ``_k0, _k1, ...`` and ``_c``; null keys are a group."""
-    match = F.col(CELL) == F.col("_c")
-    for i, k in enumerate(keys):
-        match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return match
+def _same_group(keys) -> Column:
+    """The row's group is ``_k0, _k1, ...``; null keys are a group."""
+    return reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], F.lit(True))
 
 
-def _cut(group, axes: int, max_rows: int):
-    """Where to divide a group: the column, its lowest value, the width and number of parts.
+def divide(df: DataFrame, keys, order, max_rows: int = MAX_ROWS):
+    """The rows of groups within ``max_rows``, and apart the others with their ``_cell``.
 
-    A later column may be cut only where all earlier ones are constant. None where the first one
-    that varies cannot be cut: it is not finite, or differs by less than a double can tell.
-    """
-    for axis in range(axes):
-        low, high, known = group[f"_lo{axis}"], group[f"_hi{axis}"], group[f"_n{axis}"]
-        if known == 0 or (known == group["_n"] and low == high):
-            continue
-        low, span = float(low), float(high) - float(low)
-        if not math.isfinite(span) or (span == 0 and known == group["_n"]):
-            return None
-        parts = min(math.ceil(2 * group["_n"] / max_rows), _MAX_FANOUT)
-        return axis, low, span / parts or 1.0, parts
-    return None
-
-
-def _subdivide(rows: DataFrame, hot: list, keys, order, max_rows: int):
-    """Divide the groups in ``hot`` into equal widths of their first order column that varies.
-
-    Returns all rows with their new cell and, apart, the rows of the divided groups.
+    The second is None where no group is above. ``order`` names columns that together are unique
+    within a group. Cells follow ``order``: they are range partitions of sampled quantiles, so
+    outliers, nulls, NaN and infinities only end up in the first or last cells. Cells still above
+    the bound are cut again with twice as many ranges, until rows equal in ``order`` are all that
+    is left together.
     """
-    plan = []
-    for group in hot:
-        cut = _cut(group, len(order), max_rows)
-        if cut:
-            plan.append((*[group[k] for k in keys], group[CELL], *cut))
-    if not plan:
-        return rows, None
-    names = ["_c", "_axis", "_low", "_step", "_fanout"]
-    if not keys and not plan[0][0]:  # the whole input, not cut before: nothing to look up
-        marked = rows.select("*", *[F.lit(v).alias(n) for n, v in zip(names, plan[0])])
+    counts = _oversized(df, keys, max_rows)
+    groups, total = counts.agg(F.count(F.lit(1)), F.sum("_n")).first()
+    if not groups:
+        return df, None
+    if keys:
+        hot = counted_side(counts)
+        rest = df.join(hot, _same_group(keys), "left_anti")
+        rows = df.join(hot, _same_group(keys), "left_semi")
     else:
-        types = ["array<bigint>", "int", "double", "double", "bigint"]
-        schema = ", ".join(
-            [f"_k{i} {rows.schema[k].dataType.simpleString()}" for i, k in enumerate(keys)]
-            + [f"{n} {t}" for n, t in zip(names, types)]
-        )
-        table = F.broadcast(rows.sparkSession.createDataFrame(plan, schema))
-        marked = rows.join(table, _same_cell(keys), "left")
-    value = F.lit(None).cast("double")
-    for axis, c in enumerate(order):
-        value = F.when(F.col("_axis") == axis, F.col(c).cast("double")).otherwise(value)
-    # Nulls sort first, hence cell -1.
-    part = F.when(value.isNull(), F.lit(-1).cast("bigint")).otherwise(
-        F.least(F.floor((value - F.col("_low")) / F.col("_step")), F.col("_fanout") - 1)
-    )
-    cell = F.when(F.col("_c").isNull(), F.col(CELL)).otherwise(
-        F.concat(F.col(CELL), F.array(part))
-    )
-    columns = [c for c in rows.columns if c != CELL]
-    divided = marked.select(*columns, cell.alias(CELL))
-    inside = marked.filter(F.col("_c").isNotNull()).select(*keys, *order, cell.alias(CELL))
-    return divided, inside
-
-
-def split_ordered(df: DataFrame, keys, order, max_rows: int = MAX_ROWS):
-    """Add ``_cell``, an array that follows ``order`` within each group, and say if any was split.
-
-    ``order`` names numeric columns that together are unique within a group. A group of at most
-    ``max_rows`` rows has the one cell ``[]``. Each level reads only the keys and the order
-    columns, and from the second level on only the rows of groups that are still too large.
-    """
-    rows = df.withColumn(CELL, F.array().cast("array<bigint>"))
-    inspected, split = rows, False
-    for _ in range(_MAX_LEVELS):
-        hot = _oversized(inspected, keys, order, max_rows)
-        if not hot:
-            break
-        rows, inspected = _subdivide(rows, hot, keys, order, max_rows)
-        if inspected is None:
-            break
-        split = True
-    return rows, split
+        rest, rows = df.limit(0), df
+    parts, before = math.ceil(2 * total / max_rows), None
+    while True:
+        ranged = rows.repartitionByRange(parts, *keys, *order)
+        cells = materialize(ranged.withColumn(CELL, F.spark_partition_id().cast("bigint")))
+        largest = cells.groupBy(*keys, CELL).count().agg(F.max("count")).first()[0]
+        if largest <= max_rows or largest == before:
+            return rest, cells
+        parts, before = 2 * parts, largest
 
 
 def shift_rows(
@@ -137,8 +73,7 @@ def shift_rows(
 ) -> DataFrame:
     """Add columns holding the value ``n`` rows earlier (``n`` < 0: later) in the group.
 
-    ``outputs`` maps each new column to the column it shifts. ``max_rows`` None means the default
-    bound, checked only where the input is not small anyway.
+    ``outputs`` maps each new column to the column it shifts.
     """
     keys, order = list(keys), list(order)
     shift = F.lag if n > 0 else F.lead
@@ -147,27 +82,24 @@ def shift_rows(
     def shifted(window) -> list[Column]:
         return [shift(c, distance).over(window).alias(out) for out, c in outputs.items()]
 
-    if max_rows is None and is_small(df):
-        return df.select("*", *shifted(_plain(keys, order)))
-    rows, split = split_ordered(df, keys, order, max_rows or MAX_ROWS)
-    if not split:
-        return df.select("*", *shifted(_plain(keys, order)))
-
+    rest, cells = divide(df, keys, order, max_rows or MAX_ROWS)
+    whole = rest.select("*", *shifted(_plain(keys, order)))
+    if cells is None:
+        return whole
     within = _plain([*keys, CELL], order)
-    local = rows.select(
+    local = materialize(cells.select(
         "*", *shifted(within),
         (F.lag(F.lit(1), distance).over(within).isNull()).alias("_head"),
         (F.lead(F.lit(1), distance).over(within).isNull()).alias("_tail"),
-    )
-    divided = F.size(CELL) > 0
+    ))
     # The rows whose partner lies in another cell. The first and last rows of the cells, taken
     # alone, keep every such partner at its distance.
     open_end = F.col("_head") if n > 0 else F.col("_tail")
-    edges = local.filter(divided & (F.col("_head") | F.col("_tail"))).drop(*outputs)
+    edges = local.filter(F.col("_head") | F.col("_tail")).drop(*outputs)
     repaired = edges.select("*", *shifted(_plain(keys, order))).filter(open_end)
     columns = [*df.columns, *outputs]
     return (
-        local.filter(~(divided & open_end)).select(*columns)
+        whole.unionByName(local.filter(~open_end).select(*columns))
         .unionByName(repaired.select(*columns))
     )
 
@@ -177,30 +109,28 @@ def row_positions(
 ) -> DataFrame:
     """Add the 0-based position of each row within its group; ``keys`` may be empty.
 
-    Without keys there is one group, the whole input, so it is always divided by the bound:
-    positions are counted per cell and shifted by the sizes of the cells before it.
+    Positions in a divided group are counted per cell and shifted by the sizes of the cells
+    before it. Without keys the whole input is one group.
     """
     keys, order = list(keys), list(order)
-    if keys and max_rows is None and is_small(df):
-        return df.withColumn(out, (F.row_number().over(_plain(keys, order)) - 1).cast("bigint"))
-    rows, split = split_ordered(df, keys, order, max_rows or MAX_ROWS)
-    within = _plain([*keys, CELL], order)
-    numbered = rows.withColumn(out, (F.row_number().over(within) - 1).cast("bigint"))
-    if not split:
-        return numbered.drop(CELL)
+
+    def numbered(rows: DataFrame, groups) -> DataFrame:
+        number = F.row_number().over(_plain(groups, order)) - 1
+        return rows.withColumn(out, number.cast("bigint"))
+
+    rest, cells = divide(df, keys, order, max_rows or MAX_ROWS)
+    if cells is None:
+        return numbered(rest, keys)
     before = Window.partitionBy(*keys).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.filter(F.size(CELL) > 0)
-        .groupBy(*keys, CELL).agg(F.count(F.lit(1)).alias("_n"))
-        .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                F.col(CELL).alias("_c"),
-                F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    )
-    # One row per cell, at most about 4 * total / max_rows: small next to the rows, and left to
-    # the optimizer to broadcast by its measured size.
-    return numbered.join(offsets, _same_cell(keys), "left").select(
-        *df.columns, (F.col(out) + F.coalesce(F.col("_before"), F.lit(0))).alias(out)
-    )
+    sizes = cells.groupBy(*keys, CELL).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = materialize(sizes.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(CELL).alias("_c"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+    ))
+    placed = numbered(cells, [*keys, CELL]).join(
+        counted_side(offsets), _same_group(keys) & (F.col(CELL) == F.col("_c"))
+    ).select(*df.columns, (F.col(out) + F.col("_before")).alias(out))
+    return numbered(rest, keys).unionByName(placed) if keys else placed
 
 
 def join_unique(
@@ -214,18 +144,13 @@ def join_unique(
     total / max_rows rows to the right side.
     """
     keys = list(keys)
-    if max_rows is None and is_small(left):
-        return left.join(right, keys, how)
     limit = max_rows or MAX_ROWS
-    hot = (
-        left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
-        .orderBy(F.col("_n").desc()).limit(MAX_SPLIT_GROUPS)
-        .select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_shares"))
-    )
-    rows = hot.collect()
-    if not rows:
+    hot = _oversized(left, keys, limit)
+    if hot.isEmpty():
         return left.join(right, keys, how)
-    shares = F.broadcast(left.sparkSession.createDataFrame(rows, hot.schema))
+    shares = counted_side(hot.select(
+        *[F.col(f"_k{i}").alias(k) for i, k in enumerate(keys)],
+        F.ceil(F.col("_n") / limit).cast("int").alias("_shares")))
     # Null keys match nothing; dealing them out keeps them from gathering in one task.
     nullable = reduce(or_, [F.col(k).isNull() for k in keys])
     width = F.when(nullable, F.lit(NULL_SHARES)).otherwise(F.col("_shares"))

@@ -35,9 +35,10 @@ def with_coordinates(df: DataFrame, stations: DataFrame, key: str = "name", salt
                      max_rows: int | None = None) -> DataFrame:
     """Each row with lat, lon of its station in place of its own; unlisted stations are left out.
 
-    ``stations`` lists each station once.
+    Of a station that ``stations`` lists more than once the least (lat, lon) counts.
     """
-    places = stations.select(key, "lat", "lon")
+    places = stations.groupBy(key).agg(F.min(F.struct("lat", "lon")).alias("_place")).select(
+        key, "_place.lat", "_place.lon")
     return join_unique(df.drop("lat", "lon"), places, [key], salt_by, how="inner", max_rows=max_rows)
 
 

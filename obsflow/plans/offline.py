@@ -9,7 +9,7 @@ from obsflow.functions.weather import kelvin_to_celsius, merge_weather, temp_ban
 from obsflow.operators.flatten import flatten_history_documents
 from obsflow.operators.labels import label_lag, training_table
 from obsflow.operators.models import fit_forecaster, save_model
-from obsflow.session import is_small, materialize
+from obsflow.session import materialize
 from obsflow.sources.files import dedup_history, read_history, write_csv
 
 #: Rows of one hour keep the order of their conditions in the payload.
@@ -19,12 +19,10 @@ HISTORY_ORDER = ("ts", "condition")
 def history_to_training(raw: DataFrame, max_rows=None) -> DataFrame:
     """Flattened history, possibly with pages appended twice, to training rows with ``name``.
 
-    Large inputs are written once before the shift, which reads its input several times, so that
+    The rows are written once before the shift, which reads its input several times, so that
     documents are parsed and deduplicated once.
     """
-    unique = dedup_history(raw, order=("condition",))
-    if not is_small(unique):
-        unique = materialize(unique, "history")
+    unique = materialize(dedup_history(raw, order=("condition",)))
     return training_table(unique, order=HISTORY_ORDER, keep=("name",), max_rows=max_rows)
 
 
@@ -35,7 +33,7 @@ def build_training_files(spark: SparkSession, documents: str, out: str) -> None:
 
 def train(table: DataFrame, path: str, **settings) -> PipelineModel:
     """Fit on a training table and save. The table is written once, as fitting reads it often."""
-    model = fit_forecaster(materialize(table, "training"), **settings)
+    model = fit_forecaster(materialize(table), **settings)
     save_model(model, path)
     return model
 

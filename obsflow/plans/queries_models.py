@@ -39,7 +39,7 @@ def training_rows(spark, sf):
     """The training table of the known classes, written once because fitting reads it often."""
     rows = training_table(observations(spark, sf), keep=("event_id",))
     known = F.col("weather").isin(*FINAL_CLASSES) & F.col("weather_forecast").isin(*FINAL_CLASSES)
-    return materialize(rows.filter(known), "training")
+    return materialize(rows.filter(known))
 
 
 def forecaster(spark, sf):

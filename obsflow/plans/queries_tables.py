@@ -12,7 +12,7 @@ from obsflow.operators.split import in_training
 from obsflow.plans.offline import history_to_training, persistence_forecast
 from obsflow.operators.flatten import flatten_history
 from obsflow.plans.queries_scalar import band_rows, lagged_observations, merged_observations
-from obsflow.plans.registry import cells_of, query
+from obsflow.plans.registry import query
 from obsflow.plans.testview import (
     EXPLODED_SQL, LAGGED_SQL, MERGED_SQL, OBS_SQL, history_payloads, observations, table,
 )
@@ -23,6 +23,8 @@ from obsflow.sources.archive import KeyedArchive, latest_per_key
 from obsflow.functions.text import station_from_path
 
 _RAW = ", ".join(OBS_RAW_COLUMNS)
+#: The row bound of the queries that put the split paths to work.
+HOT_ROWS = 400
 
 
 @query("flagship_forecast", f"""with {LAGGED_SQL}, {band_rows()}, rows as (
@@ -67,7 +69,7 @@ _HOT_SQL = f"""with {MERGED_SQL}, hot as (select *, case when pressure < 1023 th
  from hot window w as (partition by side order by ts, event_id)""")
 def lag_hot_groups(spark, sf):
     rows = _hot(spark, sf)
-    return label_lag(rows, keys=("side",), max_rows=cells_of(rows)).select(
+    return label_lag(rows, keys=("side",), max_rows=HOT_ROWS).select(
         "event_id", "side", "weather_forecast", "temp_forecast"
     )
 
@@ -77,7 +79,7 @@ def lag_hot_groups(spark, sf):
  from hot window w as (partition by side order by ts, event_id)""")
 def lead_hot_groups(spark, sf):
     rows = _hot(spark, sf)
-    return label_lead(rows, keys=("side",), max_rows=cells_of(rows)).select(
+    return label_lead(rows, keys=("side",), max_rows=HOT_ROWS).select(
         "event_id", "side", "weather_forecast", "temp_forecast"
     )
 
@@ -86,7 +88,7 @@ def lead_hot_groups(spark, sf):
  partition by side order by ts, event_id) - 1 as bigint) as position from hot""")
 def positions(spark, sf):
     rows = _hot(spark, sf).select("event_id", "side", "ts")
-    return row_positions(rows, ["side"], ["ts", "event_id"], max_rows=cells_of(rows)).drop("ts")
+    return row_positions(rows, ["side"], ["ts", "event_id"], max_rows=HOT_ROWS).drop("ts")
 
 
 @query("label_lead3", f"""with {MERGED_SQL} select event_id, lead(weather, 3) over w as
@@ -116,7 +118,7 @@ def at_offset(spark, sf):
  from timed left join last on last.side = timed.side and last.h = timed.h + 3""")
 def at_offset_hot_hours(spark, sf):
     rows = _hot(spark, sf)
-    return label_at_offset(rows, key="side", max_rows=cells_of(rows, 1440, 2)).select(
+    return label_at_offset(rows, key="side", max_rows=HOT_ROWS).select(
         "event_id", "weather_forecast", "temp_forecast"
     )
 
@@ -206,7 +208,7 @@ def first_n(spark, sf):
  count(*) as n, string_agg(cast(id as varchar), ',' order by i) as ids from numbered group by 1""")
 def batch_ids(spark, sf):
     ids = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"))
-    return s.batch_ids(ids, ["id"], max_rows=cells_of(ids))
+    return s.batch_ids(ids, ["id"], max_rows=HOT_ROWS)
 
 
 _SHUFFLE_SQL = """shuffled as (select cast(c_custkey as varchar) as id, c_custkey,
@@ -226,7 +228,7 @@ def shuffle_ids(spark, sf):
 def batch_shuffled_ids(spark, sf):
     ids = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"))
     keyed = ids.withColumn("shuffle_key", s.shuffle_key("id"))
-    return s.batch_ids(keyed, ["shuffle_key", "id"], max_rows=cells_of(ids))
+    return s.batch_ids(keyed, ["shuffle_key", "id"], max_rows=HOT_ROWS)
 
 
 @query("hash_split", f"""with {OBS_SQL} select event_id, cast(cast(('0x' || substr(md5(cast(event_id

@@ -13,8 +13,3 @@ def query(name: str, sql: str | None = None):
             ORACLES[name] = sql
         return function
     return register
-
-
-def cells_of(df, parts: int = 64, least: int = 50) -> int:
-    """A row bound that divides ``df`` into about ``parts``, to put the split path to work."""
-    return max(df.count() // parts, least)

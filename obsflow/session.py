@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-#: Inputs the optimizer estimates below this size are handled as one sortable unit per group.
-SMALL_INPUT_BYTES = 64 * 1024 * 1024
+#: Rows up to which a side that was counted is sent to every task; beyond it is joined.
+BROADCAST_ROWS = 100_000
 
 
 def build_session(app_name: str = "obsflow", master: str | None = None, **conf) -> SparkSession:
@@ -16,6 +19,7 @@ def build_session(app_name: str = "obsflow", master: str | None = None, **conf)
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -28,34 +32,40 @@ def build_session(app_name: str = "obsflow", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the cluster's shared checkpoint folder.
+@cache
+def _local_scratch() -> str:
+    """One folder a process, for local sessions without a configured one; goes when it ends."""
+    root = tempfile.mkdtemp(prefix="obsflow-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
-    A machine-local folder is used only in local mode, where no folder is configured.
-    """
+
+def _scratch_root(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder; a machine-local one only in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="obsflow-")
-    return f"{root.rstrip('/')}/obsflow-{label}-{uuid.uuid4().hex}"
+        root = _local_scratch()
+    return root.rstrip("/")
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write once to the shared scratch folder and read back, where several jobs use a result."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path below the cluster's shared checkpoint folder."""
+    return f"{_scratch_root(spark)}/obsflow-{label}-{uuid.uuid4().hex}"
+
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute once, to a reliable checkpoint, where several jobs use a result.
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate, or None where it has none to give."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:
-        return None
+    The files go when the frame is no longer referenced and the session's context cleaner runs.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(_scratch_root(df.sparkSession))
+    return df.checkpoint(eager=True)
 
 
-def is_small(df: DataFrame) -> bool:
-    size = estimated_bytes(df)
-    return size is not None and size <= SMALL_INPUT_BYTES
+def counted_side(df: DataFrame) -> DataFrame:
+    """A materialised join side: sent to every task where its count is within ``BROADCAST_ROWS``."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df

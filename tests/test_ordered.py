@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from obsflow.operators.ordered import join_unique, row_positions, shift_rows, split_ordered
+from obsflow.operators.ordered import divide, join_unique, row_positions, shift_rows
 
 SCHEMA = "name string, ts double, id bigint, value double"
 
@@ -68,18 +68,39 @@ def test_row_positions_of_the_whole_input(spark, max_rows):
     assert [result[r[2]] for r in ordered] == list(range(len(data)))
 
 
+def largest_cell(df, bound, keys=("name",)):
+    rest, cells = divide(df, list(keys), ["ts", "id"], bound)
+    assert rest.count() + cells.count() == df.count()
+    return cells.groupBy(*keys, "_cell").count().agg({"count": "max"}).first()[0]
+
+
 def test_cells_are_bounded(spark):
     data = [("hot", 5.0, i, 0.0) for i in range(1000)] + [("a", float(i), i, 0.0) for i in range(9)]
-    cells, split = split_ordered(spark.createDataFrame(data, SCHEMA), ["name"], ["ts", "id"], 50)
-    sizes = cells.groupBy("name", "_cell").count().toPandas()
-    assert split and sizes["count"].max() <= 50
-    assert len(sizes[sizes.name == "a"]) == 1
+    df = spark.createDataFrame(data, SCHEMA)
+    assert largest_cell(df, 50) <= 50
+    rest, _ = divide(df, ["name"], ["ts", "id"], 50)
+    assert {r.name for r in rest.collect()} == {"a"}
+
+
+def test_nan_infinity_and_outliers_do_not_keep_a_group_whole(spark):
+    odd = [float("nan"), float("inf"), float("-inf"), None, 1e300, -1e300]
+    data = [("hot", odd[i] if i < 6 else float(i), i, float(i)) for i in range(1000)]
+    df = spark.createDataFrame(data, SCHEMA)
+    assert largest_cell(df, 50) <= 50
+    got = {r.id: r.position for r in row_positions(df, ["name"], ["ts", "id"], max_rows=50).collect()}
+    assert got == {r.id: r.position for r in row_positions(df, ["name"], ["ts", "id"]).collect()}
+
+
+def test_a_small_file_that_explodes_is_counted(spark, tmp_path):
+    spark.range(20).select(F.array_repeat(F.lit(1.0), 500).alias("x"), "id").coalesce(1).write.parquet(f"{tmp_path}/p")
+    rows = spark.read.parquet(f"{tmp_path}/p").select(F.lit("hot").alias("name"), F.posexplode("x").alias("ts", "v"), "id")
+    assert largest_cell(rows, 700) <= 700
 
 
 def test_equal_order_values_end_the_division(spark):
     data = [("hot", 5.0, 7, float(i)) for i in range(100)]
-    cells, split = split_ordered(spark.createDataFrame(data, SCHEMA), ["name"], ["ts", "id"], 10)
-    assert not split and cells.count() == 100
+    _, cells = divide(spark.createDataFrame(data, SCHEMA), ["name"], ["ts", "id"], 10)
+    assert cells.count() == 100
 
 
 def test_lag_then_lead_restores_the_column(spark):
