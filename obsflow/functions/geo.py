@@ -20,10 +20,14 @@ def mercator_y(lat, scale=1.0, ty=0.0) -> Column:
 
 
 def fit_scale(min_x, min_y, max_x, max_y, width, height, pad) -> Column:
-    """Largest scale at which the bounds fill at most ``pad`` of the width and of the height."""
-    across = F.lit(float(pad)) / ((_col(max_x) - _col(min_x)) / F.lit(float(width)))
-    down = F.lit(float(pad)) / ((_col(max_y) - _col(min_y)) / F.lit(float(height)))
-    return F.least(across, down)
+    """Largest scale at which the bounds fill at most ``pad`` of the width and of the height.
+
+    A side of no extent leaves the scale to the other; a single point gets scale 1.
+    """
+    across = F.try_divide(F.lit(float(pad)), (_col(max_x) - _col(min_x)) / F.lit(float(width)))
+    down = F.try_divide(F.lit(float(pad)), (_col(max_y) - _col(min_y)) / F.lit(float(height)))
+    known = _col(min_x).isNotNull()
+    return F.coalesce(F.least(across, down), F.when(known, F.lit(1.0)))
 
 
 def centre_offset(low, high, scale, size) -> Column:

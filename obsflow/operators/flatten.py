@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
+from obsflow.functions.messages import is_finite
 from obsflow.schemas import GROUP, HISTORY, OBS_RAW_COLUMNS
 
 _CORRUPT = "_corrupt"
@@ -19,6 +20,7 @@ _GROUP_FIELDS = {
 _EXTENDED_FIELDS = {
     "id": "id", **_GROUP_FIELDS, "tempmin": "main.temp_min", "tempmax": "main.temp_max",
 }
+_NOT_NUMBERS = ("name", "id")
 _HISTORY_FIELDS = {
     "ts": "dt", "temp": "temp", "tempfelt": "feels_like", "pressure": "pressure",
     "humidity": "humidity",
@@ -36,7 +38,8 @@ def _is_whole(element: Column, fields) -> Column:
         element["weather"], lambda condition: condition["main"].isNull()
     )
     for path in fields:
-        whole = whole & _field(element, path).isNotNull()
+        value = _field(element, path)
+        whole = whole & (value.isNotNull() if path in _NOT_NUMBERS else is_finite(value))
     return whole
 
 
@@ -57,7 +60,7 @@ def _whole_group(fields):
 
 
 def _whole_history(payload: Column) -> Column:
-    placed = payload["lon"].isNotNull() & payload["lat"].isNotNull()
+    placed = F.coalesce(is_finite(payload["lon"]) & is_finite(payload["lat"]), F.lit(False))
     return placed & _whole_list(payload, "hourly", _HISTORY_FIELDS.values())
 
 
@@ -83,6 +86,10 @@ def flatten_group(payloads: DataFrame, column: str = "value", extended: bool = F
     """Payloads of several stations to raw observations; ``extended`` adds id, tempmin, tempmax."""
     fields = _EXTENDED_FIELDS if extended else _GROUP_FIELDS
     whole = payloads.select(_payload_where(_parsed(column, GROUP), _whole_group(fields.values())))
+    return _group_rows(whole, fields)
+
+
+def _group_rows(whole: DataFrame, fields) -> DataFrame:
     items = whole.select(F.explode("_payload.list").alias("_e"))
     rows = items.select(
         *[_field(F.col("_e"), path).alias(c) for c, path in fields.items()],
@@ -133,16 +140,46 @@ def _history_rows(payloads: DataFrame, position: str | None) -> DataFrame:
 
 def rejected_payloads(payloads: DataFrame, column: str = "value", kind: str = "group") -> DataFrame:
     """Payloads the flattening leaves out: unreadable ones and ones that miss a required field."""
-    if kind == "group":
-        schema, whole = GROUP, _whole_group(_GROUP_FIELDS.values())
-    elif kind == "history":
-        schema, whole = HISTORY, _whole_history
-    else:
-        raise ValueError(f"unknown kind {kind!r}")
+    schema, whole = _KINDS[kind]
     broken = _payload_where(_parsed(column, schema), lambda payload: ~whole(payload))
     return payloads.select("*", broken).drop("_payload")
 
 
+#: Schema and test of wholeness of each kind of payload.
+_KINDS = {
+    "group": (GROUP, _whole_group(_GROUP_FIELDS.values())),
+    "extended": (GROUP, _whole_group(_EXTENDED_FIELDS.values())),
+    "history": (HISTORY, _whole_history),
+}
+
+
+def parse_payloads(payloads: DataFrame, column: str = "value", kind: str = "group") -> DataFrame:
+    """All payloads parsed once: the input's columns, ``_payload`` and whether it is ``_whole``.
+
+    Persist the result where both sides are used; ``rows_of_parsed`` and ``rejects_of_parsed``
+    read it.
+    """
+    schema, whole = _KINDS[kind]
+    # The one-element list keeps Catalyst from parsing again for every field the test names.
+    tested = F.transform(F.array(_parsed(column, schema)),
+                         lambda p: F.struct(p.alias("payload"), F.coalesce(whole(p), F.lit(False)).alias("whole")))
+    parsed = payloads.select("*", F.explode(tested).alias("_tested"))
+    return parsed.select(*payloads.columns, F.col("_tested.payload").alias("_payload"),
+                         F.col("_tested.whole").alias("_whole"))
+
+
+def rows_of_parsed(parsed: DataFrame, kind: str = "group", position: str | None = None) -> DataFrame:
+    """Raw observations of the whole payloads."""
+    whole = parsed.filter("_whole")
+    if kind == "history":
+        return _history_rows(whole.select("name", "_payload"), position)
+    return _group_rows(whole.select("_payload"), _EXTENDED_FIELDS if kind == "extended" else _GROUP_FIELDS)
+
+
+def rejects_of_parsed(parsed: DataFrame) -> DataFrame:
+    return parsed.filter(~F.col("_whole")).drop("_payload", "_whole")
+
+
 def drop_section(payloads: DataFrame, column: str, schema: DataType) -> DataFrame:
     """Rewrite JSON text with only the sections ``schema`` names; all others are cut."""
     return payloads.withColumn(column, F.to_json(F.from_json(column, schema)))

@@ -276,13 +276,17 @@ def json_array_per_station(spark, sf):
     )
 
 
-@query("json_array_roundtrip", f"with {OBS_SQL} select event_id, {_RAW} from obs")
+@query("json_array_roundtrip", f"""with {OBS_SQL}, numbered as (select *, cast((row_number() over (
+ partition by name order by ts, event_id) - 1) // 20 as bigint) as page from obs)
+ select event_id, page, {_RAW} from numbered""")
 def json_array_roundtrip(spark, sf):
+    """Several pages a station, each a file of its own, through the whole-document reader."""
     path = scratch_path(spark, "arrays")
     obs = observations(spark, sf)
-    pages = s.json_pages(obs, ["event_id", *OBS_RAW_COLUMNS], ["ts", "event_id"])
+    pages = s.json_pages(obs, ["event_id", *OBS_RAW_COLUMNS], ["ts", "event_id"], page_rows=20)
     files.write_json_arrays(pages, path)
-    return files.read_json_arrays(spark, path, obs.schema).select("event_id", *OBS_RAW_COLUMNS)
+    rows = files.read_observation_arrays(spark, path, obs.schema, page="page")
+    return rows.select("event_id", "page", *OBS_RAW_COLUMNS)
 
 
 @query("append_history_dedup", f"""with {OBS_SQL} select event_id, {_RAW} from obs qualify

@@ -72,12 +72,12 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_json_arrays(pages: DataFrame, path: str, key: str = "name", mode: str = "errorifexists"):
-    """Arrays from ``stations.json_pages``, one per line, in one folder per station.
+    """Arrays from ``stations.json_pages``: each page a file of its own, one JSON array.
 
-    A station of one page gets one file that is one JSON array.
+    Files lie in folders per station and page, so both readers see every page.
     """
-    rows, folders = _by_folder(pages.select(key, F.col("json").alias("value")), key, None)
-    rows.write.mode(mode).partitionBy(*folders).text(path)
+    rows, folders = _by_folder(pages.select(key, "page", F.col("json").alias("value")), key, None)
+    rows.write.mode(mode).partitionBy(*folders, "page").text(path)
 
 
 def read_json_arrays(spark: SparkSession, path: str, schema: StructType = OBS_RAW) -> DataFrame:
@@ -85,9 +85,15 @@ def read_json_arrays(spark: SparkSession, path: str, schema: StructType = OBS_RA
     return spark.read.schema(schema).json(path).select(*schema.fieldNames())
 
 
-def read_observation_arrays(spark: SparkSession, path: str) -> DataFrame:
-    """Observations from files that are one JSON array each, over any number of lines."""
-    return spark.read.schema(OBS_RAW).json(path, multiLine=True)
+def read_observation_arrays(spark: SparkSession, path: str, schema: StructType = OBS_RAW,
+                            page: str | None = None) -> DataFrame:
+    """Observations from files that are one JSON array each, over any number of lines.
+
+    ``page`` names a column for the number of the page a row comes from.
+    """
+    rows = spark.read.schema(schema).json(path, multiLine=True)
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"page=(\d+)/", 1).cast("bigint")
+    return rows.select(*schema.fieldNames(), *([number.alias(page)] if page else []))
 
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
