@@ -275,7 +275,7 @@ def stream_upsert(spark, sf):
     )
     archive = KeyedArchive(spark, scratch_path(spark, "running"), rows.schema)
     running = jobs.running_latest(rows, archive.keys, archive.order)
-    writer = running.writeStream.outputMode("update").foreachBatch(jobs.skip_empty(archive.upsert))
+    writer = running.writeStream.outputMode("update").foreachBatch(jobs.upsert_to(archive, 4))
     drain(writer, scratch_path(spark, "running-checkpoint"))
     return archive.read()
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from obsflow.constants import FINAL_CLASSES
@@ -16,10 +18,10 @@ from obsflow.plans.registry import query
 from obsflow.plans.testview import (
     EXPLODED_SQL, LAGGED_SQL, MERGED_SQL, OBS_SQL, history_payloads, observations, table,
 )
-from obsflow.schemas import OBS_RAW, OBS_RAW_COLUMNS
+from obsflow.schemas import OBS_COLUMNS, OBS_RAW, OBS_RAW_COLUMNS
 from obsflow.session import scratch_path
 from obsflow.sources import files
-from obsflow.sources.archive import KeyedArchive, latest_per_key
+from obsflow.sources.archive import KeyedArchive, create_archive_table, latest_per_key
 from obsflow.functions.text import station_from_path
 
 _RAW = ", ".join(OBS_RAW_COLUMNS)
@@ -327,11 +329,39 @@ def upsert_latest(spark, sf):
     archive.upsert(second, 0)
     archive.upsert(first, 1)
     archive.upsert(first, 1)
-    archive.compact(1)
+    archive.compact()
     archive.upsert(third, 2)
     return archive.read()
 
 
+@query("archive_two_writers", _LATEST_SQL)
+def archive_two_writers(spark, sf):
+    """Two writers that both count batches from 0, with compactions between."""
+    rows = merged_observations(spark, sf).select("event_id", "name", "hour", "ts", "temp", "weather")
+    archive = KeyedArchive(spark, scratch_path(spark, "archive"), rows.schema)
+    for batch_id in (0, 1):
+        for writer in ("first", "second"):
+            part = F.pmod("event_id", F.lit(4)) == 2 * batch_id + (writer == "second")
+            archive.upsert(rows.filter(part), batch_id, writer)
+            archive.compact_if_due(2)
+    return archive.read()
+
+
+@query("archive_table", f"""with {MERGED_SQL} select {', '.join(OBS_COLUMNS)} from merged
+ qualify row_number() over (partition by name, hour order by ts desc, event_id desc) = 1""")
+def archive_table(spark, sf):
+    """The archive published as a table and read by name."""
+    rows = merged_observations(spark, sf)
+    archive = KeyedArchive(spark, scratch_path(spark, "archive"), rows.schema)
+    archive.upsert(rows.filter("event_id % 3 = 0"), 0)
+    archive.compact()
+    archive.upsert(rows.filter("event_id % 3 <> 0"), 1)
+    name = f"archived_{uuid.uuid4().hex}"
+    create_archive_table(spark, name, scratch_path(spark, "table"))
+    archive.publish(name)
+    return spark.sql(f"SELECT * FROM {name}")
+
+
 # ---- features --------------------------------------------------------------------------------
 
 _FEATURES_SQL = _INDEX_SQL + """, encoded as (select m.*, cast(i as double) as weather_index

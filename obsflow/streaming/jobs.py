@@ -56,31 +56,48 @@ def fan_out(archive: KeyedArchive, forecaster: PipelineModel, emit, reject=None,
 
     ``emit(messages, batch_id)`` writes forecast messages and ``reject`` the messages that could
     not be read. Archived rows include classes the models do not know; forecasts do not. The
-    archive is compacted every ``compact_every`` batches: at 5 seconds each, once an hour.
+    archive is compacted whenever ``compact_every`` batches are not folded yet: at 5 seconds each,
+    once an hour. Without observations nothing is archived, without forecasts nothing emitted.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_messages(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            if parsed.isEmpty():  # of the persisted batch, so the source is read once
+                return
             observations = to_observations(parsed.filter("rejected is null").drop("rejected"))
-            archive.upsert(observations, batch_id)
-            scored = forecasts(observations, forecaster, hour_offset)
-            emit(scored.select(encode_forecast().alias("value")), batch_id)
+            if not observations.isEmpty():
+                archive.upsert(observations, batch_id)
+                scored = forecasts(observations, forecaster, hour_offset)
+                messages = scored.select(encode_forecast().alias("value")).persist(StorageLevel.MEMORY_AND_DISK)
+                if not messages.isEmpty():
+                    emit(messages, batch_id)
+                messages.unpersist()
             if reject:
                 broken = parsed.filter("rejected is not null")
                 reject(broken.select(F.col("rejected").alias("value")), batch_id)
-            if batch_id % compact_every == compact_every - 1:
-                archive.compact(batch_id)
+            archive.compact_if_due(compact_every)
         finally:
             parsed.unpersist()
-    return skip_empty(handle)
+    return handle
 
 
-def emit_to_folder(path: str):
+def emit_to_folder(path: str, writer: str | None = None):
+    """Emit to a folder per writer and batch; ``writer`` defaults to the streaming query's id."""
     def emit(messages: DataFrame, batch_id: int) -> None:
-        messages.write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
+        query = messages.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        who = writer or query or "batch"
+        messages.write.mode("overwrite").text(f"{path}/writer={who}/batch_id={batch_id}")
     return emit
 
 
+def upsert_to(archive: KeyedArchive, compact_every: int = 720):
+    """A ``foreachBatch`` function that archives non-empty batches and compacts when due."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        archive.upsert(batch, batch_id)
+        archive.compact_if_due(compact_every)
+    return skip_empty(handle)
+
+
 def emit_to_topic(topic):
     """Emit to a topic, at least once: a batch run again is sent again."""
     def emit(messages: DataFrame, batch_id: int) -> None:

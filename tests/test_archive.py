@@ -1,4 +1,4 @@
-import shutil
+import pytest
 
 from obsflow.sources.archive import KeyedArchive, create_archive_table, latest_per_key
 
@@ -48,29 +48,70 @@ def test_batch_written_again_replaces_itself(spark, tmp_path):
 def test_compaction_keeps_the_content(spark, tmp_path):
     store = archive(spark, tmp_path)
     store.upsert(frame(spark, A1, B1), 0)
+    store.compact()
     store.upsert(frame(spark, A2), 1)
-    store.compact(0)
     assert content(store) == [A2, B1]
-    store.compact(1)
-    store.compact(1)
+    store.compact()
+    store.compact()
     store.upsert(frame(spark, B2), 2)
     assert content(store) == [A2, B1, B2]
-    shutil.copytree(tmp_path / "archive" / "base" / "upto=1", tmp_path / "archive" / "base" / "upto=9")
-    (tmp_path / "archive" / "base" / "upto=9" / "_SUCCESS").unlink()
-    assert content(store) == [A2, B1, B2], "an unfinished base is not read"
+    assert not list((tmp_path / "archive" / "base").glob("work-*"))
+
+
+def test_a_batch_without_manifest_is_not_read(spark, tmp_path):
+    store = archive(spark, tmp_path)
+    store.upsert(frame(spark, A1), 0)
+    store.upsert(frame(spark, B1), 1)
+    (tmp_path / "archive" / "manifest" / "batch-batch-1.json").unlink()
+    assert content(store) == [A1]
+
+
+def test_batch_numbers_of_two_writers(spark, tmp_path):
+    """Numbers that start again lose nothing, before and after a compaction."""
+    store = archive(spark, tmp_path)
+    store.upsert(frame(spark, A1), 0, "one")
+    store.upsert(frame(spark, B1), 1, "one")
+    store.upsert(frame(spark, B2), 0, "two")
+    assert content(store) == [A1, B1, B2]
+    store.compact()
+    store.upsert(frame(spark, A2), 0, "three")
+    assert content(store) == [A2, B1, B2]
+
+
+def test_a_folded_batch_comes_again(spark, tmp_path):
+    store = archive(spark, tmp_path)
+    store.upsert(frame(spark, A1, B1), 0)
+    store.compact()
+    store.upsert(frame(spark, B1, A1), 0)
+    assert content(store) == [A1, B1]
+    with pytest.raises(ValueError, match="other content"):
+        store.upsert(frame(spark, A2), 0)
 
 
 def test_compaction_removes_what_the_base_before_replaced(spark, tmp_path):
     store = archive(spark, tmp_path)
     for i, row in enumerate((A1, B1, A2, B2)):
         store.upsert(frame(spark, row), i)
-        store.compact(i)
-    folders = sorted(p.name for p in (tmp_path / "archive" / "batch").iterdir())
-    bases = sorted(p.name for p in (tmp_path / "archive" / "base").iterdir())
-    assert folders == ["id=3"] and bases == ["upto=2", "upto=3"]
+        store.compact_if_due(1)
+        store.compact_if_due(1)
+    folders = sorted(p.name for p in (tmp_path / "archive" / "batch" / "writer=batch").iterdir())
+    assert folders == ["id=3"]
     assert content(store) == [A2, B1, B2]
 
 
+def test_view_and_table(spark, tmp_path):
+    store = archive(spark, tmp_path)
+    store.upsert(frame(spark, A1, B1), 0)
+    store.create_view("archive_view")
+    assert spark.sql("SELECT count(*) FROM archive_view").first()[0] == 2
+    create_archive_table(spark, "published_rows", str(tmp_path / "table"), store.schema)
+    store.publish("published_rows")
+    store.upsert(frame(spark, A2), 1)
+    store.publish("published_rows")
+    assert sorted(map(tuple, spark.table("published_rows").collect())) == [A2, B1]
+    spark.sql("DROP TABLE published_rows")
+
+
 def test_create_table_is_idempotent(spark, tmp_path):
     for _ in range(2):
         create_archive_table(spark, "latest_rows", str(tmp_path / "table"))

@@ -133,6 +133,22 @@ def test_fan_out_sets_unreadable_messages_apart(spark, tmp_path, forecaster):
     assert archive.read().exceptAll(latest_per_key(everything, order=ORDER)).count() == 0
 
 
+def test_a_new_checkpoint_loses_nothing(spark, tmp_path, forecaster):
+    """Batch numbers start again with a new checkpoint; a message with NaN does not stop the job."""
+    topic = FolderTopic(str(tmp_path / "in"))
+    store = None
+    for run in range(2):
+        send(topic, observations(spark, 20 * run, 20))
+        publish(topic, spark.createDataFrame([('{"name":a,"ts":1.0,"lon":NaN}',)], "value string").coalesce(1))
+        stream = read_observation_stream(spark, topic)
+        store = KeyedArchive(spark, str(tmp_path / "archive"), decode_messages(stream).schema, order=ORDER)
+        handle = jobs.fan_out(store, forecaster, jobs.emit_to_folder(str(tmp_path / "forecast")), compact_every=1)
+        drain(stream.writeStream.foreachBatch(handle), tmp_path / f"c{run}")
+    everything = decode_messages(spark.read.text(topic.path))
+    assert store.read().exceptAll(latest_per_key(everything, order=ORDER)).count() == 0
+    assert spark.read.text(str(tmp_path / "forecast")).count() == 20 + 40
+
+
 def test_failed_batch_is_done_over(spark, tmp_path, forecaster):
     topic = FolderTopic(str(tmp_path / "in"))
     send(topic, observations(spark, 0, 30))
@@ -163,7 +179,7 @@ def test_running_latest_over_a_restart(spark, tmp_path):
         rows = decode_messages(read_observation_stream(spark, topic))
         store = KeyedArchive(spark, str(tmp_path / "archive"), rows.schema, order=ORDER)
         running = jobs.running_latest(rows, store.keys, store.order)
-        handle = jobs.skip_empty(store.upsert)
+        handle = jobs.upsert_to(store, 2)
         drain(running.writeStream.outputMode("update").foreachBatch(handle), tmp_path / "c")
     expected = latest_per_key(decode_messages(spark.read.text(topic.path)), order=ORDER)
     assert store.read().exceptAll(expected).count() == 0
