@@ -1,9 +1,6 @@
 """Fixed values. They decide results, so they are stated once, here, and used everywhere."""
 
-# Raw weather classes, and the classes some of them are merged into.
-RAW_CLASSES = (
-    "Clear", "Clouds", "Mist", "Fog", "Haze", "Smoke", "Drizzle", "Rain", "Thunderstorm", "Snow",
-)
+# The raw weather classes that are merged into others, and what is left.
 MERGED_CLASSES = {
     "Fog": ("Smoke", "Haze", "Mist"),
     "Rain": ("Drizzle", "Thunderstorm"),
@@ -45,6 +42,9 @@ STATIONS = (
     ("Cagliari", 39.2305, 9.1191),
 )
 
+# The numeric features, in the order the models take them.
+FEATURES = ("lon", "lat", "hour", "temp", "tempfelt", "pressure", "humidity")
+
 # Operating constants.
 KELVIN_OFFSET = 273.15
 SECONDS_PER_DAY = 86400
@@ -53,7 +53,4 @@ LABEL_SHIFT_ROWS = 3
 IDS_PER_REQUEST = 20
 POINT_LIFETIME_SECONDS = 90
 BATCH_INTERVAL = "5 seconds"
-VIEWPORT_PADDING = 0.95
 BACKFILL_DAYS = 5
-OBSERVATION_TOPIC = "weather"
-FORECAST_TOPIC = "forecast"

@@ -8,9 +8,11 @@ from pyspark.ml.feature import (
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from obsflow.constants import FEATURES
+
 INDEX = "weather_index"
 ENCODED = "weather_encoded"
-NUMERIC = ("lon", "lat", "hour", "temp", "tempfelt", "pressure", "humidity")
+NUMERIC = FEATURES
 REGRESSION_INPUTS = (*NUMERIC, ENCODED)
 CLASSIFICATION_INPUTS = (*NUMERIC, "temp_forecast", ENCODED)
 HANDLE_INVALID = ("skip", "keep", "error", "constant")

@@ -33,6 +33,15 @@ def regression_data(train: DataFrame, encoding: PipelineModel) -> DataFrame:
     )
 
 
+def with_features(rows: DataFrame, encoding: PipelineModel) -> DataFrame:
+    """Rows to score, with the feature vectors of those models whose inputs they have."""
+    out = regression_assembler(REGRESSION_FEATURES).transform(
+        PipelineModel([encoding.stages[0].copy().setHandleInvalid("skip"), encoding.stages[1]]).transform(rows))
+    if "temp_forecast" in rows.columns:
+        out = classification_assembler(CLASSIFICATION_FEATURES).transform(out)
+    return out
+
+
 def fit_boosted(data: DataFrame, max_iter: int = 20, max_depth: int = 5, seed: int = 13):
     return GBTRegressor(
         featuresCol=REGRESSION_FEATURES, labelCol="label", predictionCol="temp_forecast",

@@ -16,14 +16,15 @@ from obsflow.sources.files import dedup_history, read_history, write_csv
 HISTORY_ORDER = ("ts", "condition")
 
 
-def history_to_training(raw: DataFrame, max_rows=None) -> DataFrame:
+def history_to_training(raw: DataFrame, max_rows=None, order=HISTORY_ORDER,
+                        dedup_order=("condition",)) -> DataFrame:
     """Flattened history, possibly with pages appended twice, to training rows with ``name``.
 
     The rows are written once before the shift, which reads its input several times, so that
     documents are parsed and deduplicated once.
     """
-    unique = materialize(dedup_history(raw, order=("condition",)))
-    return training_table(unique, order=HISTORY_ORDER, keep=("name",), max_rows=max_rows)
+    unique = materialize(dedup_history(raw, order=dedup_order))
+    return training_table(unique, order=order, keep=("name",), max_rows=max_rows)
 
 
 def build_training_files(spark: SparkSession, documents: str, out: str) -> None:

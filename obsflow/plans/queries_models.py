@@ -10,10 +10,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from obsflow.constants import FINAL_CLASSES
 from obsflow.functions.messages import encode_forecast
-from obsflow.functions.weather import event_time, utc_hour
+from obsflow.functions.weather import event_time, merge_weather, utc_hour
 from obsflow.operators import models as ml
+from obsflow.operators.features import index_to_label
 from obsflow.operators.labels import training_table
 from obsflow.operators.messages import decode_messages, to_observations
 from obsflow.operators.split import hash_split
@@ -21,7 +21,7 @@ from obsflow.plans.queries_scalar import persisted_forecast
 from obsflow.plans.queries_tables import _LATEST_SQL
 from obsflow.plans.registry import query
 from obsflow.plans.testview import LAGGED_SQL, MERGED_SQL, OBS_SQL, observations
-from obsflow.schemas import OBS_RAW, OBS_RAW_COLUMNS
+from obsflow.schemas import FORECAST, FORECAST_COLUMNS, OBS_RAW, OBS_RAW_COLUMNS
 from obsflow.session import materialize, scratch_path
 from obsflow.sources.archive import KeyedArchive
 from obsflow.sources.messages import (
@@ -30,25 +30,26 @@ from obsflow.sources.messages import (
 from obsflow.streaming import jobs
 
 _RAW = ", ".join(OBS_RAW_COLUMNS)
-#: Boosting rounds of the registered queries; the functions default to 20.
-ROUNDS = 3
-_models: dict = {}
+_shared: dict = {}
+
+
+def _once(spark, name, sf, make):
+    """Keeps one result a session and data folder, such as the training table and the model."""
+    key = (spark.sparkContext.applicationId, name, sf)
+    if key not in _shared:
+        _shared[key] = make()
+    return _shared[key]
 
 
 def training_rows(spark, sf):
-    """The training table of the known classes, written once because fitting reads it often."""
-    rows = training_table(observations(spark, sf), keep=("event_id",))
-    known = F.col("weather").isin(*FINAL_CLASSES) & F.col("weather_forecast").isin(*FINAL_CLASSES)
-    return materialize(rows.filter(known))
+    """The training table, written once for all models because fitting reads it often."""
+    return _once(spark, "rows", sf, lambda: materialize(
+        training_table(observations(spark, sf), keep=("event_id",))))
 
 
 def forecaster(spark, sf):
-    """The chained model of a data folder, fitted once per session."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _models:
-        train, _ = hash_split(training_rows(spark, sf), "event_id")
-        _models[key] = ml.fit_forecaster(train, max_iter=ROUNDS)
-    return _models[key]
+    """The chained model of a data folder, fitted with all rounds, once per session."""
+    return _once(spark, "model", sf, lambda: ml.fit_forecaster(hash_split(training_rows(spark, sf), "event_id")[0]))
 
 
 def serving_rows(spark, sf):
@@ -56,26 +57,45 @@ def serving_rows(spark, sf):
     return to_observations(observations(spark, sf)).withColumn("hour", utc_hour("ts").cast("double"))
 
 
-@query("gbt_forecast")
+_IS_TRAIN = "cast(('0x' || substr(md5(cast(event_id as varchar)), 1, 8)) as bigint) % 10 < 8"
+#: The rows the models are fitted on, and those held out.
+_TRAIN_SQL = LAGGED_SQL + f""", complete as (select * from lagged where temp_forecast is not null),
+ train as (select * from complete where {_IS_TRAIN}),
+ held as (select * from complete where not {_IS_TRAIN})"""
+
+
+def _held_out(rows, encoding, model, label, predicted):
+    """Held-out rows with their true label and what the model says of them."""
+    assembled = ml.with_features(rows, encoding)
+    return model.transform(assembled).select("event_id", F.col(label).alias("truth"), predicted.alias("sound"))
+
+
+@query("gbt_forecast", f"""with {_TRAIN_SQL} select event_id, temp_forecast as truth, true as sound from held
+ where weather in (select weather from train)""")
 def gbt_forecast(spark, sf):
+    """Held-out rows; sound is a finite forecast that is near the range of the fitted labels."""
     train, test = hash_split(training_rows(spark, sf), "event_id")
     encoding = ml.fit_encoding(train)
-    model = ml.fit_boosted(ml.regression_data(train, encoding), max_iter=ROUNDS)
-    return model.transform(ml.regression_data(test, encoding)).select("label", "temp_forecast")
+    model = ml.fit_boosted(ml.regression_data(train, encoding))
+    low, high = train.agg(F.min("temp_forecast"), F.max("temp_forecast")).first()
+    rows = test.withColumn("_truth", F.col("temp_forecast")).drop("temp_forecast")
+    sound = F.col("temp_forecast").between(2 * low - high, 2 * high - low)
+    return _held_out(rows, encoding, model, "_truth", sound)
 
 
-@query("lr_baseline")
+@query("lr_baseline", f"""with {_TRAIN_SQL} select event_id, temp_forecast as truth, true as sound from held
+ where weather in (select weather from train)""")
 def lr_baseline(spark, sf):
+    """Held-out rows; sound is the model's own coefficients times the features, added up."""
     train, test = hash_split(training_rows(spark, sf), "event_id")
     encoding = ml.fit_encoding(train)
     model = ml.fit_linear(ml.regression_data(train, encoding))
-    return model.transform(ml.regression_data(test, encoding)).select("label", "prediction")
-
-
-#: The training rows of the model queries.
-_TRAIN_SQL = LAGGED_SQL + """, train as (select * from lagged where temp_forecast is not null
- and weather <> 'Squall' and weather_forecast <> 'Squall'
- and cast(('0x' || substr(md5(cast(event_id as varchar)), 1, 8)) as bigint) % 10 < 8)"""
+    slots = vector_to_array(F.col(ml.REGRESSION_FEATURES))
+    total = F.lit(float(model.intercept))
+    for i, weight in enumerate(model.coefficients.toArray().tolist()):
+        total = total + F.lit(weight) * slots[i]
+    sound = F.abs(F.col("prediction") - total) < 1e-6
+    return _held_out(test, encoding, model, "temp_forecast", sound)
 
 
 @query("gbt_calibration", f"""with {_TRAIN_SQL} select count(*) as n,
@@ -85,7 +105,7 @@ def gbt_calibration(spark, sf):
     train, _ = hash_split(training_rows(spark, sf), "event_id")
     encoding = ml.fit_encoding(train)
     data = ml.regression_data(train, encoding)
-    return ml.fit_boosted(data, max_iter=ROUNDS).transform(data).agg(
+    return ml.fit_boosted(data).transform(data).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("temp_forecast"), 6).alias("mean_forecast")
     )
 
@@ -107,6 +127,42 @@ def lr_normal_equations(spark, sf):
     )
 
 
+_SIDE_SQL = LAGGED_SQL + """, sides as (select event_id, cast(pressure >= 1023 as integer) as side,
+ temp, weather from merged)"""
+
+
+def _sides(spark, sf, features):
+    """One feature of two values."""
+    rows = to_observations(observations(spark, sf)).select(
+        "event_id", (F.col("pressure") >= 1023).cast("int").alias("side"), "temp", "weather")
+    return VectorAssembler(inputCols=["side"], outputCol=features).transform(rows)
+
+
+@query("boosted_stump", f"""with {_SIDE_SQL} select event_id, side,
+ round(avg(temp) over (partition by side), 6) as forecast from sides""")
+def boosted_stump(spark, sf):
+    """One round of depth one on a feature of two values forecasts the mean of each side."""
+    rows = materialize(_sides(spark, sf, ml.REGRESSION_FEATURES))
+    data = rows.select(ml.REGRESSION_FEATURES, F.col("temp").alias("label"))
+    model = ml.fit_boosted(data, max_iter=1, max_depth=1)
+    return model.transform(rows).select("event_id", "side", F.round("temp_forecast", 6).alias("forecast"))
+
+
+@query("tree_stump", f"""with {_SIDE_SQL}, counts as (select side, weather, count(*) as n from sides group by all),
+ best as (select side, max(n) as n from counts group by side)
+ select event_id, side, best.n as share from sides join best using (side)""")
+def tree_stump(spark, sf):
+    """A tree of depth one on such a feature predicts a most frequent class of each side."""
+    rows = materialize(_sides(spark, sf, ml.CLASSIFICATION_FEATURES))
+    labels = ml.fit_label_indexer(rows.withColumnRenamed("weather", "weather_forecast"))
+    indexed = labels.transform(rows.withColumn("weather_forecast", F.col("weather")))
+    model = ml.fit_tree(indexed.select(ml.CLASSIFICATION_FEATURES, ml.LABEL_INDEX), max_depth=1)
+    named = index_to_label(labels.labels, "class_prediction").transform(model.transform(rows))
+    counts = rows.groupBy("side", F.col("weather").alias("predicted_label")).agg(F.count(F.lit(1)).alias("share"))
+    return named.select("event_id", "side", "predicted_label").join(
+        counts, ["side", "predicted_label"]).select("event_id", "side", "share")
+
+
 @query("lr_one_feature", f"""with {LAGGED_SQL} select round(regr_slope(temp_forecast, temp), 6) as slope,
  round(regr_intercept(temp_forecast, temp), 4) as intercept from lagged where temp_forecast is not null""")
 def lr_one_feature(spark, sf):
@@ -119,24 +175,33 @@ def lr_one_feature(spark, sf):
     )
 
 
-@query("dt_forecast")
+@query("dt_forecast", f"""with {_TRAIN_SQL} select event_id, weather_forecast as truth, true as sound from held
+ where weather in (select weather from train)""")
 def dt_forecast(spark, sf):
+    """Held-out rows; sound is a predicted class that the training labels have."""
     train, test = hash_split(training_rows(spark, sf), "event_id")
     encoding, labels = ml.fit_encoding(train), ml.fit_label_indexer(train)
     model = ml.fit_tree(ml.classification_data(train, encoding, labels))
-    scored = model.transform(ml.classification_data(test, encoding, labels))
-    return scored.select(ml.LABEL_INDEX, "class_prediction")
+    sound = F.col("class_prediction").isin(*map(float, range(len(labels.labels))))
+    return _held_out(test, encoding, model, "weather_forecast", sound)
 
 
-@query("two_stage_forecast")
+@query("two_stage_forecast", f"""with {_TRAIN_SQL} select event_id, weather, temp, true as same from merged
+ where weather in (select weather from train)""")
 def two_stage_forecast(spark, sf):
-    rows = serving_rows(spark, sf)
-    scored = ml.score(rows, forecaster(spark, sf))
-    return scored.select("event_id", "weather", "predicted_label", "temp", "temp_forecast")
-
-
-@query("model_roundtrip", f"""with {MERGED_SQL} select event_id, true as same from merged
- where weather <> 'Squall'""")
+    """Whether the chain says of each row what its stages say one after the other."""
+    rows, chain = serving_rows(spark, sf), forecaster(spark, sf)
+    scored = ml.score(rows, chain)
+    staged = rows
+    for stage in chain.stages:
+        staged = stage.transform(staged)
+    by_stage = staged.select("event_id", F.struct("temp_forecast", "predicted_label").alias("by_stage"))
+    same = F.struct("temp_forecast", "predicted_label") == F.col("by_stage")
+    return scored.join(by_stage, "event_id").select("event_id", "weather", "temp", same.alias("same"))
+
+
+@query("model_roundtrip", f"""with {_TRAIN_SQL} select event_id, true as same from merged
+ where weather in (select weather from train)""")
 def model_roundtrip(spark, sf):
     """Whether the saved and loaded model says the same of every row it scores."""
     path = scratch_path(spark, "model")
@@ -187,7 +252,7 @@ def stream_read_obs(spark, sf):
 _FORECAST_MESSAGES_SQL = f"""with {LAGGED_SQL} select lon, lat, weather as cweather,
  weather_forecast as fweather, temp as ctemp, temp_forecast as ftemp from lagged
  where temp_forecast is not null"""
-_FORECAST_TYPE = "lon double, lat double, cweather string, fweather string, ctemp double, ftemp double"
+_FORECAST_TYPE = FORECAST.simpleString()
 
 
 def staged_forecasts(spark, sf) -> FolderTopic:
@@ -214,25 +279,41 @@ def stream_write_forecast(spark, sf):
     ).select("f.*")
 
 
-@query("stream_score")
+def _as_scored(spark, sf, rows):
+    """Counts of equal forecasts by what was observed, and whether a batch score gives the same."""
+    batch = jobs.forecasts(observations(spark, sf).withColumn("weather", merge_weather("weather")), forecaster(spark, sf))
+    seen, all_ = ("lon", "lat", "cweather", "ctemp"), FORECAST_COLUMNS
+    got = rows.groupBy(*all_).agg(F.count(F.lit(1)).alias("n"))
+    want = batch.groupBy(*all_).agg(F.count(F.lit(1)).alias("_n"))
+    both = got.join(want, list(all_), "left").withColumn("same", F.coalesce(F.col("n") == F.col("_n"), F.lit(False)))
+    return both.groupBy(*seen).agg(F.sum("n").alias("n"), F.bool_and("same").alias("same"))
+
+
+_AS_SCORED_SQL = f"""with {_TRAIN_SQL} select lon, lat, weather as cweather, temp as ctemp, count(*) as n,
+ true as same from merged where weather in (select weather from train) group by all"""
+
+
+@query("stream_score", _AS_SCORED_SQL)
 def stream_score(spark, sf):
+    """Forecasts of a stream equal the batch forecasts of the same observations."""
     messages = read_observation_stream(spark, staged_observations(spark, sf))
-    return run_to_parquet(spark, jobs.score_stream(messages, forecaster(spark, sf)), "scored")
+    scored = run_to_parquet(spark, jobs.score_stream(messages, forecaster(spark, sf)), "scored")
+    return _as_scored(spark, sf, scored)
 
 
 #: Order of archived rows that carry no row number: later first, then by every value.
 MESSAGE_ORDER = ("ts", "temp", "tempfelt", "pressure", "humidity", "weather", "lon", "lat")
 
 
-@query("stream_fanout")
+@query("stream_fanout", _AS_SCORED_SQL)
 def stream_fanout(spark, sf):
-    """Forecasts of the live path; the archive it fills is checked by ``stream_archive``."""
+    """Forecasts of the live path equal the batch forecasts; ``stream_archive`` checks the archive."""
     forecasts, _ = run_fanout(spark, sf)
-    return forecasts
+    return _as_scored(spark, sf, forecasts)
 
 
-@query("stream_fanout_rows", f"""with {MERGED_SQL} select lon, lat, weather as cweather, temp as ctemp
- from merged where weather <> 'Squall'""")
+@query("stream_fanout_rows", f"""with {_TRAIN_SQL} select lon, lat, weather as cweather, temp as ctemp
+ from merged where weather in (select weather from train)""")
 def stream_fanout_rows(spark, sf):
     """The observed half of the forecasts: each row of a known class is forecast once."""
     forecasts, _ = run_fanout(spark, sf)
@@ -291,16 +372,72 @@ def active_points(spark, sf):
     return shown.select("event_id", "name", "ts", "lon", "lat")
 
 
+#: How much later than the newest point others may come, in the stream below.
+LATENESS = 864000
+
+
+def point_stream(spark, sf):
+    """Points as three files read one by one; the last one is older than the second."""
+    path = scratch_path(spark, "points")
+    points = observations(spark, sf).select(
+        "event_id", "name", "ts", "lon", "lat", event_time("ts").alias("event_time"))
+    newest = F.lit(1706659200)
+    for days in ((11, 1000), (-1000, 5), (5, 11)):
+        age = (newest - F.col("ts")) / 86400
+        points.filter((age >= days[0]) & (age < days[1])).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(points.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 @query("stream_active_points", f"""with {OBS_SQL} select event_id, name, ts, lon, lat,
- ts + {LIFETIME} <= (select max(ts) from obs) as expired from obs""")
+ ts + {LIFETIME} <= (select max(ts) from obs) - {LATENESS} as expired from obs""")
 def stream_active_points(spark, sf):
     """Every point, and whether the stream has taken it off by the time of the last arrival."""
-    points = observation_stream(spark, sf).select(
-        "event_id", "name", "ts", "lon", "lat", event_time("ts").alias("event_time")
-    )
-    ended = run_to_parquet(spark, jobs.expired_points(points, lifetime=LIFETIME), "expired")
+    points = point_stream(spark, sf)
+    ended = run_to_parquet(spark, jobs.expired_points(points, lifetime=LIFETIME, lateness=LATENESS), "expired")
     shown = observations(spark, sf).select("event_id", "name", "ts", "lon", "lat")
     gone = ended.select("event_id", F.lit(True).alias("expired"))
     return shown.join(gone, "event_id", "left").withColumn(
         "expired", F.coalesce("expired", F.lit(False))
     )
+
+
+@query("stream_visible_points", f"""with {OBS_SQL} select event_id, name, ts, lon, lat from obs
+ where ts > (select max(ts) from obs) - {LIFETIME}""")
+def stream_visible_points(spark, sf):
+    """The points on show after the last arrival, from what a stream has appended."""
+    points = run_to_parquet(spark, point_stream(spark, sf).drop("event_time"), "arrived")
+    latest = points.select(F.max("ts")).scalar()
+    return jobs.active_points(points, latest, lifetime=LIFETIME)
+
+
+@query("stream_restart", f"with {MERGED_SQL} select {_RAW} from merged")
+def stream_restart(spark, sf):
+    """Two runs on one checkpoint, with more messages before the second, and one without any."""
+    topic = FolderTopic(scratch_path(spark, "messages"))
+    out, checkpoint = scratch_path(spark, "restarted"), scratch_path(spark, "restart-checkpoint")
+    obs = observations(spark, sf)
+    for part in ("event_id % 2 = 0", "event_id % 2 <> 0", "false"):
+        publish(topic, observation_messages(obs.filter(part), style="wire"))
+        stream = decode_messages(read_observation_stream(spark, topic)).select(*OBS_RAW_COLUMNS)
+        drain(stream.writeStream.format("parquet").option("path", out), checkpoint)
+    return spark.read.parquet(out)
+
+
+@query("stream_intake", f"""with {OBS_SQL} select cast(event_id % 4 as bigint) as batch, count(*) as n,
+ cast(1 as bigint) as files from obs group by 1""")
+def stream_intake(spark, sf):
+    """Four files under a limit of one file a batch: what each batch took in."""
+    topic = FolderTopic(scratch_path(spark, "messages"))
+    obs = observations(spark, sf)
+    for part in range(4):
+        tagged = obs.filter(F.col("event_id") % 4 == part).withColumn("name", F.lit(f"file_{part}"))
+        publish(topic, observation_messages(tagged).coalesce(1))
+    taken = scratch_path(spark, "taken")
+
+    def keep(batch, batch_id):
+        batch.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(taken)
+
+    stream = decode_messages(read_observation_stream(spark, topic, limit=1)).select("name")
+    drain(stream.writeStream.foreachBatch(keep), scratch_path(spark, "intake-checkpoint"))
+    return spark.read.parquet(taken).groupBy("batch").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("name").alias("files"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from obsflow.constants import COLOUR_BANDS, DEFAULT_COLOUR
 from obsflow.functions import text, weather as w
 from obsflow.functions.geo import mercator_x, mercator_y
-from obsflow.functions.messages import encode_forecast, encode_observation
+from obsflow.functions.messages import encode_forecast, encode_observation, is_complete, parse_observation
 from obsflow.operators import flatten, messages as m
 from obsflow.operators.aggregates import fit_viewport, place_on_map, viewport_bounds
 from obsflow.operators.features import constant_class
@@ -19,7 +19,7 @@ from obsflow.plans.testview import (
     EXPLODED_SQL, LAGGED_SQL, MERGED_SQL, OBS_SQL, conditions, group_payloads, history_pages,
     history_payloads, observations, table,
 )
-from obsflow.schemas import FORECAST_COLUMNS, OBS_COLUMNS, OBS_RAW_COLUMNS, TRAIN_COLUMNS
+from obsflow.schemas import FORECAST_COLUMNS, HISTORY, OBS_COLUMNS, OBS_RAW_COLUMNS, TRAIN_COLUMNS
 
 _RAW = ", ".join(OBS_RAW_COLUMNS)
 
@@ -218,6 +218,33 @@ def reject_payloads(spark, sf):
     return flatten.rejected_payloads(faulty_payloads(spark, sf)).select("event_id")
 
 
+@query("reject_payloads_ext", f"with {OBS_SQL} select event_id from obs")
+def reject_payloads_ext(spark, sf):
+    """No payload here has the two fields that only the extended form needs."""
+    return flatten.rejected_payloads(faulty_payloads(spark, sf), kind="extended").select("event_id")
+
+
+@query("payloads_one_parse", f"""with {OBS_SQL} select event_id, weather in ('Clear', 'Snow') as rejected from obs""")
+def payloads_one_parse(spark, sf):
+    """Rows and rejects of payloads parsed once; together they are all payloads."""
+    parsed = flatten.parse_payloads(faulty_payloads(spark, sf))
+    taken = parsed.filter("_whole").select("event_id", F.lit(False).alias("rejected"))
+    return taken.unionByName(flatten.rejects_of_parsed(parsed).select("event_id", F.lit(True).alias("rejected")))
+
+
+@query("reject_not_finite", f"""with {OBS_SQL} select event_id, weather in ('Rain', 'Snow', 'Fog') as rejected from obs""")
+def reject_not_finite(spark, sf):
+    """Messages with NaN, Infinity or a null name are rejected, all others taken."""
+    obs = observations(spark, sf)
+    whole = encode_observation("wire")
+    value = (F.when(F.col("weather") == "Rain", F.regexp_replace(whole, '"temp":[^,]*', '"temp":NaN'))
+             .when(F.col("weather") == "Snow", F.regexp_replace(whole, '"lon":[^,]*', '"lon":Infinity'))
+             .when(F.col("weather") == "Fog", F.regexp_replace(whole, '"name":[^,]*', '"name":null'))
+             .otherwise(whole))
+    tagged = obs.select("event_id", F.explode(F.array(parse_observation(value))).alias("p"))
+    return tagged.select("event_id", (~is_complete(F.col("p"))).alias("rejected"))
+
+
 @query("flatten_past_rejects", f"with {OBS_SQL} select {_RAW} from obs where weather not in ('Clear', 'Snow')")
 def flatten_past_rejects(spark, sf):
     return flatten.flatten_group(faulty_payloads(spark, sf)).select(*OBS_RAW_COLUMNS)
@@ -240,9 +267,11 @@ def flatten_history(spark, sf):
 
 
 @query("merge_hourly", f"""with {OBS_SQL} select name, cast(ts as bigint) as dt, temp, tempfelt
- as feels_like, pressure, humidity from obs""")
+ as feels_like, pressure, humidity, case when weather = 'Squall' then '' when humidity >= 80
+ then concat(weather, ',Mist') else weather end as weather from obs""")
 def hourly(spark, sf):
-    return merge_hourly(history_pages(observations(spark, sf))).drop("weather")
+    rows = merge_hourly(history_pages(observations(spark, sf)))
+    return rows.withColumn("weather", F.concat_ws(",", "weather.main"))
 
 
 @query("explode_conditions", f"with {EXPLODED_SQL} select event_id, weather from exploded")
@@ -275,16 +304,12 @@ def drop_columns(spark, sf):
     return lagged_observations(spark, sf).drop("name", "ts")
 
 
-@query("drop_section", f"""with {EXPLODED_SQL}, pages as (select distinct name,
- event_id // 200 as page from obs) select name, cast(page as bigint) as page,
- false as has_current from pages""")
+@query("drop_section", f"with {EXPLODED_SQL} select {_RAW} from exploded")
 def drop_section(spark, sf):
-    from obsflow.schemas import HISTORY
-
+    """The rows of the pages whose section was cut; a page that kept it or lost more has none."""
     cut = flatten.drop_section(history_payloads(observations(spark, sf)), "value", HISTORY)
-    return cut.select(
-        "name", "page", F.get_json_object("value", "$.current").isNotNull().alias("has_current")
-    )
+    gone = cut.filter(F.get_json_object("value", "$.current").isNull())
+    return flatten.flatten_history(gone).select(*OBS_RAW_COLUMNS)
 
 
 @query("dropna_any", f"""with {LAGGED_SQL} select event_id, weather_forecast, temp_forecast

@@ -12,7 +12,7 @@ from obsflow.operators.labels import label_at_offset, label_lag, label_lead, tra
 from obsflow.operators.ordered import row_positions
 from obsflow.operators.split import in_training
 from obsflow.plans.offline import history_to_training, persistence_forecast
-from obsflow.operators.flatten import flatten_history
+from obsflow.operators.flatten import flatten_history, flatten_history_documents
 from obsflow.plans.queries_scalar import band_rows, lagged_observations, merged_observations
 from obsflow.plans.registry import query
 from obsflow.plans.testview import (
@@ -125,11 +125,49 @@ def at_offset_hot_hours(spark, sf):
     )
 
 
-@query("offline_dataset", f"""with {EXPLODED_SQL}, unique_rows as (select distinct name, ts, weather
- from exploded) select name, count(*) - 3 as n from unique_rows group by name having count(*) > 3""")
+_OFFLINE_SQL = OBS_SQL + """, conditions as (
+ select * exclude (weather), unnest([weather, 'Mist']) as weather, unnest([0, 1]) as condition from obs
+  where weather <> 'Squall' and humidity >= 80
+ union all select * exclude (weather), weather, 0 as condition from obs where weather <> 'Squall' and humidity < 80),
+ unique_rows as (select * replace (case when weather in ('Smoke', 'Haze', 'Mist') then 'Fog'
+   when weather in ('Drizzle', 'Thunderstorm') then 'Rain' else weather end as weather)
+  from conditions qualify row_number() over (partition by name, ts, weather order by condition, temp, tempfelt, pressure, humidity) = 1),
+ shifted as (select *, lag(weather, 3) over w as weather_forecast, lag(temp, 3) over w as temp_forecast
+  from unique_rows window w as (partition by name order by ts, condition, temp, tempfelt, pressure, humidity))"""
+
+
+@query("offline_dataset", f"""with {_OFFLINE_SQL} select name, lon, lat, temp, tempfelt, pressure, humidity,
+ weather, cast(floor(ts % 86400 / 3600) as integer) as hour, weather_forecast, temp_forecast
+ from shifted where temp_forecast is not null""")
 def offline_dataset(spark, sf):
+    """Documents to training rows, all columns; rows of one moment keep their own order too."""
     raw = flatten_history(history_payloads(observations(spark, sf)), position="condition")
-    return history_to_training(raw).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    order = ("condition", "temp", "tempfelt", "pressure", "humidity")
+    return history_to_training(raw, order=("ts", *order), dedup_order=order)
+
+
+@query("history_documents", f"with {EXPLODED_SQL} select {_RAW} from exploded")
+def history_documents(spark, sf):
+    """Several JSON documents a station, each a file, read whole and flattened."""
+    path = scratch_path(spark, "documents")
+    pages = history_payloads(observations(spark, sf))
+    pages.hint("rebalance", "name", "page").write.partitionBy("name", "page").text(path)
+    documents = files.read_history(spark, path, r"name=([^/]+)/")
+    return flatten_history_documents(documents).select(*OBS_RAW_COLUMNS)
+
+
+@query("catalogue_source", """select cast(c_custkey as varchar) as id from customer join nation
+ on c_nationkey = n_nationkey where n_name = 'NATION_7'""")
+def catalogue_source(spark, sf):
+    """A catalogue of JSON array files of a hundred entries each, filtered by country."""
+    path = scratch_path(spark, "catalogue")
+    entries = table(spark, sf, "customer").join(
+        table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    ).select(F.col("c_custkey").alias("id"), F.col("n_name").alias("country"))
+    parts = entries.groupBy(F.floor(F.col("id") / 100).alias("part")).agg(
+        F.to_json(F.collect_list(F.struct("id", "country"))).alias("value"))
+    parts.hint("rebalance", "part").write.partitionBy("part").text(path)
+    return s.filter_country(files.read_catalogue(spark, path), "NATION_7")
 
 
 @query("backfill_plan", f"""with {OBS_SQL}, stations as (select name, min(lat) as lat, min(lon) as lon
@@ -161,14 +199,16 @@ def station_coords_by_key(spark, sf):
     return s.with_coordinates(obs.select("event_id", "name"), s.distinct_stations(obs)).drop("name")
 
 
+_ALL_INDEX_SQL = MERGED_SQL + """, counts as (select weather as label, count(*) as n from merged
+ group by 1), idx as (select label, n, row_number() over (order by n desc, label) - 1 as i from counts)"""
 _INDEX_SQL = MERGED_SQL + """, counts as (select weather as label, count(*) as n from merged
  where weather <> 'Squall' group by 1), idx as (select label, n,
  row_number() over (order by n desc, label) - 1 as i from counts)"""
 
 
-@query("label_index", f"with {_INDEX_SQL} select label, n, cast(i as bigint) as index from idx")
+@query("label_index", f"with {_ALL_INDEX_SQL} select label, n, cast(i as bigint) as index from idx")
 def label_index(spark, sf):
-    return a.label_index(known_classes(spark, sf))
+    return a.label_index(merged_observations(spark, sf))
 
 
 def known_classes(spark, sf):

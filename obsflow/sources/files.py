@@ -65,10 +65,15 @@ def dedup_history(rows: DataFrame, keys=("name", "ts", "weather"), order=()) ->
     )
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """History documents, one JSON object per file, with the station named by the file."""
-    documents = spark.read.schema(HISTORY).json(path, multiLine=True)
-    return documents.withColumn("name", station_from_path("_metadata.file_path"))
+def read_history(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """History documents, one JSON object per file, with the station named by the file.
+
+    A file is read by one task; with ``pattern``, whose group is the station's name in the path,
+    a station may have any number of files, so none need be large.
+    """
+    documents = spark.read.schema(HISTORY).json(path, multiLine=True).select(*HISTORY.fieldNames(), "_metadata")
+    named = station_from_path("_metadata.file_path", *([pattern] if pattern else []))
+    return documents.withColumn("name", named).drop("_metadata")
 
 
 def write_json_arrays(pages: DataFrame, path: str, key: str = "name", mode: str = "errorifexists"):

@@ -116,25 +116,29 @@ def active_points(points: DataFrame, as_of, time: str = "ts",
                   lifetime: float = POINT_LIFETIME_SECONDS) -> DataFrame:
     """Points that arrived up to ``as_of`` and are younger than ``lifetime`` seconds.
 
-    A newer point does not replace an older one of its station.
+    Over the files a stream of points appends to, this is the set on show. A newer point does not replace an older one of its station.
     """
     as_of = as_of if not isinstance(as_of, (int, float)) else F.lit(float(as_of))
     return points.filter((F.col(time) <= as_of) & (F.col(time) > as_of - F.lit(float(lifetime))))
 
 
+def stamp_arrival(points: DataFrame, time: str = "event_time") -> DataFrame:
+    """Points with their time of arrival, which never goes back: none of them is ever late."""
+    return points.withColumn(time, F.current_timestamp())
+
+
 def expired_points(points: DataFrame, time: str = "event_time",
-                   lifetime: float = POINT_LIFETIME_SECONDS) -> DataFrame:
+                   lifetime: float = POINT_LIFETIME_SECONDS, lateness: float = 0) -> DataFrame:
     """Streaming form: each point once, with ``expired_at``, when its lifetime is over.
 
-    The state holds exactly the points on show. Every point is its own session, so state is
-    spread by point and no station gathers in one task. ``time`` is the time of arrival; append
-    mode emits a point when the watermark reaches the end of its session.
+    The state holds one plain row per point on show, spread by point. Append mode emits a point
+    when the latest ``time``, less ``lateness`` seconds, reaches its end. A point may arrive up to
+    ``lifetime + lateness`` seconds after a newer one; what comes later than that is over already
+    and is left out. With ``stamp_arrival`` nothing is.
     """
-    arrived = points.withWatermark(time, "0 seconds").withColumn("_at", F.unix_micros(time))
-    own = F.session_window(F.col(time), f"{lifetime} seconds").alias("_shown")
+    end = (F.col(time) + F.make_dt_interval(secs=F.lit(lifetime))).alias("expired_at")
     others = [c for c in points.columns if c != time]
-    ended = arrived.groupBy(own, *others, "_at").agg(F.count(F.lit(1)).alias("copies"))
-    return ended.select(
-        *others, F.timestamp_micros("_at").alias(time), "copies",
-        F.timestamp_micros(F.unix_micros(F.col("_shown.end"))).alias("expired_at"),
-    )
+    timed = points.select(*others, F.unix_micros(time).alias("_at"), end)
+    shown = timed.withWatermark("expired_at", f"{lifetime + lateness} seconds")
+    ended = shown.groupBy("expired_at", *others, "_at").agg(F.count(F.lit(1)).alias("copies"))
+    return ended.select(*others, F.timestamp_micros("_at").alias(time), "copies", "expired_at")
