@@ -158,12 +158,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
 
 SQL = f"""
 with e as (
-  select vec_id, list_transform(embedding, x -> floor(256 * x::double)::bigint) as v from embeddings
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
   where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 p as (
   select q.vec_id as query_id, c.vec_id,
-         list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i]))::bigint as score
+         list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::bigint as score
   from e q, e c where q.vec_id % {EVERY} = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)),
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from p)
 select query_id, rank, vec_id, score from r where rank <= {K}
