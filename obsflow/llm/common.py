@@ -25,11 +25,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _shipped: set = set()
+BATCH_BYTES = "4194304b"
+_BOUND, _DEFAULT_BOUND = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 
 def shipped(df: DataFrame) -> DataFrame:
-    """``df``, once its session's Python workers have this package, wherever they run."""
-    context = df.sparkSession.sparkContext
+    """``df``, once its session's Python workers have this package, wherever they run.
+
+    Batches to and from the workers are kept to ``BATCH_BYTES`` unless the session sets a bound of
+    its own, because texts may be long.
+    """
+    context, conf = df.sparkSession.sparkContext, df.sparkSession.conf
+    if conf.get(_BOUND) == _DEFAULT_BOUND:
+        conf.set(_BOUND, BATCH_BYTES)
     if context.applicationId not in _shipped:
         root = Path(__file__).resolve().parent.parent
         path = Path(tempfile.mkdtemp(prefix="obsflow-ship-")) / f"{root.name}.zip"
@@ -84,7 +92,7 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 4 << 20):
+def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 2 << 20):
     """Parts of a batch with at most ``max_bytes`` of ``column`` (one row at least each)."""
     values = batch.column(column)
     ends = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False))
@@ -152,7 +160,7 @@ _known: dict = {}
 
 def _powers(base: int, n: int) -> np.ndarray:
     if len(_known.get(base, ())) <= n:
-        out = np.full(max(2 * n, 1 << 16), base, np.uint64)
+        out = np.full(n + (1 << 16), base, np.uint64)
         out[0] = 1
         _known[base] = np.multiply.accumulate(out)
     return _known[base][: n + 1]

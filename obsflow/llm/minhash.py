@@ -28,6 +28,8 @@ from obsflow.llm.components import connected_components
 from obsflow.llm.registry import query
 
 SHINGLE, HASHES, BANDS, LEAST = 5, 128, 32, 0.8
+#: Bytes of text handled at a time.
+SLICE = 1 << 20
 _random = np.random.default_rng(20240229)
 _A = _random.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _random.integers(0, 1 << 32, HASHES, dtype=np.uint32)
@@ -74,7 +76,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", SLICE):
                 found = signatures(part.column("text")).astype("<u4")
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("row_hash"),
@@ -117,7 +119,7 @@ def near_pairs(docs: DataFrame, least: float = LEAST) -> tuple[DataFrame, DataFr
 
     def sets(batches):
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", SLICE):
                 hashes, owner = shingles(part.column("text"))
                 bounds = np.searchsorted(owner, np.arange(part.num_rows + 1))
                 found = [np.unique(hashes[i:j]).view(np.int64).tobytes() for i, j in zip(bounds[:-1], bounds[1:])]
@@ -148,31 +150,34 @@ def edited(docs: DataFrame) -> DataFrame:
     document's part and fingerprint, never its text, go to the row before it.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("text")).withColumn("row_hash", F.xxhash64("text"))
-    ids = rows.select("doc_id", "row_hash", F.length("text").cast("long").alias("n_chars")).distinct()
-    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_hash")]
-    placed = cut(running_sum(ids, order, "n_chars", "_sum", "place").drop("_sum"))
+    # Plain keys without nulls, so that every step below shares one partitioning.
+    rows = docs.select(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+                       F.xxhash64(text).alias("row_hash"), text.alias("text"))
+    key = ["no_id", "id", "row_hash"]
+    ids = rows.select(*key, F.length("text").cast("long").alias("n_chars")).distinct()
+    placed = cut(running_sum(ids, [F.col(c) for c in key], "n_chars", "_sum", "place").drop("_sum"))
     total = placed.count()
-    wants = placed.select(F.pmod(F.col("place") + 1, F.lit(max(total, 1))).alias("place"), F.col("doc_id").alias("to_id"),
-                          F.col("row_hash").alias("to_hash"), F.floor(F.col("n_chars") / 4).cast("int").alias("k"))
-    wants = wants.join(placed.select("place", F.col("doc_id").alias("_id"), F.col("row_hash").alias("_hash")), "place")
-    at_next = rows.join(wants, rows.doc_id.eqNullSafe(wants._id) & (rows.row_hash == wants._hash))
+    to = [f"to_{c}" for c in key]
+    wants = placed.select(F.pmod(F.col("place") + 1, F.lit(max(total, 1))).alias("place"), F.floor(F.col("n_chars") / 4).cast("int").alias("k"),
+                          *(F.col(c).alias(t) for c, t in zip(key, to)))
+    wants = wants.join(placed.select("place", *key), "place").drop("place")
+    at_next = rows.join(wants, key)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def heads(batches):
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", SLICE):
                 found = fingerprint(signatures(part.column("text")))
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in ("to_id", "to_hash", "head")), pa.array(found, pa.binary())],
-                    names=["to_id", "to_hash", "head", "next_fingerprint"])
+                    [*(part.column(c) for c in to), part.column("head"), pa.array(found, pa.binary())],
+                    names=[*key, "head", "next_fingerprint"])
 
-    sent = at_next.select("to_id", "to_hash", F.substring("text", F.lit(1), F.col("k")).alias("head"), "text").mapInArrow(
-        heads, f"to_id {kind}, to_hash long, head string, next_fingerprint binary")
+    sent = at_next.select(*to, F.substring("text", F.lit(1), F.col("k")).alias("head"), "text").mapInArrow(
+        heads, f"no_id boolean, id {kind}, row_hash long, head string, next_fingerprint binary")
     # Copies of the next row bring the same part again.
-    once = sent.groupBy("to_id", "to_hash").agg(
+    once = sent.groupBy(*key).agg(
         F.any_value("head").alias("head"), F.any_value("next_fingerprint").alias("next_fingerprint"))
-    joined = rows.join(once, rows.doc_id.eqNullSafe(once.to_id) & (rows.row_hash == once.to_hash))
+    joined = rows.join(once, key).withColumn("doc_id", F.when(~F.col("no_id"), F.col("id")))
     n = F.length("text")
     ready = joined.select(
         "doc_id", n.cast("long").alias("n_chars"), "text", "next_fingerprint",
@@ -182,7 +187,7 @@ def edited(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", SLICE):
                 own, other = (fingerprint(signatures(part.column(c))) for c in ("text", "edited"))
                 a, b, c = (np.frombuffer(b"".join(x), np.uint8).reshape(-1, HASHES)
                            for x in (own, other, part.column("next_fingerprint").to_pylist()))
