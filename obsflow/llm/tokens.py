@@ -24,6 +24,7 @@ table gives no file rows. Other columns don't matter.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
@@ -42,7 +43,7 @@ from obsflow.llm.common import partitions, shared_folder, shipped, slices, table
 from obsflow.llm.registry import query
 
 MODEL, END = public_tokenizers.path("word_bpe_49k.json"), 1
-BLOCK, LANES, CACHE = 1 << 20, 2048, 400_000
+BLOCK, LANES, CACHE = 1 << 20, 4096, 900_000
 _TOP, _LEAST, _CHOICE = np.uint64(1 << 48), np.uint64(1 << 32), np.uint64(12)
 _U = np.uint64
 
@@ -68,28 +69,27 @@ class Coder:
 
     def narrow(self, lanes, start, share, unit) -> None:
         """Take ``share`` parts from ``start`` on, each ``unit`` wide, in the given lanes."""
-        self.low[lanes] += unit * start
-        self.range[lanes] = unit * share
-        while True:
-            low, width = self.low[lanes], self.range[lanes]
-            same = (low ^ (low + width)) < _TOP
-            small = width < _LEAST
-            move = np.flatnonzero(same | small)
-            if not len(move):
-                return
-            cut = np.flatnonzero(small & ~same)
+        low = self.low[lanes] + unit * start
+        width = unit * share
+        at = np.flatnonzero(((low ^ (low + width)) < _TOP) | (width < _LEAST))
+        if len(at) and not self.decoding and self.at.max() + 8 > self.words.shape[1]:
+            self.words = np.concatenate([self.words, np.zeros_like(self.words)], axis=1)
+        while len(at):
+            rows = at if isinstance(lanes, slice) else lanes[at]
+            some, wide = low[at], width[at]
+            cut = np.flatnonzero((some ^ (some + wide)) >= _TOP)
             if len(cut):
-                width[cut] = (_U(0) - low[cut]) & (_LEAST - _U(1))
-            rows = move if isinstance(lanes, slice) else lanes[move]
+                wide[cut] = (_U(0) - some[cut]) & (_LEAST - _U(1))
+            place = self.at[rows]
             if self.decoding:
-                self.code[rows] = self.code[rows] << _U(16) | self.words[rows, self.at[rows]].astype(_U)
+                self.code[rows] = self.code[rows] << _U(16) | self.words[rows, place].astype(_U)
             else:
-                if self.at.max() + 8 > self.words.shape[1]:
-                    self.words = np.concatenate([self.words, np.zeros_like(self.words)], axis=1)
-                self.words[rows, self.at[rows]] = low[move] >> _U(48)
-            self.at[rows] += 1
-            self.low[rows] = low[move] << _U(16)
-            self.range[rows] = width[move] << _U(16)
+                self.words[rows, place] = some >> _U(48)
+            self.at[rows] = place + 1
+            some, wide = some << _U(16), wide << _U(16)
+            low[at], width[at] = some, wide
+            at = at[((some ^ (some + wide)) < _TOP) | (wide < _LEAST)]
+        self.low[lanes], self.range[lanes] = low, width
 
     def finish(self) -> list[np.ndarray]:
         for k in range(4):
@@ -106,8 +106,9 @@ class Models:
     SURE, SLOTS, GAIN, REBUILD = 3, 1 << 17, 24, 4
 
     def __init__(self, alphabet: int):
-        self.second = np.zeros(self.SLOTS, np.int64), np.zeros(self.SLOTS, np.int64)
-        self.first = np.zeros(alphabet, np.int64), np.zeros(alphabet, np.int64)
+        # A candidate and, in the two low bits, how sure it is.
+        self.second = np.zeros(self.SLOTS, np.int32)
+        self.first = np.zeros(alphabet, np.int32)
         self.choices = np.tile(np.array([4, 2, 6], np.int64), (32, 1))
         self.counts = np.zeros(alphabet, np.int64)
         self.steps = 0
@@ -116,9 +117,9 @@ class Models:
         """Slots, candidates and context of each lane."""
         self.slot = (last * 40503 + before * 60493) % self.SLOTS
         self.last = last
-        self.guess = [self.second[0][self.slot], self.first[0][last]]
-        self.sure = [self.second[1][self.slot], self.first[1][last]]
-        self.context = self.sure[0] * 4 + self.sure[1] + 16 * (self.guess[0] == self.guess[1])
+        self.was = [self.second.take(self.slot), self.first.take(last)]
+        self.guess = [was >> 2 for was in self.was]
+        self.context = (self.was[0] & 3) * 4 + (self.was[1] & 3) + 16 * (self.guess[0] == self.guess[1])
         if self.steps % self.REBUILD == 0:
             self.cumulative = np.concatenate([[0], np.cumsum(1 + self.GAIN * self.counts)])
         self.steps += 1
@@ -131,10 +132,10 @@ class Models:
         if self.steps % 32 == 0:
             self.choices -= self.choices // 4
         np.add.at(self.counts, ids[choice == 2], 1)
-        for (values, sure), at, guess, was in zip((self.second, self.first), (self.slot, self.last), self.guess, self.sure):
-            hit = guess == ids
-            values[at] = np.where(hit | (was > 0), guess, ids)
-            sure[at] = np.where(hit, np.minimum(was + 1, self.SURE), was // 2)
+        fresh = (ids << 2).astype(np.int32)
+        for values, at, guess, was in zip((self.second, self.first), (self.slot, self.last), self.guess, self.was):
+            # A hit is surer by one; a miss halves that, and replaces a candidate that is not sure.
+            values[at] = np.where(guess == ids, was + (was & 3 < self.SURE), np.where(was & 3, was - ((was & 3) + 1) // 2, fresh))
 
 
 def _lanes(n: int) -> tuple[int, int]:
@@ -197,8 +198,8 @@ def decompress(data: bytes) -> np.ndarray:
         models.predict(before[:used], last[:used])
         unit = coder.range[:used] >> _CHOICE
         value = np.minimum((coder.code[:used] - coder.low[:used]) // unit, _U((1 << 12) - 1)).astype(np.int64)
-        bounds = models.bounds[models.context]
-        choice = (value >= bounds[:, 1]).astype(np.int64) + (value >= bounds[:, 2])
+        choice = (value >= models.bounds[:, 1].take(models.context)).astype(np.int64)
+        choice += value >= models.bounds[:, 2].take(models.context)
         x = np.where(choice == 0, models.guess[0], models.guess[1])
         start = models.bounds[models.context, choice]
         share = models.bounds[models.context, choice + 1] - start
@@ -218,32 +219,82 @@ def decompress(data: bytes) -> np.ndarray:
     return grid.T.ravel()[:n] if tail == steps else np.concatenate([grid.T[:-1].ravel(), grid[:tail, -1]])
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
+#: What word_bpe_49k.json does before its merges; only then are plain words taken apart from the rest.
+_NORMALIZERS, _SUFFIX = ["NFC", "Replace", "Lowercase"], "</w>"
 
 
 class Tokeniser:
-    """Ids of batches of texts; keeps the chunks it has met."""
+    """Ids of batches of texts; keeps the chunks it has met.
+
+    Most chunks are one word of Latin letters, perhaps with a full stop or comma: these need
+    nothing but lower case and the merges, and are coded many at a time by a copy of the model
+    without the rest. The library codes all others.
+    """
 
     def __init__(self, path: str = MODEL):
-        self.model, self.known = _tokenizer(path), {}
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.model, self.known, self.words = Tokenizer.from_file(path), {}, {}
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        kinds = [n.get("type") for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        self.plain = kinds == _NORMALIZERS and spec["model"].get("end_of_word_suffix") == _SUFFIX
+        if self.plain:
+            lean = spec | {"normalizer": None, "added_tokens": [], "pre_tokenizer": {
+                "type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, {
+                    "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}}
+            self.lean = Tokenizer.from_str(json.dumps(lean))
+            vocabulary = self.lean.get_vocab()
+            self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.last[[i for t, i in vocabulary.items() if t.endswith(_SUFFIX)]] = True
+        self.tails = {"": b""} | {c: self._whole([c])[0] for c in ".,"}
+
+    def _whole(self, chunks: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.int32).tobytes() for e in self.model.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Ids of lower-case words of letters; every word ends with a token that says so."""
+        lines = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
+        ids = np.array([i for e in self.lean.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids], np.int32)
+        raw, ends = ids.tobytes(), (np.flatnonzero(self.last[ids]) + 1).tolist()
+        if len(ends) != len(words):
+            raise ValueError("the tokeniser does not mark the ends of words")
+        begin = 0
+        for word, end in zip(words, ends):
+            self.words[word] = raw[4 * begin : 4 * end]
+            begin = end
+
+    def _learn(self, chunks: list[str]) -> None:
+        rest, parts, fresh = [], [], {}
+        for chunk in chunks:
+            tail = chunk[-1:] if chunk[-1:] in (".", ",") else ""
+            word = chunk[:-1] if tail else chunk
+            if self.plain and word.isalpha() and max(word) < "Ā":
+                word = word.lower()
+                parts.append((chunk, word, tail))
+                if word not in self.words:
+                    fresh[word] = None
+            else:
+                rest.append(chunk)
+        if fresh:
+            self._learn_words(list(fresh))
+        for chunk, word, tail in parts:
+            self.known[chunk] = self.words[word] + self.tails[tail]
+        for start in range(0, len(rest), 1000):
+            some = rest[start : start + 1000]
+            self.known.update(zip(some, self._whole(some)))
 
     def __call__(self, texts: pa.Array, end: int | None = END) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, ``end`` after each text, and the n + 1 offsets."""
         split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
         coded = split.flatten().dictionary_encode()
         if len(self.known) > CACHE:
-            self.known = {}
+            self.known.clear()
+        if len(self.words) > CACHE:
+            self.words.clear()
         known, chunks = self.known, coded.dictionary.to_pylist()
-        fresh = [c for c in chunks if c not in known]
-        for start in range(0, len(fresh), 1000):
-            some = fresh[start : start + 1000]
-            for chunk, found in zip(some, self.model.encode_batch_fast(some, add_special_tokens=False)):
-                known[chunk] = np.array(found.ids, np.int32).tobytes()
+        self._learn([c for c in chunks if c not in known])
         parts = [known[c] for c in chunks]
         sizes = np.array([len(p) // 4 for p in parts], np.int64)
         flat = np.frombuffer(b"".join(parts), np.int32)
@@ -259,13 +310,19 @@ class Tokeniser:
         return np.insert(ids, offsets[1:], end), offsets + np.arange(len(offsets))
 
 
+@lru_cache(maxsize=2)
+def tokeniser(path: str = MODEL) -> Tokeniser:
+    """One for all tasks of a worker."""
+    return Tokeniser(path)
+
+
 _FILE = "part int, block int, before long, n_ids long, doc_ids binary, known binary, lengths binary, coded binary, crc long"
 
 
 def _code(path: str, end: int | None):
     def run(batches):
         part, block, before = TaskContext.get().partitionId(), 0, 0
-        tokenise = Tokeniser(path)
+        tokenise = tokeniser(path)
         ids, lengths, docs = [], [], []
 
         def flush():
