@@ -246,3 +246,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def chosen(docs: DataFrame, stay: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with an id and hash (of all columns) in ``stay`` (_id, _hash), once each."""
+    rows = docs.select(F.struct("*").alias("doc"), "doc_id", F.xxhash64(*sorted(docs.columns)).alias("row"))
+    rows = rows.withColumn("number", F.row_number().over(Window.partitionBy("doc_id", "row").orderBy("doc_id")))
+    return rows.filter("number = 1").join(
+        stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_hash")), "left_semi").select("doc.*")

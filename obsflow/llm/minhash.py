@@ -8,6 +8,11 @@ similarity of the shingle sets.
 
 Near pairs come from signature bands joined in Spark; every candidate pair is verified by the exact
 Jaccard similarity of its shingle sets. Texts of equal signature and shingle set are one class.
+Near-duplicates need the links only, not all pairs: a band's classes are dealt over tiles, tasks
+compare the signatures at home in a tile with all others of the band, and only classes with an
+estimate of at least ``least - SLACK`` bring their shingle sets, for exact counts in an inverted
+index of the tile. A pair with a similarity of 0.8 shares no band with a chance of 5e-8 and falls
+under the estimate's bound with one of 4e-5; pairs that are more alike are missed more rarely.
 
 Defined results: a null text is empty; a text of fewer than five words is one shingle, one without
 words has none, and such texts are alike to each other (1) and to no other (0 but for chance).
@@ -18,16 +23,22 @@ gives an empty result. Other columns don't matter.
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsflow.llm.common import cut, running_sum, shingle_hashes, shipped, slices, span_hashes, table, text_bytes, words_of
-from obsflow.llm.components import connected_components
+from obsflow.llm.common import (
+    chosen, cut, partitions, running_sum, shingle_hashes, shipped, slices, span_hashes, table, text_bytes, words_of,
+)
+from obsflow.llm.components import connected_components, forest
 from obsflow.llm.registry import query
 
 SHINGLE, HASHES, BANDS, LEAST = 5, 128, 32, 0.8
+#: Classes at home in a tile, and how far an estimate may be below the least similarity.
+TILE, SLACK = 512, 0.14
 #: Bytes of text handled at a time.
 SLICE = 1 << 20
 _random = np.random.default_rng(20240229)
@@ -97,26 +108,22 @@ def _jaccard(batches):
             [batch.column("a"), batch.column("b"), pa.array(share, pa.float64())], names=["a", "b", "jaccard"])
 
 
-def near_pairs(docs: DataFrame, least: float = LEAST) -> tuple[DataFrame, DataFrame]:
-    """Membership (doc_id, row_hash, class) of every row, and the pairs of classes (a, b, jaccard)
-    with a < b whose shingle sets have a similarity of ``least`` or more.
-
-    A class is named by the hash of its signature; its shingle set is read from the member text of
-    least hash. Only classes are joined, on (band, hash), never documents.
-    """
+def _banded(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Membership of every row, a row_hash and signature of each class, and (band, hash, class,
+    size) of the bands that ``size`` > 1 classes share."""
     signed = cut(fingerprints(docs).withColumn("class", F.xxhash64("signature")))
     members = signed.select("doc_id", "row_hash", "class")
     width = 4 * HASHES // BANDS
-    one = signed.groupBy("class").agg(F.min("row_hash").alias("row_hash"), F.min("signature").alias("signature"))
-    bands = cut(one).select("class", F.posexplode(F.array(*(
+    one = cut(signed.groupBy("class").agg(F.min("row_hash").alias("row_hash"), F.min("signature").alias("signature")))
+    bands = one.select("class", F.posexplode(F.array(*(
         F.xxhash64(F.substring("signature", 1 + width * k, width)) for k in range(BANDS)))).alias("band", "hash"))
     # A band of one class makes no pair; the count is combined before the shuffle.
-    full = bands.groupBy("band", "hash").count().filter("count > 1").drop("count")
-    some = cut(bands.join(full, ["band", "hash"]))
-    pairs = some.alias("x").join(some.alias("y"), ["band", "hash"]).filter("x.class < y.class").select(
-        F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
-    wanted = one.join(some.select("class").distinct(), "class", "left_semi").select("row_hash", "class")
+    full = bands.groupBy("band", "hash").agg(F.count("*").alias("size")).filter("size > 1")
+    return members, one, cut(bands.join(full, ["band", "hash"]))
 
+
+def _held(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The shingle set of each class of ``wanted`` (row_hash, class), as little-endian bytes."""
     def sets(batches):
         for batch in batches:
             for part in slices(batch, "text", SLICE):
@@ -126,22 +133,146 @@ def near_pairs(docs: DataFrame, least: float = LEAST) -> tuple[DataFrame, DataFr
                 yield pa.RecordBatch.from_arrays([part.column("class"), pa.array(found, pa.binary())], names=["class", "shingles"])
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    texts = docs.select(F.xxhash64(text).alias("row_hash"), text.alias("text"))
-    held = shipped(texts.join(wanted, "row_hash")).mapInArrow(sets, "class long, shingles binary").dropDuplicates(["class"])
-    held = cut(held)
+    texts = docs.select(F.xxhash64(text).alias("row_hash"), text.alias("text")).dropDuplicates(["row_hash"])
+    joined = texts.join(wanted.select("row_hash", "class"), "row_hash")
+    return cut(shipped(joined).mapInArrow(sets, "class long, shingles binary"))
+
+
+def near_pairs(docs: DataFrame, least: float = LEAST) -> tuple[DataFrame, DataFrame]:
+    """Membership (doc_id, row_hash, class) of every row, and the pairs of classes (a, b, jaccard)
+    with a < b whose shingle sets have a similarity of ``least`` or more.
+
+    A class is named by the hash of its signature; its shingle set is read from the member text of
+    least hash. Only classes are joined, on (band, hash), never documents.
+    """
+    members, one, some = _banded(docs)
+    pairs = some.alias("x").join(some.alias("y"), ["band", "hash"]).filter("x.class < y.class").select(
+        F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
+    held = _held(docs, one.join(some.select("class").distinct(), "class", "left_semi"))
     verified = pairs.join(held.toDF("a", "left_set"), "a").join(held.toDF("b", "right_set"), "b").mapInArrow(
         _jaccard, "a long, b long, jaccard double").filter(F.col("jaccard") >= least)
     return members, verified
 
 
+def _tile_groups(batches, value: str):
+    """(key, classes, values, homes) of each tile in a batch, of rows sorted by band, hash and tile,
+    those at home first. ``homes`` are (classes, values) of all at home so far; values are bytes."""
+    last, classes, values = None, [], []
+    for batch in batches:
+        band, hash_, tile, own, home, data = (
+            batch.column(c).to_pylist() for c in ("band", "hash", "tile", "class", "home", value))
+        start = 0
+        while start < batch.num_rows:
+            key, stop = (band[start], hash_[start], tile[start]), start + 1
+            while stop < batch.num_rows and (band[stop], hash_[stop], tile[stop]) == key:
+                stop += 1
+            if key != last:
+                last, classes, values = key, [], []
+            n = start + sum(home[start:stop])
+            classes, values = classes + own[start:n], values + data[start:n]
+            yield key, own[start:stop], data[start:stop], (classes, values)
+            start = stop
+
+
+def _alike(batches, least: float):
+    """Rows of tiles, those with a similar one by the signatures, in the first band they share."""
+    width = HASHES // BANDS
+    for key, classes, values, homes in _tile_groups(batches, "signature"):
+        if not homes[0]:
+            continue
+        x, y = (np.frombuffer(b"".join(v), "<u4").reshape(-1, HASHES) for v in (values, homes[1]))
+        ids, at_home = np.array(classes, np.int64), np.array(homes[0], np.int64)
+        use, use_home = np.zeros(len(ids), bool), np.zeros(len(at_home), bool)
+        for begin in range(0, len(ids), 1024):
+            part = x[begin : begin + 1024]
+            same = np.zeros((len(part), len(y)), np.int16)
+            before = np.zeros(same.shape, bool)
+            for k in range(0, HASHES, width):
+                equal = [part[:, j, None] == y[None, :, j] for j in range(k, k + width)]
+                same += np.sum(equal, axis=0, dtype=np.int16)
+                if k < key[0] * width:
+                    before |= np.all(equal, axis=0)
+            hit = (same >= (least - SLACK) * HASHES) & ~before & (ids[begin : begin + 1024, None] != at_home)
+            use[begin : begin + 1024] = hit.any(axis=1)
+            use_home |= hit.any(axis=0)
+        found = np.unique(np.concatenate([ids[use], at_home[use_home]]))
+        n = len(found)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, key[0], np.int32)), pa.array(np.full(n, key[1], np.int64)),
+             pa.array(np.full(n, key[2], np.int32)), pa.array(found), pa.array(np.isin(found, at_home))],
+            names=["band", "hash", "tile", "class", "home"])
+
+
+def _linked(batches, least: float):
+    """Links of exact similarity between those at home in a tile and all others, as a forest."""
+    for _, classes, values, homes in _tile_groups(batches, "shingles"):
+        if not homes[0]:
+            continue
+        sets = [np.frombuffer(v, np.int64) for v in homes[1]]
+        at_home, sizes = np.array(homes[0], np.int64), np.array([len(v) for v in sets])
+        all_of = np.concatenate(sets)
+        order = np.argsort(all_of, kind="stable")
+        all_of, owner = all_of[order], np.repeat(np.arange(len(sets)), sizes)[order]
+        left, right = [], []
+        for own, value in zip(classes, values):
+            value = np.frombuffer(value, np.int64)
+            low, high = np.searchsorted(all_of, value, "left"), np.searchsorted(all_of, value, "right")
+            n = high - low
+            place = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
+            both = np.bincount(owner[place], minlength=len(sets))
+            either = len(value) + sizes - both
+            hit = np.flatnonzero((both >= least * either) & (at_home != own))
+            left.append(np.full(len(hit), own, np.int64))
+            right.append(at_home[hit])
+        a, b = forest(np.concatenate(left), np.concatenate(right))
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+def links(docs: DataFrame, least: float = LEAST) -> tuple[DataFrame, DataFrame]:
+    """Membership (doc_id, row_hash, class) of every row, and edges (a, b) that connect all classes
+    whose shingle sets have a similarity of ``least`` or more."""
+    members, one, some = _banded(docs)
+    tiles = F.ceil(F.col("size") / TILE).cast("int")
+    rows = some.join(one.select("class", "signature"), "class").withColumn(
+        "tile", F.explode(F.sequence(F.lit(0), tiles - 1))).withColumn(
+        "home", F.pmod(F.xxhash64("class"), tiles) == F.col("tile"))
+
+    def dealt(df):
+        return shipped(df).repartition(partitions(df.sparkSession), "band", "hash", "tile").sortWithinPartitions(
+            "band", "hash", "tile", F.desc("home"))
+
+    alike = cut(dealt(rows).mapInArrow(
+        lambda batches: _alike(batches, least), "band int, hash long, tile int, class long, home boolean").distinct())
+    held = _held(docs, one.join(alike.select("class").distinct(), "class", "left_semi"))
+    edges = dealt(alike.join(held, "class")).mapInArrow(lambda batches: _linked(batches, least), "a long, b long")
+    return members, edges
+
+
 def near_duplicates(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """doc_id, row_hash, class and class_id (least class linked) of every row."""
-    members, pairs = near_pairs(docs, least)
-    roots = connected_components(pairs.select("a", "b"))
+    members, edges = links(docs, least)
+    roots = connected_components(edges)
     return members.join(roots, F.col("class") == F.col("node"), "left").select(
         "doc_id", "row_hash", "class", F.coalesce("root", "class").alias("class_id"))
 
 
+def one_of_each(docs: DataFrame, least: float = LEAST) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates, ASCII letters taken as small: the one of least
+    id of each component of texts with a similarity of ``least`` or more stays.
+
+    Of several rows with that id the one of least row hash stays; null ids come last.
+    """
+    small = F.translate(F.col("text").cast("string"), ascii_uppercase, ascii_lowercase)
+    rows = docs.select("doc_id", F.coalesce(small, F.lit("")).alias("text"), F.xxhash64(*sorted(docs.columns)).alias("_hash"))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("_id"), "_hash")
+    texts = rows.groupBy(F.xxhash64("text").alias("row_hash")).agg(F.min(first).alias("first"), F.any_value("text").alias("text"))
+    texts = cut(texts)
+    found = near_duplicates(texts.select(F.lit(0).cast("long").alias("doc_id"), "text"), least)
+    stay = texts.select("row_hash", "first").join(found.select("row_hash", "class_id"), "row_hash").groupBy("class_id").agg(
+        F.min("first").alias("first")).select("first._id", "first._hash")
+    return chosen(docs, stay)
+
+
 def edited(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 

@@ -25,10 +25,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsflow.llm.common import IS_SPACE, cut, partitions, shipped, slices, table, text_bytes, words_of
+from obsflow.llm.common import IS_SPACE, chosen, cut, partitions, shipped, slices, table, text_bytes, words_of
 from obsflow.llm.components import connected_components, forest
 from obsflow.llm.registry import query
 
@@ -231,10 +231,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     stay = found.groupBy("root", "doc_id").agg(F.min("row_hash").alias("_hash")).select(
         F.col("doc_id").alias("_id"), "_hash")
-    rows = docs.select(F.struct("*").alias("doc"), "doc_id", F.xxhash64(*sorted(docs.columns)).alias("row"))
-    rows = rows.withColumn("number", F.row_number().over(Window.partitionBy("doc_id", "row").orderBy("doc_id")))
-    return rows.filter("number = 1").join(
-        stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_hash")), "left_semi").select("doc.*")
+    return chosen(docs, stay)
 
 
 @query("op5_simhash")

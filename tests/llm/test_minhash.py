@@ -5,6 +5,7 @@ import re
 import pyarrow as pa
 
 from obsflow.llm import minhash as mh
+from test_simhash import components, fingerprint as simhash
 
 
 def shingle_set(text):
@@ -76,3 +77,29 @@ def test_near_pairs(docs):
 def test_empty(docs):
     assert mh.edited(docs([])).count() == 0
     assert mh.near_duplicates(docs([])).count() == 0
+
+
+def test_one_of_each(docs, monkeypatch):
+    """Near copies beyond the reach of op5's fingerprints go, texts below the similarity stay."""
+    monkeypatch.setattr(mh, "TILE", 3)
+    rng = random.Random(4)
+    words = [f"w{i}é" for i in range(3000)]
+    rows = [(500, None), (501, ""), (502, "Two words"), (503, "two WORDS"), (None, "none like it at all"), (None, "two words")]
+    for g in range(8):
+        text = [rng.choice(words) for _ in range(200)]
+        for n in (0, 3, 3, 4, 6, 20):  # edits
+            copy = list(text)
+            for k in rng.sample(range(200), n):
+                copy[k] = rng.choice(words)
+            rows.append((len(rows), " ".join(copy)))
+    low = {i: (t or "").lower() for i, (_, t) in enumerate(rows)}
+    pairs = [(i, j) for i in low for j in low if i < j and jaccard(low[i], low[j]) >= 0.8]
+    far = [p for p in pairs if (simhash(low[p[0]]) ^ simhash(low[p[1]])).bit_count() > 2]
+    root = components(list(low), pairs)
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        least[root[i]] = min((doc is None, doc or 0), least.get(root[i], (True, 0)))
+    kept = mh.one_of_each(docs(rows + rows[:9]))
+    assert kept.columns == docs(rows).columns
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == sorted(least.values())
+    assert len(far) > 20 and len(least) < len(rows) - 20

@@ -82,3 +82,13 @@ def test_empty_and_clashing(spark, docs, tmp_path):
             if name != "sentencepiece":
                 assert out.columns == frame.columns
             assert out.count() <= 2 and (want or out.count() == 0)
+
+
+def test_near_copies_go(spark, docs):
+    """Five-word similarity of 0.8 decides, not the bits of the fingerprints."""
+    text = [f"word{i}" for i in range(200)]
+    edited = [f"other{i}" if i % 50 == 20 else w for i, w in enumerate(text)]
+    half = text[:100] + [f"own{i}" for i in range(100)]
+    rows = [(i, " ".join(t)) for i, t in enumerate((text, edited, half))]
+    assert (fingerprint(rows[0][1]) ^ fingerprint(rows[1][1])).bit_count() > 2
+    assert sorted(r.doc_id for r in pipeline.drop_near_duplicates(spark, docs(rows), "").collect()) == [0, 2]
