@@ -23,6 +23,7 @@ gives an empty result. Other columns don't matter.
 
 from __future__ import annotations
 
+from hashlib import blake2b
 from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
@@ -53,6 +54,13 @@ def shingles(texts: pa.Array):
     return shingle_hashes(span_hashes(data, starts, ends), owner, SHINGLE, len(texts))
 
 
+def shingle_sets(texts: pa.Array) -> list[bytes]:
+    """The sorted distinct shingle hashes of each text, as little-endian bytes."""
+    hashes, owner = shingles(texts)
+    bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
+    return [np.unique(hashes[i:j]).view(np.int64).tobytes() for i, j in zip(bounds[:-1], bounds[1:])]
+
+
 def signatures(texts: pa.Array) -> np.ndarray:
     """A row of ``HASHES`` 32-bit minima for each text; texts without words have the greatest."""
     hashes, owner = shingles(texts)
@@ -80,7 +88,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, row_hash (of the text) and the signature as little-endian bytes of every row."""
+    """doc_id, row_hash (of the text), the signature as little-endian bytes and set_hash (of the
+    sorted shingle set) of every row."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select("doc_id", F.xxhash64(text).alias("row_hash"), text.alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -89,11 +98,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 found = signatures(part.column("text")).astype("<u4")
+                sets = [int.from_bytes(blake2b(v, digest_size=8).digest(), "little", signed=True) for v in shingle_sets(part.column("text"))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("row_hash"),
-                     pa.array([row.tobytes() for row in found], pa.binary())], names=["doc_id", "row_hash", "signature"])
+                     pa.array([row.tobytes() for row in found], pa.binary()), pa.array(sets, pa.int64())],
+                    names=["doc_id", "row_hash", "signature", "set_hash"])
 
-    return shipped(rows).mapInArrow(run, f"doc_id {kind}, row_hash long, signature binary")
+    return shipped(rows).mapInArrow(run, f"doc_id {kind}, row_hash long, signature binary, set_hash long")
 
 
 def _jaccard(batches):
@@ -111,7 +122,7 @@ def _jaccard(batches):
 def _banded(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Membership of every row, a row_hash and signature of each class, and (band, hash, class,
     size) of the bands that ``size`` > 1 classes share."""
-    signed = cut(fingerprints(docs).withColumn("class", F.xxhash64("signature")))
+    signed = cut(fingerprints(docs).withColumn("class", F.xxhash64("signature", "set_hash")))
     members = signed.select("doc_id", "row_hash", "class")
     width = 4 * HASHES // BANDS
     one = cut(signed.groupBy("class").agg(F.min("row_hash").alias("row_hash"), F.min("signature").alias("signature")))
@@ -127,9 +138,7 @@ def _held(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def sets(batches):
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                hashes, owner = shingles(part.column("text"))
-                bounds = np.searchsorted(owner, np.arange(part.num_rows + 1))
-                found = [np.unique(hashes[i:j]).view(np.int64).tobytes() for i, j in zip(bounds[:-1], bounds[1:])]
+                found = shingle_sets(part.column("text"))
                 yield pa.RecordBatch.from_arrays([part.column("class"), pa.array(found, pa.binary())], names=["class", "shingles"])
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -142,8 +151,8 @@ def near_pairs(docs: DataFrame, least: float = LEAST) -> tuple[DataFrame, DataFr
     """Membership (doc_id, row_hash, class) of every row, and the pairs of classes (a, b, jaccard)
     with a < b whose shingle sets have a similarity of ``least`` or more.
 
-    A class is named by the hash of its signature; its shingle set is read from the member text of
-    least hash. Only classes are joined, on (band, hash), never documents.
+    A class is named by the hash of its signature and shingle set; the set is read from the member
+    text of least hash. Only classes are joined, on (band, hash), never documents.
     """
     members, one, some = _banded(docs)
     pairs = some.alias("x").join(some.alias("y"), ["band", "hash"]).filter("x.class < y.class").select(

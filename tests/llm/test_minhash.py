@@ -103,3 +103,12 @@ def test_one_of_each(docs, monkeypatch):
     assert kept.columns == docs(rows).columns
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == sorted(least.values())
     assert len(far) > 20 and len(least) < len(rows) - 20
+
+
+def test_equal_signatures_are_not_one_class(docs):
+    """Texts of different shingle sets are verified each, also where all minima agree."""
+    text = [f"w{i}" for i in range(3000)]
+    rows = [(0, " ".join(text))] + [(k, " ".join(text[:-k])) for k in range(1, 40)]
+    signed = {r.doc_id: r.signature for r in mh.fingerprints(docs(rows)).collect()}
+    assert len(set(signed.values())) < len(rows)
+    assert mh.near_duplicates(docs(rows)).select("class").distinct().count() == len(rows)
