@@ -102,8 +102,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     first = found.groupBy("hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
     later = found.join(first.drop("n"), "hash").filter(
         (F.col("doc_id") > F.col("first")) | (F.col("doc_id").isNull() & F.col("first").isNotNull()))
-    # A list is bounded by the sentences of its one text.
-    return later.groupBy("doc_id", "row_hash").agg(F.collect_list("place").alias("places"))
+    # A set, as rows that repeat bring the same places: bounded by the sentences of the one text.
+    return later.groupBy("doc_id", "row_hash").agg(F.collect_set("place").alias("places"))
 
 
 def _cut_texts(texts: pa.Array, places: pa.Array):

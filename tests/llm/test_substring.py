@@ -98,3 +98,12 @@ def test_batches_and_empty(docs):
     parts = [sub.sentence_spans(texts.slice(i, 1))[3][2] for i in range(len(texts))]
     assert whole.tolist() == [h for p in parts for h in p.tolist()]
     assert sub.without_repeats(docs([])).count() == 0
+
+
+def test_places_of_repeated_rows(docs):
+    """Rows that repeat list each place once."""
+    passage = " ".join(f"p{i}" for i in range(60)) + "."
+    rows = [(1, passage)] + [(2, passage)] * 30
+    assert [r.places for r in sub.repeated_spans(docs(rows)).collect()] == [[0]]
+    got = {(r.doc_id, r.text) for r in sub.without_repeats(docs(rows)).collect()}
+    assert got == {(1, passage), (2, "")}
