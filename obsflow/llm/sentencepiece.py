@@ -10,7 +10,9 @@ spaces and drops the first one, so a text comes back to the byte unless it holds
 No piece has a marker after another character, so a text splits exactly before each run of markers
 and equal parts share their ids; each task keeps the parts it has met, up to ``CACHE`` of them.
 
-The pieces are read from a model file of the sentencepiece library, whose path is a parameter.
+The pieces are read from a model file of the sentencepiece library, whose path is a parameter. The
+default one is a BPE model: its scores are merge ranks (-2, -3, ...), not log probabilities, and
+stand in for them here. The ids are neither that model's BPE ids nor a most likely segmentation.
 
 Defined results: a null text is empty; an empty text has no ids; rows that repeat get the same
 ids; texts of any length are encoded whole; an empty table gives an empty result. Other columns
