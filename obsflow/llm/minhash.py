@@ -12,7 +12,7 @@ Near-duplicates need the links only, not all pairs: a band's classes are dealt o
 compare the signatures at home in a tile with all others of the band, and only classes with an
 estimate of at least ``least - SLACK`` bring their shingle sets, for exact counts in an inverted
 index of the tile. A pair with a similarity of 0.8 shares no band with a chance of 5e-8 and falls
-under the estimate's bound with one of 4e-5; pairs that are more alike are missed more rarely.
+under the estimate's bound with one of 1e-4; pairs that are more alike are missed more rarely.
 
 Defined results: a null text is empty; a text of fewer than five words is one shingle, one without
 words has none, and such texts are alike to each other (1) and to no other (0 but for chance).
