@@ -197,7 +197,8 @@ def shingle_hashes(words: np.ndarray, owner: np.ndarray, size: int, texts: int):
     out = np.zeros(len(words), np.uint64)
     for k in range(size):
         shifted = np.zeros(len(words), np.uint64)
-        shifted[: len(words) - k] = words[k:]
+        n = max(0, len(words) - k)
+        shifted[:n] = words[k : k + n]
         out = np.where(k < length, mix(out * _BASE + shifted), out)
     return out[keep], owner[keep]
 

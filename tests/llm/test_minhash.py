@@ -60,6 +60,17 @@ def test_batches():
         assert (mh.signatures(texts.slice(k, 1))[0] == whole[k]).all()
 
 
+def test_few_words(docs):
+    """Texts of none to six words, each alone in its partition and after a long text."""
+    short = [" ".join("abcdef"[:n]) for n in range(7)]
+    lone = mh.edited(docs(list(enumerate(short))).repartition(7, "doc_id")).collect()
+    assert {r.doc_id: r.n_chars for r in lone} == {i: len(t) for i, t in enumerate(short)}
+    for text in short:
+        texts = pa.array(["w " * 600_000, text])
+        assert (mh.signatures(texts)[1] == mh.signatures(texts.slice(1, 1))[0]).all()
+        assert mh.edited(docs([(1, text)])).first().near_next == 1
+
+
 def test_near_pairs(docs):
     rows = corpus() + [(900, corpus()[9][1]), (None, None)]
     members, pairs = mh.near_pairs(docs(rows))
