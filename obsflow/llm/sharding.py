@@ -87,7 +87,7 @@ def write_shards(docs: DataFrame, path: str, max_bytes: int = MAX_BYTES) -> Data
     """
     rows = cut(_number(docs.select(F.struct("*").alias("doc"), "doc_id", "text")))
     assigned = _assign(rows, max_bytes, BITS)
-    columns = [F.col("doc")[c] for c in docs.columns if c.lower() != "shard"]
+    columns = [F.col("doc")[c].alias(c) for c in docs.columns if c.lower() != "shard"]
     name = F.when(F.col("shard") == "", "root").otherwise(F.col("shard")).alias("shard")
     named = rows.join(assigned.select("_row", name), "_row").select(*columns, "shard")
     named.repartition("shard").write.partitionBy("shard").parquet(path)
