@@ -1,15 +1,18 @@
 """Substring dedup by sliding sentence spans.
 
-A sentence ends with a word that ends in ``.``, ``!`` or ``?``, or at a line break. A span is a run
-of consecutive sentences, as short as it can be, with at least ``SENTENCES`` sentences and
-``SOME_WORDS`` words, or with at least ``MANY_WORDS`` words; one is taken from every sentence on
-and one up to every sentence, so a repeated passage that is itself that long is covered from its
-first to its last sentence. Spans are compared by their words, whatever white space is between.
+Sentences are taken in pieces, as a repeated passage often begins and ends inside sentences: a
+piece ends with a word that ends in one of ``.!?,;:``, at a line break, or with a word whose hash is
+0 modulo ``EVERY``, which is the same word wherever the passage stands. A span is a run of several
+consecutive pieces: at least ``SENTENCES`` pieces with ``SOME_WORDS`` words, or ``MANY_WORDS``
+words. The shortest such run from every piece on and up to every piece is hashed. That has the
+effect of hashing every run: a longer one that repeats is covered, from its first to its last
+piece, by the shortest ones within it, which then repeat too. Spans are compared by their words,
+whatever white space is between.
 
 All spans are hashed and joined over the whole corpus; the first one of each hash (least doc_id,
-then place in the text) stays, and every sentence that any other one covers is removed.
+then place in the text) stays, and every piece that any other one covers is removed.
 
-Defined results: a null text stays null, an empty one empty; a text all of whose sentences go is
+Defined results: a null text stays null, an empty one empty; a text all of whose pieces go is
 empty; texts that lose nothing stay as they are to the byte. Rows that share a doc_id are one
 place: none of them is removed for another. Null ids come after all others and not before each
 other. An empty table gives an empty result. Other columns are kept.
@@ -28,13 +31,13 @@ from obsflow.llm.common import (
 )
 from obsflow.llm.registry import query
 
-SENTENCES, SOME_WORDS, MANY_WORDS = 3, 20, 50
+SENTENCES, SOME_WORDS, MANY_WORDS, EVERY = 3, 35, 50, 12
 _ENDS = np.zeros(256, bool)
-_ENDS[list(b".!?")] = True
+_ENDS[list(b".!?,;:")] = True
 
 
 def sentence_spans(texts: pa.Array):
-    """Sentences (start byte of each, its text) and spans (first and last sentence, hash) of a batch,
+    """Pieces (start byte of each, its text) and spans (first and last sentence, hash) of a batch,
     spans in order of text, first and last sentence."""
     data, offsets = text_bytes(texts)
     starts, ends, owner = words_of(data, offsets)
@@ -42,8 +45,10 @@ def sentence_spans(texts: pa.Array):
     if not len(starts):
         return data, offsets, (none, none), (none, none, np.zeros(0, np.uint64))
     breaks = np.concatenate([[0], np.cumsum(data == 10)])
-    last = np.ones(len(starts), bool)
-    last[:-1] = _ENDS[data[ends[:-1] - 1]] | (owner[1:] != owner[:-1]) | (breaks[starts[1:]] > breaks[ends[:-1]])
+    words = span_hashes(data, starts, ends)
+    last = _ENDS[data[ends - 1]] | (words % np.uint64(EVERY) == 0)
+    last[:-1] |= (owner[1:] != owner[:-1]) | (breaks[starts[1:]] > breaks[ends[:-1]])
+    last[-1] = True
     stop = np.flatnonzero(last) + 1
     begin = np.concatenate([[0], stop[:-1]])
     text = owner[begin]
@@ -60,7 +65,7 @@ def sentence_spans(texts: pa.Array):
         (index << 32 | after)[after <= tails], (before << 32 | index)[before >= heads]])
     pairs = np.unique(pairs)
     first, final = pairs >> 32, pairs & 0xFFFFFFFF
-    hashes = sequence_hashes(span_hashes(data, starts, ends), begin[first], stop[final])
+    hashes = sequence_hashes(words, begin[first], stop[final])
     return data, offsets, (starts[begin], text), (first, final, hashes)
 
 
@@ -102,13 +107,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     first = found.groupBy("hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
     later = found.join(first.drop("n"), "hash").filter(
         (F.col("doc_id") > F.col("first")) | (F.col("doc_id").isNull() & F.col("first").isNotNull()))
-    # A set, as rows that repeat bring the same places: bounded by the sentences of the one text.
+    # A set, as rows that repeat bring the same places: bounded by the pieces of the one text.
     return later.groupBy("doc_id", "row_hash").agg(F.collect_set("place").alias("places"))
 
 
 def _cut_texts(texts: pa.Array, places: pa.Array):
-    """The texts without the sentences of the spans at ``places`` and of spans that the same text
-    has before; sentences and removed sentences of each."""
+    """The texts without the pieces of the spans at ``places`` and of spans that the same text has
+    before; pieces and removed pieces of each."""
     data, offsets, (starts, text), (first, final, hashes) = sentence_spans(texts)
     own = text[first]
     drop = ~_firsts(own, hashes)
@@ -123,7 +128,7 @@ def _cut_texts(texts: pa.Array, places: pa.Array):
     gone = np.cumsum(cover)[:-1] > 0
     total = np.bincount(text, minlength=len(texts))
     removed = np.bincount(text[gone], minlength=len(texts))
-    # A sentence reaches up to the next one; what stands before the first belongs to it.
+    # A piece reaches up to the next one; what stands before the first belongs to it.
     head = np.ones(len(starts), bool)
     head[1:] = text[1:] != text[:-1]
     start = np.where(head, offsets[text], starts)
@@ -141,7 +146,7 @@ def _cut_texts(texts: pa.Array, places: pa.Array):
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated sentences removed from ``text``, and n_sentences, n_removed."""
+    """``docs`` with repeated pieces removed from ``text``, and their numbers: n_sentences, n_removed."""
     found = repeated_spans(docs)
     key, place = fresh(docs, "row_hash"), fresh(docs, "places")
     rows = docs.withColumn(key, F.xxhash64(*sorted(docs.columns)))
