@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pytest
@@ -85,10 +86,21 @@ def test_empty_and_clashing(spark, docs, tmp_path):
 
 
 def test_near_copies_go(spark, docs):
-    """Five-word similarity of 0.8 decides, not the bits of the fingerprints."""
-    text = [f"word{i}" for i in range(200)]
-    edited = [f"other{i}" if i % 50 == 20 else w for i, w in enumerate(text)]
-    half = text[:100] + [f"own{i}" for i in range(100)]
-    rows = [(i, " ".join(t)) for i, t in enumerate((text, edited, half))]
-    assert (fingerprint(rows[0][1]) ^ fingerprint(rows[1][1])).bit_count() > 2
-    assert sorted(r.doc_id for r in pipeline.drop_near_duplicates(spark, docs(rows), "").collect()) == [0, 2]
+    """Two bits of the fingerprints decide, over chains too; other texts stay."""
+    rng = random.Random(12)
+    words = [f"word{i}" for i in range(4000)]
+    rows = []
+    for _ in range(12):
+        text = [rng.choice(words) for _ in range(400)]
+        for _ in range(6):
+            rows.append((len(rows), " ".join(text)))
+            text[rng.randrange(400)] = rng.choice(words)
+    fps = [fingerprint(t) for _, t in rows]
+    pairs = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 2]
+    root = components(list(range(len(fps))), pairs)
+    least = {}
+    for i in range(len(fps)):
+        least[root[i]] = min(i, least.get(root[i], i))
+    kept = sorted(r.doc_id for r in pipeline.drop_near_duplicates(spark, docs(rows), "").collect())
+    assert kept == sorted(least.values()) and 12 <= len(kept) < len(rows)
+    assert any(fps[i] != fps[j] for i, j in pairs)
