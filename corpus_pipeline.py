@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from obsflow.llm import minhash, mixing, quality, sentencepiece, substring
+from obsflow.llm import mixing, quality, sentencepiece, simhash, substring
 from obsflow.llm.common import table, written
 
 
@@ -22,17 +22,15 @@ def keep_quality(spark, docs, sf_dir):
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    """One document of each group of texts whose five-word shingles have a similarity of 0.8 or more.
-
-    Such texts are up to a dozen bits apart in op5's fingerprints, beyond what its covering reaches,
-    and texts within its 2 bits may be less alike; so candidates come from MinHash bands.
-    """
-    return minhash.one_of_each(docs, least=0.8)
+    """One document of each group of texts whose fingerprints over three-word shingles are linked at
+    two or fewer differing bits, as in op5: the one of least id."""
+    return simhash.one_of_each(docs)
 
 
 def drop_repeated_passages(spark, docs, sf_dir):
-    """Texts without the sentences of passages that an earlier document has; n_chars follows."""
-    cut = substring.without_repeats(docs.select("*", F.struct("*").alias("_doc")))
+    """Texts without the pieces of passages that an earlier document has; n_chars follows."""
+    rest = F.struct(*(c for c in docs.columns if c != "text"))  # a text is shuffled once
+    cut = substring.without_repeats(docs.select("doc_id", "text", rest.alias("_doc")))
     size = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("_doc.n_chars"))
     made = {"text": F.col("text"), "n_chars": size}
     return cut.select(*(made.get(c, F.col(f"_doc.`{c}`")).alias(c) for c in docs.columns))
