@@ -20,4 +20,4 @@ def test_query(spark, name):
 
 def test_all_are_registered():
     names = {n.split("_")[0] for n in entry.LLM_QUERIES}
-    assert names == {"pipeline", *(f"op{n}" for n in range(1, 11))}
+    assert names == {"pipeline", *(f"op{n}" for n in range(1, 14))}
