@@ -284,18 +284,19 @@ def _tree_sql(name: str, start: str) -> str:
 
 
 def _sides_sql(nodes: str, up: int, tree: str, pos: str) -> str:
+    own, run = (f"{pos} // ({FANOUT} ** {level})::bigint" for level in ("s.level", "(s.level + 1)"))
     return f"""select d.row, s.level + {up} as level,
-   coalesce(string_agg(s.digest, '' order by s.pos) filter (s.pos < {pos} // {FANOUT} ** s.level), '') as l,
-   coalesce(string_agg(s.digest, '' order by s.pos) filter (s.pos > {pos} // {FANOUT} ** s.level), '') as r
+   coalesce(string_agg(s.digest, '' order by s.pos) filter (s.pos < {own}), '') as l,
+   coalesce(string_agg(s.digest, '' order by s.pos) filter (s.pos > {own}), '') as r
   from d join {nodes} s on s.tree is not distinct from {tree} and s.n > 1
-   and s.pos // {FANOUT} = {pos} // {FANOUT} ** (s.level + 1) group by d.row, s.level"""
+   and s.pos // {FANOUT} = {run} group by d.row, s.level"""
 
 
 SQL = f"""
 with recursive c as (
   select *, list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split(doc_id::varchar, ''),
-    ch -> [ascii(ch)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
-    (x, y) -> case when y >= 0 then xor(x, y) else xor(x >> 1, 3988292384 * (x & 1)) end) as crc from documents),
+    lambda ch: [ascii(ch)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda x, y: case when y >= 0 then xor(x, y) else xor(x >> 1, 3988292384 * (x & 1)) end) as crc from documents),
 f as (
   select row_number() over () as row, doc_id, lang, sha256({_fields_sql("text")}) as leaf,
     case when xor(crc, 4294967295) % 3 = 0
@@ -317,7 +318,7 @@ p as (select row, sha256(string_agg(l || r, '' order by level)) as proof, list(l
 g as (
   select d.*, coalesce(proof, sha256('')) as proof_sha256,
     list_reduce(list_prepend(coalesce(claim, leaf), coalesce(sides, [])),
-      (h, s) -> sha256(split_part(s, '|', 1) || h || split_part(s, '|', 2))) as folded_root
+      lambda h, s: sha256(split_part(s, '|', 1) || h || split_part(s, '|', 2))) as folded_root
   from d left join p using (row))
 select doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root as verified from g
 """

@@ -198,7 +198,8 @@ def links(distinct: DataFrame) -> DataFrame:
     """Edges (a, b) that connect all fingerprints (fp) within ``DISTANCE`` bits of each other."""
     spark = distinct.sparkSession
     # The table is small before it is copied and would be left to a few tasks.
-    spread = distinct.select("fp").repartition(partitions(spark), "fp")
+    # By a hash of the key, as a repartition by the key itself would be taken for done.
+    spread = distinct.select("fp").repartition(partitions(spark), F.xxhash64("fp"))
     copies = shipped(spread).mapInArrow(_replicate, "anchor int, fp long, home boolean")
     full = cut(copies.filter("home").groupBy("anchor").count().filter(F.col("count") > TILE)
                .select("anchor", F.ceil(F.col("count") / TILE).cast("int").alias("tiles")))
