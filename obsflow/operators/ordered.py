@@ -133,6 +133,35 @@ def row_positions(
     return numbered(rest, keys).unionByName(placed) if keys else placed
 
 
+def fill_forward(
+    df: DataFrame, value: str, keys, order, out: str, max_rows: int | None = None,
+) -> DataFrame:
+    """Add the last value of ``value`` that is not null, up to and with the row, within its group.
+
+    A divided group takes what its cells lack from the cells before them, one row a cell.
+    """
+    keys, order = list(keys), list(order)
+
+    def filled(rows: DataFrame, groups) -> DataFrame:
+        before = _plain(groups, order).rowsBetween(Window.unboundedPreceding, 0)
+        return rows.withColumn(out, F.last(value, ignorenulls=True).over(before))
+
+    rest, cells = divide(df, keys, order, max_rows or MAX_ROWS)
+    if cells is None:
+        return filled(rest, keys)
+    ends = cells.groupBy(*keys, CELL).agg(F.max_by(
+        F.col(value), F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_end"))
+    before = Window.partitionBy(*keys).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
+    carried = materialize(ends.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(CELL).alias("_c"),
+        F.last("_end", ignorenulls=True).over(before).alias("_carried"),
+    ))
+    joined = filled(cells, [*keys, CELL]).join(
+        counted_side(carried), _same_group(keys) & (F.col(CELL) == F.col("_c"))
+    ).select(*df.columns, F.coalesce(out, "_carried").alias(out))
+    return filled(rest, keys).unionByName(joined) if keys else joined
+
+
 def join_unique(
     left: DataFrame, right: DataFrame, keys, salt_by, how: str = "left",
     max_rows: int | None = None,

@@ -6,10 +6,13 @@ return what the sink then holds.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from obsflow.constants import FEATURES
 from obsflow.functions.messages import encode_forecast
 from obsflow.functions.weather import event_time, merge_weather, utc_hour
 from obsflow.operators import models as ml
@@ -23,6 +26,7 @@ from obsflow.plans.registry import query
 from obsflow.plans.testview import LAGGED_SQL, MERGED_SQL, OBS_SQL, observations
 from obsflow.schemas import FORECAST, FORECAST_COLUMNS, OBS_RAW, OBS_RAW_COLUMNS
 from obsflow.session import materialize, scratch_path
+from obsflow.sources import files
 from obsflow.sources.archive import KeyedArchive
 from obsflow.sources.messages import (
     FolderTopic, observation_messages, publish, read_observation_stream, replay_forecasts,
@@ -163,6 +167,45 @@ def tree_stump(spark, sf):
         counts, ["side", "predicted_label"]).select("event_id", "side", "share")
 
 
+_CELL_SQL = LAGGED_SQL + """, cells as (select event_id, temp, weather,
+ concat(cast(pressure >= 1023 as integer), cast(humidity >= 55 as integer),
+  cast(floor(ts % 86400 / 3600) >= 12 as integer), cast(lon >= 12.5 as integer)) as cell from merged)"""
+
+
+def _cells(spark, sf, features):
+    """Four features of two values: 16 cells, which a tree of depth five can tell apart."""
+    rows = to_observations(observations(spark, sf))
+    bits = {"high": F.col("pressure") >= 1023, "damp": F.col("humidity") >= 55,
+            "late": utc_hour("ts") >= 12, "east": F.col("lon") >= 12.5}
+    rows = rows.select("event_id", "temp", "weather", *[b.cast("int").alias(c) for c, b in bits.items()])
+    rows = rows.withColumn("cell", F.concat(*[F.col(c).cast("string") for c in bits]))
+    return materialize(VectorAssembler(inputCols=list(bits), outputCol=features).transform(rows))
+
+
+@query("boosted_cells", f"""with {_CELL_SQL} select event_id, cell,
+ round(avg(temp) over (partition by cell), 6) as forecast from cells""")
+def boosted_cells(spark, sf):
+    """The forecast of one round at full depth, which is the mean of the rows in the same leaf."""
+    rows = _cells(spark, sf, ml.REGRESSION_FEATURES)
+    model = ml.fit_boosted(rows.select(ml.REGRESSION_FEATURES, F.col("temp").alias("label")), max_iter=1)
+    return model.transform(rows).select("event_id", "cell", F.round("temp_forecast", 6).alias("forecast"))
+
+
+@query("tree_cells", f"""with {_CELL_SQL}, seen as (select weather, count(*) as n from cells group by 1),
+ ranked as (select weather, row_number() over (order by n desc, weather) as place from seen),
+ votes as (select cell, weather, count(*) as n from cells group by all),
+ winners as (select cell, weather from votes join ranked using (weather)
+  qualify row_number() over (partition by cell order by votes.n desc, place) = 1)
+ select event_id, cell, winners.weather as predicted_label from cells join winners using (cell)""")
+def tree_cells(spark, sf):
+    """The class a tree of full depth names, which is the most frequent one in the same leaf."""
+    rows = _cells(spark, sf, ml.CLASSIFICATION_FEATURES).withColumn("weather_forecast", F.col("weather"))
+    labels = ml.fit_label_indexer(rows)
+    model = ml.fit_tree(labels.transform(rows).select(ml.CLASSIFICATION_FEATURES, ml.LABEL_INDEX))
+    named = index_to_label(labels.labels, "class_prediction").transform(model.transform(rows))
+    return named.select("event_id", "cell", "predicted_label")
+
+
 @query("lr_one_feature", f"""with {LAGGED_SQL} select round(regr_slope(temp_forecast, temp), 6) as slope,
  round(regr_intercept(temp_forecast, temp), 4) as intercept from lagged where temp_forecast is not null""")
 def lr_one_feature(spark, sf):
@@ -186,18 +229,30 @@ def dt_forecast(spark, sf):
     return _held_out(test, encoding, model, "weather_forecast", sound)
 
 
+def forecast_by_parts(spark, rows, chain, temperature="temp_forecast"):
+    """event_id, part_temp and part_label, without the chain's own columns: features put together by
+    hand, stage one written and joined back by event_id, ``temperature`` given to the classifier."""
+    indexer, boosted, tree, names = (chain.stages[i] for i in (0, 3, 5, 6))
+    slots = [f"_slot{i}" for i in range(len(indexer.labels) - 1)]
+    known = rows.filter(F.col("weather").isin(*indexer.labels)).withColumns(
+        {slot: (F.col("weather") == label).cast("double") for slot, label in zip(slots, indexer.labels)})
+    first = VectorAssembler(inputCols=[*FEATURES, *slots], outputCol=ml.REGRESSION_FEATURES).transform(known)
+    path = scratch_path(spark, "stage-one")
+    boosted.transform(first).select("event_id", "temp_forecast").write.parquet(path)
+    fed = known.join(spark.read.parquet(path), "event_id")
+    second = VectorAssembler(inputCols=[*FEATURES, temperature, *slots], outputCol=ml.CLASSIFICATION_FEATURES).transform(fed)
+    label = F.element_at(F.array(*map(F.lit, names.getLabels())), F.col("class_prediction").cast("int") + 1)
+    return tree.transform(second).select("event_id", F.col("temp_forecast").alias("part_temp"), label.alias("part_label"))
+
+
 @query("two_stage_forecast", f"""with {_TRAIN_SQL} select event_id, weather, temp, true as same from merged
  where weather in (select weather from train)""")
 def two_stage_forecast(spark, sf):
-    """Whether the chain says of each row what its stages say one after the other."""
+    """Whether the chain says of each row what its parts say, put together by hand."""
     rows, chain = serving_rows(spark, sf), forecaster(spark, sf)
-    scored = ml.score(rows, chain)
-    staged = rows
-    for stage in chain.stages:
-        staged = stage.transform(staged)
-    by_stage = staged.select("event_id", F.struct("temp_forecast", "predicted_label").alias("by_stage"))
-    same = F.struct("temp_forecast", "predicted_label") == F.col("by_stage")
-    return scored.join(by_stage, "event_id").select("event_id", "weather", "temp", same.alias("same"))
+    both = ml.score(rows, chain).join(forecast_by_parts(spark, rows, chain), "event_id")
+    same = (F.col("temp_forecast") == F.col("part_temp")) & (F.col("predicted_label") == F.col("part_label"))
+    return both.select("event_id", "weather", "temp", same.alias("same"))
 
 
 @query("model_roundtrip", f"""with {_TRAIN_SQL} select event_id, true as same from merged
@@ -269,6 +324,24 @@ def stream_replay_forecast(spark, sf):
     return run_to_parquet(spark, parsed, "replayed")
 
 
+@query("stream_replay_since", f"""with {LAGGED_SQL} select lon, lat, weather as cweather,
+ weather_forecast as fweather, temp as ctemp, temp_forecast as ftemp from lagged
+ where temp_forecast is not null and event_id % 2 = 1""")
+def stream_replay_since(spark, sf):
+    """Replay from a time between two publications; what was published before is left out."""
+    topic = FolderTopic(scratch_path(spark, "forecasts"))
+    rows = persisted_forecast(spark, sf)
+    for part in (0, 1):
+        if part:  # by the clock of the folder's own files, which may count whole seconds
+            last = spark.read.text(topic.path).agg(F.max(F.unix_micros("_metadata.file_modification_time"))).first()[0]
+            since = last / 1_000_000 + 0.001
+            time.sleep(1.1)
+        publish(topic, ml.forecast_columns(rows.filter(F.col("event_id") % 2 == part)).select(encode_forecast().alias("value")))
+    messages = replay_forecasts(spark, topic, since=since)
+    parsed = messages.select(F.from_json("value", _FORECAST_TYPE).alias("f")).select("f.*")
+    return run_to_parquet(spark, parsed, "replayed-since")
+
+
 @query("stream_write_forecast", _FORECAST_MESSAGES_SQL)
 def stream_write_forecast(spark, sf):
     messages = replay_forecasts(spark, staged_forecasts(spark, sf))
@@ -301,6 +374,8 @@ def stream_score(spark, sf):
     return _as_scored(spark, sf, scored)
 
 
+#: Files that each part of a staged stream is written as, and taken in as one batch.
+PART_FILES = 3
 #: Order of archived rows that carry no row number: later first, then by every value.
 MESSAGE_ORDER = ("ts", "temp", "tempfelt", "pressure", "humidity", "weather", "lon", "lat")
 
@@ -312,6 +387,28 @@ def stream_fanout(spark, sf):
     return _as_scored(spark, sf, forecasts)
 
 
+@query("stream_batch_figures", f"""with {_TRAIN_SQL} select cast(event_id % 3 as bigint) as batch,
+ count(*) as messages, count(*) filter (event_id % 50 = 0) as rejected,
+ count(*) filter (event_id % 50 <> 0 and weather in (select weather from train)) as scored
+ from merged group by 1""")
+def stream_batch_figures(spark, sf):
+    """What each batch read, could not read and scored, observed by the live path as it runs."""
+    topic = FolderTopic(scratch_path(spark, "messages"))
+    obs = observations(spark, sf)
+    for part in range(3):
+        mine = obs.filter(F.col("event_id") % 3 == part)
+        broken = mine.filter("event_id % 50 = 0").select(F.concat(F.lit("{"), "name").alias("value"))
+        whole = observation_messages(mine.filter("event_id % 50 <> 0"), style="wire")
+        publish(topic, whole.union(broken).repartition(PART_FILES))
+    figures, taken = [], read_observation_stream(spark, topic, limit=PART_FILES)
+    archive = KeyedArchive(spark, scratch_path(spark, "archive"), decode_messages(taken).schema, order=MESSAGE_ORDER)
+    handle = jobs.fan_out(
+        archive, forecaster(spark, sf), jobs.emit_to_folder(scratch_path(spark, "emitted")),
+        report=lambda batch_id, seen: figures.append((batch_id, seen["messages"], seen["rejected"], seen["scored"])))
+    drain(taken.writeStream.foreachBatch(handle), scratch_path(spark, "figures-checkpoint"))
+    return spark.createDataFrame(figures, "batch bigint, messages bigint, rejected bigint, scored bigint")
+
+
 @query("stream_fanout_rows", f"""with {_TRAIN_SQL} select lon, lat, weather as cweather, temp as ctemp
  from merged where weather in (select weather from train)""")
 def stream_fanout_rows(spark, sf):
@@ -356,7 +453,7 @@ def stream_upsert(spark, sf):
     )
     archive = KeyedArchive(spark, scratch_path(spark, "running"), rows.schema)
     running = jobs.running_latest(rows, archive.keys, archive.order)
-    writer = running.writeStream.outputMode("update").foreachBatch(jobs.upsert_to(archive, 4))
+    writer = running.writeStream.outputMode("update").foreachBatch(jobs.upsert_to(archive))
     drain(writer, scratch_path(spark, "running-checkpoint"))
     return archive.read()
 
@@ -377,15 +474,16 @@ LATENESS = 864000
 
 
 def point_stream(spark, sf):
-    """Points as three files read one by one; the last one is older than the second."""
+    """Points as three parts read one by one; the last one is older than the second."""
     path = scratch_path(spark, "points")
     points = observations(spark, sf).select(
         "event_id", "name", "ts", "lon", "lat", event_time("ts").alias("event_time"))
     newest = F.lit(1706659200)
     for days in ((11, 1000), (-1000, 5), (5, 11)):
         age = (newest - F.col("ts")) / 86400
-        points.filter((age >= days[0]) & (age < days[1])).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(points.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        points.filter((age >= days[0]) & (age < days[1])).repartition(
+            PART_FILES).write.mode("append").parquet(path)
+    return spark.readStream.schema(points.schema).option("maxFilesPerTrigger", PART_FILES).parquet(path)
 
 
 @query("stream_active_points", f"""with {OBS_SQL} select event_id, name, ts, lon, lat,
@@ -410,6 +508,49 @@ def stream_visible_points(spark, sf):
     return jobs.active_points(points, latest, lifetime=LIFETIME)
 
 
+@query("stream_arrived_points", f"with {OBS_SQL} select event_id, name, ts, lon, lat from obs")
+def stream_arrived_points(spark, sf):
+    """Points that are taken off by the clock, two seconds after they arrived, in two arrivals.
+
+    A row is there if its point was on show for its whole lifetime and went once, before the time
+    limit of the run.
+    """
+    path, out, lifetime = scratch_path(spark, "points"), scratch_path(spark, "taken-off"), 2
+    points = observations(spark, sf).select("event_id", "name", "ts", "lon", "lat")
+    points.filter("event_id % 2 = 0").write.mode("append").json(path)
+    stream = spark.readStream.schema(points.schema).json(path)
+    ended = jobs.points_from_arrival(stream, lifetime).writeStream.format("parquet").option("path", out)
+    running = jobs.start(ended, scratch_path(spark, "taken-off-checkpoint"), interval="1 second")
+    limit, arrived, total = time.time() + 120, False, points.count()
+    try:  # timers keep the query busy, so it never counts as having processed all
+        while running.isActive and time.time() < limit:
+            time.sleep(0.3)
+            progress = running.recentProgress
+            if not arrived and any(p.numInputRows for p in progress):
+                points.filter("event_id % 2 = 1").write.mode("append").json(path)
+                arrived = True
+            if sum(p.numInputRows for p in progress) == total and not progress[-1]["stateOperators"][0]["numRowsTotal"]:
+                break
+    finally:
+        running.stop()
+    shown = spark.read.schema(jobs.points_from_arrival(stream, lifetime).schema).parquet(out)
+    whole = F.unix_millis("expired_at") >= F.unix_millis("arrived_at") + 1000 * lifetime
+    return shown.filter(whole).select("event_id", "name", "ts", "lon", "lat")
+
+
+@query("append_history_stream", f"with {OBS_SQL} select distinct name, ts, weather from obs")
+def append_history_stream(spark, sf):
+    """Two pages that overlap and the first one again, appended through a stream: what is stored."""
+    incoming, stored, checkpoint = (scratch_path(spark, label) for label in ("pages", "history", "history-checkpoint"))
+    obs = observations(spark, sf).select(*OBS_RAW_COLUMNS)
+    first, second = obs.filter(F.col("ts") < 1705708800), obs.filter(F.col("ts") >= 1705276800)
+    for page in (first, second, first):
+        page.write.mode("append").json(incoming)
+        rows = spark.readStream.schema(OBS_RAW).json(incoming)
+        drain(jobs.append_history(jobs.unrepeated(rows), stored), checkpoint)
+    return files.read_json_lines(spark, stored, OBS_RAW).select("name", "ts", "weather")
+
+
 @query("stream_restart", f"with {MERGED_SQL} select {_RAW} from merged")
 def stream_restart(spark, sf):
     """Two runs on one checkpoint, with more messages before the second, and one without any."""
@@ -424,20 +565,19 @@ def stream_restart(spark, sf):
 
 
 @query("stream_intake", f"""with {OBS_SQL} select cast(event_id % 4 as bigint) as batch, count(*) as n,
- cast(1 as bigint) as files from obs group by 1""")
+ cast(3 as bigint) as files from obs group by 1""")
 def stream_intake(spark, sf):
-    """Four files under a limit of one file a batch: what each batch took in."""
+    """Four parts of three files under a limit of three files a batch: what each batch took in."""
     topic = FolderTopic(scratch_path(spark, "messages"))
     obs = observations(spark, sf)
     for part in range(4):
-        tagged = obs.filter(F.col("event_id") % 4 == part).withColumn("name", F.lit(f"file_{part}"))
-        publish(topic, observation_messages(tagged).coalesce(1))
+        publish(topic, observation_messages(obs.filter(F.col("event_id") % 4 == part)).repartition(PART_FILES))
     taken = scratch_path(spark, "taken")
 
     def keep(batch, batch_id):
         batch.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("append").parquet(taken)
 
-    stream = decode_messages(read_observation_stream(spark, topic, limit=1)).select("name")
+    stream = read_observation_stream(spark, topic, limit=PART_FILES).select("value", F.col("_metadata.file_path").alias("file"))
     drain(stream.writeStream.foreachBatch(keep), scratch_path(spark, "intake-checkpoint"))
     return spark.read.parquet(taken).groupBy("batch").agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("name").alias("files"))
+        F.count(F.lit(1)).alias("n"), F.countDistinct("file").alias("files"))

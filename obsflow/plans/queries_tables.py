@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from obsflow.constants import FINAL_CLASSES
 from obsflow.operators import aggregates as a, features as f, stations as s
-from obsflow.operators.labels import label_at_offset, label_lag, label_lead, training_table
+from obsflow.operators.labels import label_asof_offset, label_at_offset, label_lag, label_lead, training_table
 from obsflow.operators.ordered import row_positions
 from obsflow.operators.split import in_training
 from obsflow.plans.offline import history_to_training, persistence_forecast
@@ -21,7 +21,7 @@ from obsflow.plans.testview import (
 from obsflow.schemas import OBS_COLUMNS, OBS_RAW, OBS_RAW_COLUMNS
 from obsflow.session import scratch_path
 from obsflow.sources import files
-from obsflow.sources.archive import KeyedArchive, create_archive_table, latest_per_key
+from obsflow.sources.archive import ArchiveTable, KeyedArchive, create_archive_table, latest_per_key
 from obsflow.functions.text import station_from_path
 
 _RAW = ", ".join(OBS_RAW_COLUMNS)
@@ -125,6 +125,29 @@ def at_offset_hot_hours(spark, sf):
     )
 
 
+def _asof_sql(base: str, rows: str, key: str) -> str:
+    """The newest row up to three hours later; rows that share a time count by their last event_id."""
+    return f"""{base}, seen as (select {key}, ts, weather, temp from {rows}
+ qualify row_number() over (partition by {key}, ts order by event_id desc) = 1)
+ select r.event_id, case when s.ts > r.ts + 7200 then s.weather end as weather_forecast,
+  case when s.ts > r.ts + 7200 then s.temp end as temp_forecast
+ from {rows} r asof left join seen s on r.{key} = s.{key} and r.ts + 10800 >= s.ts"""
+
+
+@query("label_asof_offset", _asof_sql(f"with {MERGED_SQL}", "merged", "name"))
+def asof_offset(spark, sf):
+    return label_asof_offset(merged_observations(spark, sf)).select(
+        "event_id", "weather_forecast", "temp_forecast"
+    )
+
+
+@query("label_asof_offset_hot_groups", _asof_sql(_HOT_SQL, "hot", "side"))
+def asof_offset_hot_groups(spark, sf):
+    return label_asof_offset(_hot(spark, sf), key="side", max_rows=HOT_ROWS).select(
+        "event_id", "weather_forecast", "temp_forecast"
+    )
+
+
 _OFFLINE_SQL = OBS_SQL + """, conditions as (
  select * exclude (weather), unnest([weather, 'Mist']) as weather, unnest([0, 1]) as condition from obs
   where weather <> 'Squall' and humidity >= 80
@@ -358,7 +381,7 @@ def latest(spark, sf):
 
 @query("upsert_latest", _LATEST_SQL)
 def upsert_latest(spark, sf):
-    """Two batches, one of them written twice, folded into a base, and a third on top."""
+    """Three batches out of order, one of them written twice."""
     rows = merged_observations(spark, sf).select("event_id", "name", "hour", "ts", "temp", "weather")
     archive = KeyedArchive(spark, scratch_path(spark, "archive"), rows.schema)
     first, second, third = (
@@ -366,40 +389,34 @@ def upsert_latest(spark, sf):
         rows.filter((F.col("ts") >= 1704931200) & (F.col("ts") < 1705795200)),
         rows.filter(F.col("ts") >= 1705795200),
     )
-    archive.upsert(second, 0)
-    archive.upsert(first, 1)
-    archive.upsert(first, 1)
-    archive.compact()
-    archive.upsert(third, 2)
+    for batch in (second, first, first, third):
+        archive.upsert(batch)
     return archive.read()
 
 
 @query("archive_two_writers", _LATEST_SQL)
 def archive_two_writers(spark, sf):
-    """Two writers that both count batches from 0, with compactions between."""
+    """Two archives opened on one folder that take turns."""
     rows = merged_observations(spark, sf).select("event_id", "name", "hour", "ts", "temp", "weather")
-    archive = KeyedArchive(spark, scratch_path(spark, "archive"), rows.schema)
-    for batch_id in (0, 1):
-        for writer in ("first", "second"):
-            part = F.pmod("event_id", F.lit(4)) == 2 * batch_id + (writer == "second")
-            archive.upsert(rows.filter(part), batch_id, writer)
-            archive.compact_if_due(2)
-    return archive.read()
+    path = scratch_path(spark, "archive")
+    writers = [KeyedArchive(spark, path, rows.schema) for _ in range(2)]
+    for part in range(4):
+        writers[part % 2].upsert(rows.filter(F.pmod("event_id", F.lit(4)) == part))
+    return writers[0].read()
 
 
 @query("archive_table", f"""with {MERGED_SQL} select {', '.join(OBS_COLUMNS)} from merged
  qualify row_number() over (partition by name, hour order by ts desc, event_id desc) = 1""")
 def archive_table(spark, sf):
-    """The archive published as a table and read by name."""
-    rows = merged_observations(spark, sf)
-    archive = KeyedArchive(spark, scratch_path(spark, "archive"), rows.schema)
-    archive.upsert(rows.filter("event_id % 3 = 0"), 0)
-    archive.compact()
-    archive.upsert(rows.filter("event_id % 3 <> 0"), 1)
+    """The archive as a table that is read by name, after an update of a single hour."""
+    rows = merged_observations(spark, sf).select(*OBS_COLUMNS, "ts", "event_id")
     name = f"archived_{uuid.uuid4().hex}"
-    create_archive_table(spark, name, scratch_path(spark, "table"))
-    archive.publish(name)
-    return spark.sql(f"SELECT * FROM {name}")
+    create_archive_table(spark, name, scratch_path(spark, "table"), rows.schema)
+    archive = ArchiveTable(spark, name)
+    late = (F.col("hour") == 9) & (F.col("event_id") % 3 == 0)
+    archive.upsert(rows.filter(~late))
+    archive.upsert(rows.filter(late))
+    return spark.sql(f"SELECT {', '.join(OBS_COLUMNS)} FROM {name}")
 
 
 # ---- features --------------------------------------------------------------------------------

@@ -1,29 +1,32 @@
-"""Keyed archive: the latest row per key, written batch by batch.
+"""Keyed archive: a plain Parquet table with the latest row per key.
 
-A batch writes only its own winners, to a folder named by writer and batch, so its cost follows
-the batch and not the archive, and writing it again replaces it. A batch counts once its manifest
-is there. ``compact`` folds batches into base folders, one per hash bucket of the key; only the
-buckets that newer batches touch are merged, by ``compact`` and by readers, and all others are
-plain scans.
+The table is partitioned by some of the key columns. An upsert merges the batch with the partitions
+that it touches and overwrites these alone (dynamic partition overwrite), so its cost follows the
+touched partitions, any reader sees one ordinary table, and the files of all others stay as they
+are. The winner of a key is the greatest row in ``order``, whatever the order of arrival, so a batch
+that comes again after a failure changes nothing.
 
-Layout below ``path``: ``batch/writer=W/id=N``, ``base/<bucket>/v=K``, and ``manifest`` with one
-JSON file per batch and one, the newest of which counts, per compaction.
+One writer at a time: two that overwrite the same partition at once would lose one's rows. Spark
+writes the new files aside and puts them in place when all are written; a driver that ends while it
+does so can leave a partition aside, in the table's ``.spark-staging`` folder.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
+from contextlib import contextmanager
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from obsflow.schemas import OBS
-from obsflow.session import materialize
 
 ARCHIVE_KEYS = ("name", "hour")
-BUCKETS = 64
-_BUCKET = "_bucket"
+#: Rows of one hour of the day lie together: a live batch touches one or two of them.
+ARCHIVE_PARTITIONS = ("hour",)
+_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def latest_per_key(df: DataFrame, keys=ARCHIVE_KEYS, order=("ts", "event_id")) -> DataFrame:
@@ -35,159 +38,91 @@ def latest_per_key(df: DataFrame, keys=ARCHIVE_KEYS, order=("ts", "event_id")) -
     )
 
 
+def _within(partitions: list, names) -> Column:
+    """Rows of the listed partitions; as plain values, so that only these are read."""
+    return reduce(or_, [reduce(and_, [F.col(c).eqNullSafe(F.lit(p[c])) for c in names]) for p in partitions])
+
+
+@contextmanager
+def _dynamic(spark: SparkSession):
+    before = spark.conf.get(_MODE, None)
+    spark.conf.set(_MODE, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(_MODE, before) if before else spark.conf.unset(_MODE)
+
+
 class KeyedArchive:
-    def __init__(self, spark: SparkSession, path: str, schema: StructType,
-                 keys=ARCHIVE_KEYS, order=("ts", "event_id"), buckets: int = BUCKETS):
+    """The archive in a folder. ``partition_by`` names key columns with a bounded number of values;
+    for keys without one, rows can carry ``files.station_bucket`` as a key column of their own."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys=ARCHIVE_KEYS,
+                 order=("ts", "event_id"), partition_by=ARCHIVE_PARTITIONS):
+        if not set(partition_by) <= set(keys):
+            raise ValueError("an archive is partitioned by columns of its key")
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.keys, self.order, self.buckets = tuple(keys), tuple(order), buckets
-
-    def upsert(self, batch: DataFrame, batch_id: int, writer: str | None = None) -> None:
-        """Insert or overwrite by key; the same ``batch_id`` of a writer replaces its first write.
-
-        ``writer`` tells writers with batch numbers of their own apart. Left out, it is the id of
-        the streaming query that calls, which its checkpoint keeps, or else ``batch``. A batch
-        that is folded into the base may come again with the same content, as after a restart,
-        and is left alone then; with other content it is refused.
-        """
-        writer = writer or self.spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
-        winners = materialize(self._bucketed(
-            latest_per_key(batch.select(*self.schema.fieldNames()), self.keys, self.order)))
-        digest = F.sum(F.xxhash64(*sorted(self.schema.fieldNames())).cast("decimal(38,0)"))
-        buckets, rows, checksum = winners.agg(
-            F.collect_set(_BUCKET), F.count(F.lit(1)), digest).first()
-        content = f"{rows}:{checksum}"
-        folded = self._base()["folded"].get(writer, {}).get(str(batch_id))
-        if folded is not None:
-            if folded != content:
-                raise ValueError(f"batch {batch_id} of {writer} was compacted with other content")
-            return
-        winners.drop(_BUCKET).write.mode("overwrite").parquet(self._batch_path(writer, batch_id))
-        self._put(f"batch-{writer}-{batch_id}.json", {
-            "writer": writer, "id": batch_id, "buckets": sorted(buckets), "content": content})
-
-    def read(self) -> DataFrame:
-        base, batches = self._base(), self._open_batches()
-        touched = {b for batch in batches for b in batch["buckets"]}
-        plain = [b for b in base["buckets"] if int(b) not in touched]
-        merged = [b for b in base["buckets"] if int(b) in touched]
-        newer = self._load([self._batch_path(b["writer"], b["id"]) for b in batches])
-        rest = self._load([self._base_path(b, base["buckets"][b]) for b in plain])
-        if not batches:
-            return rest
-        old = self._load([self._base_path(b, base["buckets"][b]) for b in merged])
-        return latest_per_key(old.unionByName(newer), self.keys, self.order).unionByName(rest)
-
-    def compact(self) -> None:
-        """Fold all batches so far into the base.
-
-        Readers take the new base only once its manifest is there. What the base before this one
-        replaced is removed; what this one replaces stays for readers that started earlier.
-        """
-        base, batches = self._base(), self._open_batches()
-        if not batches:
-            return
-        version = base["version"] + 1
-        touched = sorted({b for batch in batches for b in batch["buckets"]})
-        old = self._load([self._base_path(b, base["buckets"][b]) for b in base["buckets"] if int(b) in touched])
-        new = self._load([self._batch_path(b["writer"], b["id"]) for b in batches])
-        rows = self._bucketed(latest_per_key(old.unionByName(new), self.keys, self.order))
-        work = f"{self.path}/base/work-{uuid.uuid4().hex}"
-        rows.hint("rebalance", _BUCKET).write.partitionBy(_BUCKET).parquet(work)
-        for b in touched:
-            self._move(f"{work}/{_BUCKET}={b}", self._base_path(b, version))
-        self._delete(work)
-        folded = {w: dict(ids) for w, ids in base["folded"].items()}
-        for batch in batches:
-            folded.setdefault(batch["writer"], {})[str(batch["id"])] = batch["content"]
-        gone = [self._base_path(b, base["buckets"][b]) for b in base["buckets"] if int(b) in touched]
-        gone += [self._batch_path(b["writer"], b["id"]) for b in batches]
-        gone += [f"{self.path}/manifest/batch-{b['writer']}-{b['id']}.json" for b in batches]
-        buckets = base["buckets"] | {str(b): version for b in touched}
-        self._put(f"base-{version:012d}.json", {
-            "version": version, "buckets": buckets, "folded": folded, "replaced": gone})
-        for path in base["replaced"]:
-            self._delete(path)
-
-    def compact_if_due(self, batches: int) -> None:
-        """Compact where at least ``batches`` batches are not folded yet."""
-        if len(self._open_batches()) >= batches:
-            self.compact()
+        self.keys, self.order, self.partition_by = tuple(keys), tuple(order), tuple(partition_by)
+        self.create()
+
+    def create(self) -> None:
+        """Make the empty table, unless there is one."""
+        empty = self.spark.createDataFrame([], self.schema)
+        empty.write.mode("ignore").partitionBy(*self.partition_by).parquet(self.path)
+
+    def read(self, spark: SparkSession | None = None) -> DataFrame:
+        rows = (spark or self.spark).read.schema(self.schema).parquet(self.path)
+        return rows.select(*self.schema.fieldNames())
+
+    def replace(self, rows: DataFrame) -> None:
+        """Overwrite the partitions that ``rows`` has, and no others."""
+        rows.hint("rebalance", *self.partition_by).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy(*self.partition_by).parquet(self.path)
+
+    def upsert(self, batch: DataFrame) -> int:
+        """Insert or overwrite by key; the number of partitions that were touched."""
+        rows = batch.select(*self.schema.fieldNames())
+        winners = latest_per_key(rows, self.keys, self.order).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            touched = winners.select(*self.partition_by).distinct().collect()
+            if touched:
+                old = self.read(batch.sparkSession).filter(_within(touched, self.partition_by))
+                self.replace(latest_per_key(old.unionByName(winners), self.keys, self.order))
+            return len(touched)
+        finally:
+            winners.unpersist()
 
     def create_view(self, name: str) -> None:
         """A view of what is archived now, for SQL in this session; create again to see more."""
         self.read().createOrReplaceTempView(name)
 
-    def publish(self, table: str) -> None:
-        """Put what is archived now in place of the content of a catalogue table."""
-        materialize(self.read()).select(*self.spark.table(table).columns).write.insertInto(table, overwrite=True)
-
-    def _bucketed(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn(_BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
-
-    def _batch_path(self, writer: str, batch_id: int) -> str:
-        return f"{self.path}/batch/writer={writer}/id={batch_id}"
-
-    def _base_path(self, bucket, version: int) -> str:
-        return f"{self.path}/base/{bucket}/v={version}"
-
-    def _load(self, paths: list[str]) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
-
-    def _base(self) -> dict:
-        found = self._manifests("base-")
-        return json.loads(self._get(found[-1])) if found else {
-            "version": 0, "buckets": {}, "folded": {}, "replaced": []}
-
-    def _open_batches(self) -> list[dict]:
-        folded = self._base()["folded"]
-        found = [json.loads(self._get(name)) for name in self._manifests("batch-")]
-        return [b for b in found if str(b["id"]) not in folded.get(b["writer"], {})]
-
-    def _manifests(self, prefix: str) -> list[str]:
-        path, system = self._system(f"{self.path}/manifest/{prefix}*.json")
-        return sorted(f.getPath().toString() for f in system.globStatus(path) or [])
-
-    def _system(self, path: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _put(self, name: str, value: dict) -> None:
-        """Write under another name and rename, so that no reader sees half a manifest."""
-        target, system = self._system(f"{self.path}/manifest/{name}")
-        part, _ = self._system(f"{self.path}/manifest/_{name}-{uuid.uuid4().hex}")
-        out = system.create(part, True)
-        out.write(bytearray(json.dumps(value).encode()))
-        out.close()
-        system.delete(target, False)
-        if not system.rename(part, target):
-            raise RuntimeError(f"could not write {target}")
-
-    def _get(self, path: str) -> str:
-        path, system = self._system(path)
-        stream = system.open(path)
-        try:
-            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
 
-    def _move(self, source: str, target: str) -> None:
-        old, system = self._system(source)
-        new, _ = self._system(target)
-        system.delete(new, True)
-        system.mkdirs(new.getParent())
-        if system.exists(old) and not system.rename(old, new):
-            raise RuntimeError(f"could not move {source}")
+class ArchiveTable(KeyedArchive):
+    """The archive as a table of the catalogue, made by ``create_archive_table``."""
+
+    def __init__(self, spark: SparkSession, table: str, keys=ARCHIVE_KEYS, order=("ts", "event_id"),
+                 partition_by=ARCHIVE_PARTITIONS):
+        super().__init__(spark, table, spark.table(table).schema, keys, order, partition_by)
+
+    def create(self) -> None:
+        pass
+
+    def read(self, spark: SparkSession | None = None) -> DataFrame:
+        spark = spark or self.spark
+        spark.catalog.refreshTable(self.path)
+        return spark.table(self.path)
 
-    def _delete(self, path: str) -> None:
-        path, system = self._system(path)
-        system.delete(path, True)
+    def replace(self, rows: DataFrame) -> None:
+        # INSERT OVERWRITE goes by position and knows the mode from the session only.
+        with _dynamic(rows.sparkSession):
+            rows.hint("rebalance", *self.partition_by).select(*self.schema.fieldNames()).write.insertInto(
+                self.path, overwrite=True)
 
 
 def create_archive_table(spark: SparkSession, table: str, location: str | None = None,
-                         schema: StructType = OBS) -> None:
-    """Create the archive table unless it exists; ``KeyedArchive.publish`` fills it."""
+                         schema: StructType = OBS, partition_by=ARCHIVE_PARTITIONS) -> None:
+    """Create the archive table unless it exists; ``ArchiveTable`` fills it."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{place}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+              f"PARTITIONED BY ({', '.join(partition_by)}){place}")

@@ -19,17 +19,23 @@ class KafkaTopic:
     topic: str
     servers: str
 
-    def reader_options(self, starting: str, limit: int | None) -> dict[str, str]:
+    def reader_options(self, starting: str, limit: int | None = None, since: float | None = None,
+                       limit_bytes: int | None = None) -> dict[str, str]:
+        if limit_bytes:
+            raise ValueError("a Kafka topic limits offsets, not bytes")
         options = {
-            "kafka.bootstrap.servers": self.servers, "subscribe": self.topic,
-            "startingOffsets": starting, "failOnDataLoss": "false",
+            "kafka.bootstrap.servers": self.servers, "subscribe": self.topic, "failOnDataLoss": "false",
         }
+        if since is None:
+            options["startingOffsets"] = starting
+        else:  # a partition with nothing as new as that starts with what comes next
+            options |= {"startingTimestamp": str(int(since * 1000)), "startingOffsetsByTimestampStrategy": "latest"}
         if limit:
             options["maxOffsetsPerTrigger"] = str(limit)
         return options
 
-    def read_stream(self, spark: SparkSession, starting: str, limit: int | None) -> DataFrame:
-        reader = spark.readStream.format("kafka").options(**self.reader_options(starting, limit))
+    def read_stream(self, spark: SparkSession, starting: str, **bounds) -> DataFrame:
+        reader = spark.readStream.format("kafka").options(**self.reader_options(starting, **bounds))
         return reader.load().selectExpr("cast(value as string) as value")
 
     def write(self, messages: DataFrame) -> None:
@@ -45,11 +51,22 @@ class KafkaTopic:
 class FolderTopic:
     path: str
 
-    def read_stream(self, spark: SparkSession, starting: str, limit: int | None) -> DataFrame:
-        reader = spark.readStream.format("text")  # a folder has no start position: all files count
+    def read_stream(self, spark: SparkSession, starting: str, limit: int | None = None,
+                    since: float | None = None, limit_bytes: int | None = None) -> DataFrame:
+        """All files there are and will be (``starting`` has no meaning for a folder), or those
+        written at ``since``, in epoch seconds, or later; files that are gone are passed over."""
+        if limit and limit_bytes:
+            raise ValueError("limit files or bytes, not both")
+        reader = spark.readStream.format("text").option("ignoreMissingFiles", "true")
         if limit:
             reader = reader.option("maxFilesPerTrigger", str(limit))
-        return reader.load(self.path)
+        if limit_bytes:
+            reader = reader.option("maxBytesPerTrigger", str(limit_bytes))
+        lines = reader.load(self.path)
+        if since is not None:
+            written = F.unix_micros("_metadata.file_modification_time")
+            lines = lines.filter(written >= int(since * 1_000_000)).select("value")
+        return lines
 
     def write(self, messages: DataFrame) -> None:
         messages.select("value").write.mode("append").text(self.path)
@@ -58,14 +75,17 @@ class FolderTopic:
         return messages.select("value").writeStream.format("text").option("path", self.path)
 
 
-def read_observation_stream(spark: SparkSession, topic, limit: int | None = None) -> DataFrame:
-    """Live messages from the newest on; ``limit`` bounds offsets or files per micro-batch."""
-    return topic.read_stream(spark, "latest", limit)
+def read_observation_stream(spark: SparkSession, topic, limit: int | None = None,
+                            limit_bytes: int | None = None) -> DataFrame:
+    """Live messages from the newest on; ``limit`` bounds offsets or files per micro-batch, and
+    ``limit_bytes`` the bytes of a folder's files (one file at least)."""
+    return topic.read_stream(spark, "latest", limit=limit, limit_bytes=limit_bytes)
 
 
-def replay_forecasts(spark: SparkSession, topic, limit: int | None = None) -> DataFrame:
-    """All forecasts from the first on, going on past ranges that are gone."""
-    return topic.read_stream(spark, "earliest", limit)
+def replay_forecasts(spark: SparkSession, topic, limit: int | None = None, since: float | None = None) -> DataFrame:
+    """All forecasts from the first on, or from ``since`` (epoch seconds) on, going on past ranges
+    that are gone: the first ones there still are come first."""
+    return topic.read_stream(spark, "earliest", limit=limit, since=since)
 
 
 def observation_messages(observations: DataFrame, style: str = "json", keyed: bool = False):

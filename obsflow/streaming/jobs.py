@@ -1,19 +1,21 @@
 """The live path: messages in, archive and forecasts out.
 
 All queries recover from their checkpoint. Work done in ``foreachBatch`` writes to a folder
-named by the batch, so a batch run again after a failure replaces its first, partial run.
+named by the batch, or merges by key, so a batch run again after a failure replaces its first,
+partial run.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from obsflow.constants import BATCH_INTERVAL, POINT_LIFETIME_SECONDS
 from obsflow.functions.messages import encode_forecast
-from obsflow.functions.weather import hour_of_epoch
+from obsflow.functions.weather import event_time, hour_of_epoch, merge_weather
 from obsflow.operators.messages import decode_messages, parse_messages, to_observations
 from obsflow.operators.models import forecast_columns, score
 from obsflow.sources.archive import KeyedArchive
@@ -51,31 +53,38 @@ def score_stream(messages: DataFrame, forecaster: PipelineModel, hour_offset: fl
 
 
 def fan_out(archive: KeyedArchive, forecaster: PipelineModel, emit, reject=None,
-            hour_offset: float = 0, compact_every: int = 720):
+            hour_offset: float = 0, report=None):
     """Parse a batch once, archive every observation, then score and emit what can be scored.
 
     ``emit(messages, batch_id)`` writes forecast messages and ``reject`` the messages that could
     not be read. Archived rows include classes the models do not know; forecasts do not. The
-    archive is compacted whenever ``compact_every`` batches are not folded yet: at 5 seconds each,
-    once an hour. Without observations nothing is archived, without forecasts nothing emitted.
+    batch's figures are observed in the one pass that parses and keeps it: nothing is archived where
+    no message could be read, nothing emitted where no row has a known class, and nothing rejected
+    where all could be read.
+    ``report(batch_id, figures)`` gets them: messages, rejected, scored and partitions (touched).
     """
+    known = F.col("rejected").isNull() & merge_weather("weather").isin(*forecaster.stages[0].labels)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_messages(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        seen = Observation()
+        parsed = parse_messages(batch).observe(
+            seen, F.count(F.lit(1)).alias("messages"),
+            F.count_if(F.col("rejected").isNotNull()).alias("rejected"), F.count_if(known).alias("scored"),
+        ).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if parsed.isEmpty():  # of the persisted batch, so the source is read once
-                return
+            parsed.write.format("noop").mode("overwrite").save()
+            figures = seen.get | {"partitions": 0}
             observations = to_observations(parsed.filter("rejected is null").drop("rejected"))
-            if not observations.isEmpty():
-                archive.upsert(observations, batch_id)
+            if figures["messages"] > figures["rejected"]:
+                figures["partitions"] = archive.upsert(observations)
+            if figures["scored"]:
                 scored = forecasts(observations, forecaster, hour_offset)
-                messages = scored.select(encode_forecast().alias("value")).persist(StorageLevel.MEMORY_AND_DISK)
-                if not messages.isEmpty():
-                    emit(messages, batch_id)
-                messages.unpersist()
-            if reject:
+                emit(scored.select(encode_forecast().alias("value")), batch_id)
+            if reject and figures["rejected"]:
                 broken = parsed.filter("rejected is not null")
                 reject(broken.select(F.col("rejected").alias("value")), batch_id)
-            archive.compact_if_due(compact_every)
+            if report:
+                report(batch_id, figures)
         finally:
             parsed.unpersist()
     return handle
@@ -90,12 +99,11 @@ def emit_to_folder(path: str, writer: str | None = None):
     return emit
 
 
-def upsert_to(archive: KeyedArchive, compact_every: int = 720):
-    """A ``foreachBatch`` function that archives non-empty batches and compacts when due."""
+def upsert_to(archive: KeyedArchive):
+    """A ``foreachBatch`` function that archives batches; an empty one touches nothing."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        archive.upsert(batch, batch_id)
-        archive.compact_if_due(compact_every)
-    return skip_empty(handle)
+        archive.upsert(batch)
+    return handle
 
 
 def emit_to_topic(topic):
@@ -142,3 +150,61 @@ def expired_points(points: DataFrame, time: str = "event_time",
     shown = timed.withWatermark("expired_at", f"{lifetime + lateness} seconds")
     ended = shown.groupBy("expired_at", *others, "_at").agg(F.count(F.lit(1)).alias("copies"))
     return ended.select(*others, F.timestamp_micros("_at").alias(time), "copies", "expired_at")
+
+
+#: Groups that points on show are spread over, whatever their stations.
+POINT_SHARES = 64
+_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
+def points_from_arrival(points: DataFrame, lifetime: float = POINT_LIFETIME_SECONDS,
+                        shares: int = POINT_SHARES) -> DataFrame:
+    """Streaming form by the clock: each point once, with ``arrived_at`` and ``expired_at``, when
+    ``lifetime`` seconds are over since it arrived, however old it is; none is late.
+
+    State is the points on show, dealt over ``shares`` groups by their content, with a
+    processing-time timer each; on an interval trigger timers also fire when nothing arrives. Time
+    of arrival is that of the micro-batch.
+    """
+    span = int(lifetime * 1000)
+    options = {"timestampFormat": _MICROS}
+    packed = points.select(F.to_json(F.struct("*"), options).alias("point")).withColumn(
+        "share", F.pmod(F.xxhash64("point"), F.lit(shares)).cast("int"))
+
+    def hold(key, pages, state):
+        held, ends = map(list, state.get if state.exists else ((), ()))
+        now = state.getCurrentProcessingTimeMs()
+        for page in pages:
+            held += page["point"].tolist()
+            ends += [now + span] * len(page)
+        left = [(p, e) for p, e in zip(held, ends) if e > now]
+        gone = [(p, e, now) for p, e in zip(held, ends) if e <= now]
+        if left:
+            state.update(tuple(map(list, zip(*left))))
+            state.setTimeoutDuration(max(1, min(e for _, e in left) - now))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(gone, columns=["point", "ends", "now"]).astype({"point": object, "ends": "int64", "now": "int64"})
+
+    ended = packed.groupBy("share").applyInPandasWithState(
+        hold, "point string, ends long, now long", "points array<string>, ends array<bigint>", "append",
+        "ProcessingTimeTimeout")
+    point = F.from_json("point", points.schema, options)
+    return ended.select(point.alias("_p"), F.timestamp_millis(F.col("ends") - span).alias("arrived_at"),
+                        F.timestamp_millis("now").alias("expired_at")).select("_p.*", "arrived_at", "expired_at")
+
+
+def unrepeated(rows: DataFrame, keys=("name", "ts", "weather"), delay: str = "60 days") -> DataFrame:
+    """Streaming rows without those that repeat an earlier one's ``keys``, so that a page that comes
+    again never reaches the stored history.
+
+    State is one key per row of the last ``delay`` by the newest observation. What is older than
+    that is late and left out, so ``delay`` must exceed the age of the oldest page that may come.
+    """
+    timed = rows.withColumn("_time", event_time("ts")).withWatermark("_time", delay)
+    return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_time")
+
+
+def append_history(rows: DataFrame, path: str, key: str = "name") -> DataStreamWriter:
+    """Append a stream of rows to JSON lines in folders per station, each batch exactly once."""
+    return rows.writeStream.format("json").partitionBy(key).option("path", path)

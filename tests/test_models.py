@@ -1,4 +1,5 @@
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from obsflow.operators import features as f, models as ml
@@ -119,3 +120,37 @@ def test_splits(train):
     assert first.count() + second.count() == train.count()
     assert first.exceptAll(again).count() == 0
     assert sum(part.count() for part in random_split(train)) == train.count()
+
+
+def test_leaves_of_full_trees(train):
+    """At full depth on all features, each leaf forecasts the mean or the most frequent class of
+    the rows that reach it; both trees have many leaves."""
+    encoding, labels = ml.fit_encoding(train), ml.fit_label_indexer(train)
+    data = ml.regression_data(train, encoding)
+    boosted = ml.fit_boosted(data, max_iter=1).setLeafCol("leaf")
+    leaves = boosted.transform(data).groupBy(vector_to_array("leaf")[0].alias("leaf")).agg(
+        F.avg("label").alias("mean"), F.min("temp_forecast").alias("low"), F.max("temp_forecast").alias("high")).collect()
+    assert len(leaves) > 10
+    for leaf in leaves:
+        assert leaf.low == leaf.high and abs(leaf.mean - leaf.low) < 1e-9
+    data = ml.classification_data(train, encoding, labels)
+    tree = ml.fit_tree(data).setLeafCol("leaf")
+    scored = tree.transform(data)
+    votes = {}
+    for r in scored.groupBy("leaf", ml.LABEL_INDEX, "class_prediction").count().collect():
+        votes.setdefault(r.leaf, []).append((-r["count"], r[ml.LABEL_INDEX], r.class_prediction))
+    assert len(votes) > 5
+    for leaf in votes.values():
+        assert {v[2] for v in leaf} == {min(leaf)[1]}
+
+
+def test_parts_of_the_chain(spark, train, forecaster):
+    """The chain equals its parts put together by hand, and not with another temperature."""
+    from obsflow.plans.queries_models import forecast_by_parts
+
+    rows = train.select("event_id", "lon", "lat", F.col("hour").cast("double").alias("hour"), "temp", "tempfelt",
+                        "pressure", "humidity", "weather").dropDuplicates(["event_id"])
+    chain = ml.score(rows, forecaster).join(forecast_by_parts(spark, rows, forecaster), "event_id")
+    assert chain.filter("temp_forecast <> part_temp or predicted_label <> part_label").count() == 0
+    swapped = ml.score(rows, forecaster).join(forecast_by_parts(spark, rows, forecaster, "temp"), "event_id")
+    assert swapped.filter("predicted_label <> part_label").count() > 0

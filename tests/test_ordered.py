@@ -6,7 +6,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from obsflow.operators.ordered import divide, join_unique, row_positions, shift_rows
+from obsflow.operators.labels import label_asof_offset
+from obsflow.operators.ordered import divide, fill_forward, join_unique, row_positions, shift_rows
 
 SCHEMA = "name string, ts double, id bigint, value double"
 
@@ -59,6 +60,43 @@ def test_row_positions(spark, max_rows):
         assert [result[r[2]] for r in members] == list(range(len(members)))
 
 
+@pytest.mark.parametrize("max_rows", [None, 2, 40])
+def test_fill_forward(spark, max_rows):
+    """Gaps longer than cells, groups that begin or consist of nulls."""
+    data = [(n, t, i, v if i % 7 == 3 and 50 < i else None) for n, t, i, v in rows(8)]
+    df = spark.createDataFrame(data, SCHEMA)
+    got = fill_forward(df, "value", ["name"], ["ts", "id"], "filled", max_rows)
+    assert got.columns == ["name", "ts", "id", "value", "filled"]
+    result = {r.id: r.filled for r in got.collect()}
+    assert len(result) == len(data) == got.count()
+    for members in brute(data).values():
+        last = None
+        for r in members:
+            last = r[3] if r[3] is not None else last
+            assert result[r[2]] == last
+    whole = {r.id: r.filled for r in fill_forward(df, "value", [], ["ts", "id"], "filled", max_rows).collect()}
+    last = None
+    for r in brute(data, key=False)[0]:
+        last = r[3] if r[3] is not None else last
+        assert whole[r[2]] == last
+
+
+@pytest.mark.parametrize("max_rows", [None, 5])
+@pytest.mark.parametrize("hours, tolerance", [(3, 1), (3, 3), (0.5, 0.25)])
+def test_label_asof(spark, max_rows, hours, tolerance):
+    rng = random.Random(4)
+    data = [(rng.choice("ab"), float(rng.randrange(0, 40) * 900), i, rng.random(), f"c{i}") for i in range(120)]
+    df = spark.createDataFrame(data, "name string, ts double, event_id bigint, temp double, weather string")
+    got = label_asof_offset(df, hours, tolerance, max_rows=max_rows).collect()
+    assert len(got) == len(data)
+    for r in got:
+        late = r.ts + hours * 3600
+        before = [(x[1], x[2], x) for x in data if x[0] == r.name and x[1] <= late]
+        newest = max(before)[2]
+        want = (newest[4], newest[3]) if newest[1] > late - tolerance * 3600 else (None, None)
+        assert (r.weather_forecast, r.temp_forecast) == want
+
+
 @pytest.mark.parametrize("max_rows", [3, 50, 10_000])
 def test_row_positions_of_the_whole_input(spark, max_rows):
     data = rows(3)
