@@ -10,9 +10,11 @@ spaces and drops the first one, so a text comes back to the byte unless it holds
 No piece has a marker after another character, so a text splits exactly before each run of markers
 and equal parts share their ids; each task keeps the parts it has met, up to ``CACHE`` of them.
 
-The pieces are read from a model file of the sentencepiece library, whose path is a parameter. The
-default one is a BPE model: its scores are merge ranks (-2, -3, ...), not log probabilities, and
-stand in for them here. The ids are neither that model's BPE ids nor a most likely segmentation.
+The pieces are read from a model file of the sentencepiece library, whose path is a parameter. A
+unigram model's scores are log probabilities and taken as they are. The default one is a BPE model,
+whose scores are merge ranks: its pieces get the log of the share that Zipf's law gives their rank,
+1 / rank over the sum of all, so the ids are the most likely segmentation under these shares, not
+that model's BPE ids. Pieces are not counted in the corpus, which would take a second pass.
 
 Defined results: a null text is empty; an empty text has no ids; rows that repeat get the same
 ids; texts of any length are encoded whole; an empty table gives an empty result. Other columns
@@ -21,6 +23,7 @@ are kept.
 
 from __future__ import annotations
 
+import math
 import zlib
 from functools import lru_cache
 
@@ -111,16 +114,22 @@ class Pieces:
     """Pieces, scores and kinds of a model file, with encoding and decoding of single texts."""
 
     NORMAL, BYTE = 1, 6
+    BPE = 2
 
     def __init__(self, path: str = MODEL):
         self.names, self.scores, self.kinds = [], [], []
+        trained = {}
         with open(path, "rb") as file:
             for field, value in _fields(file.read()):
+                if field == 2:
+                    trained = dict(_fields(value))
                 if field == 1:
                     piece = dict(_fields(value))
                     self.names.append(piece[1])
                     self.scores.append(float(np.frombuffer(piece.get(2, bytes(4)), "<f4")[0]))
                     self.kinds.append(piece.get(3, self.NORMAL))
+        if trained.get(3) == self.BPE:
+            self._rank()
         normal = {n: i for i, (n, k) in enumerate(zip(self.names, self.kinds)) if k == self.NORMAL}
         self.trie = Trie(normal)
         self.bytes = {int(n[3:5], 16): i for i, (n, k) in enumerate(zip(self.names, self.kinds)) if k == self.BYTE}
@@ -133,6 +142,14 @@ class Pieces:
         for byte, i in self.bytes.items():
             self.spelled[i] = bytes([byte])
 
+    def _rank(self) -> None:
+        """The log shares of the pieces by their ranks, the highest score first."""
+        ranked = [i for i, kind in enumerate(self.kinds) if kind == self.NORMAL]
+        ranked.sort(key=lambda i: -self.scores[i])
+        total = sum(1 / rank for rank in range(1, len(ranked) + 1))
+        for rank, i in enumerate(ranked, 1):
+            self.scores[i] = -math.log(rank * total)
+
     def best(self, part: bytes) -> list[int]:
         """Viterbi ids of a part whose white space is marked."""
         base, check, value, scores = self.trie.base, self.trie.check, self.trie.value, self.scores

@@ -44,21 +44,36 @@ def test_against_library(tmp_path):
     """The library takes the same pieces as a unigram model once its file says so."""
     with open(sp.MODEL, "rb") as file:
         raw = file.read()
-    model = sp.pieces()
     spec = next(v for f, v in sp._fields(raw) if f == 2)
     at = raw.index(spec)
     kind = spec.index(bytes([3 << 3, 2]))  # model_type: BPE
     changed = raw[: at + kind + 1] + b"\x01" + raw[at + kind + 2 :]
     other = library.SentencePieceProcessor(model_proto=changed)
+    path = tmp_path / "unigram.model"
+    path.write_bytes(changed)
+    model, encoder = sp.pieces(str(path)), sp.Encoder(str(path))
+    assert model.scores[model.names.index(b"in")] == other.get_score(other.piece_to_id("in"))
     texts = ["Thonst aonthrein thedtiou anon.", "In, of the inanin.", "Hello world", "der Rest: 12 km"]
     for text in texts:
-        ours = sp.Encoder()(pa.array([text]))[0].tolist()
+        ours = encoder(pa.array([text]))[0].tolist()
         total = lambda ids: sum(model.scores[i] for i in ids)
         theirs = other.encode(text)
         assert abs(total(ours) - total(theirs)) < 1e-3 or total(ours) > total(theirs)
         assert other.decode(ours) == text
 
 
+def test_ranks_become_log_shares():
+    """The pieces of the merge model get shares that fall with their rank and add up to one."""
+    model = sp.pieces()
+    raw = library.SentencePieceProcessor(model_file=sp.MODEL)
+    normal = [i for i, k in enumerate(model.kinds) if k == model.NORMAL]
+    assert abs(sum(np.exp(model.scores[i]) for i in normal) - 1) < 1e-9
+    order = sorted(normal, key=lambda i: -model.scores[i])
+    ranks = [raw.get_score(i) for i in order]
+    assert ranks == sorted(ranks, reverse=True)
+    assert abs(model.scores[order[0]] - model.scores[order[9]] - np.log(10)) < 1e-12
+
+
 def test_trie():
     words = {b"a": 0, b"ab": 1, b"abc": 2, b"\xff": 3, b"b": 4, b"\x00": 5}
     trie = sp.Trie(words)
