@@ -44,9 +44,9 @@ def divide(df: DataFrame, keys, order, max_rows: int = MAX_ROWS):
 
     The second is None where no group is above. ``order`` names columns that together are unique
     within a group. Cells follow ``order``: they are range partitions of sampled quantiles, so
-    outliers, nulls, NaN and infinities only end up in the first or last cells. Cells still above
-    the bound are cut again with twice as many ranges, until rows equal in ``order`` are all that
-    is left together.
+    outliers, nulls, NaN and infinities only end up in the first or last cells. Rows are written
+    once; only cells still above the bound are cut again, by themselves, until rows equal in
+    ``order`` are all that is left together.
     """
     counts = _oversized(df, keys, max_rows)
     groups, total = counts.agg(F.count(F.lit(1)), F.sum("_n")).first()
@@ -58,14 +58,26 @@ def divide(df: DataFrame, keys, order, max_rows: int = MAX_ROWS):
         rows = df.join(hot, _same_group(keys), "left_semi")
     else:
         rest, rows = df.limit(0), df
-    parts, before = math.ceil(2 * total / max_rows), None
+    parts, before, done = math.ceil(2 * total / max_rows), None, None
+    rows, within = rows.withColumn(CELL, F.lit(0).cast("bigint")), []
     while True:
-        ranged = rows.repartitionByRange(parts, *keys, *order)
-        cells = materialize(ranged.withColumn(CELL, F.spark_partition_id().cast("bigint")))
-        largest = cells.groupBy(*keys, CELL).count().agg(F.max("count")).first()[0]
-        if largest <= max_rows or largest == before:
-            return rest, cells
-        parts, before = 2 * parts, largest
+        ranged = rows.repartitionByRange(parts, *keys, *within, *order)
+        number = F.col(CELL) * F.lit(parts) + F.spark_partition_id().cast("bigint")
+        cells = materialize(ranged.withColumn(CELL, number))
+        if done is not None:  # the numbers of the cells that stay grow in step
+            done = done.withColumn(CELL, F.col(CELL) * F.lit(parts))
+        sizes = cells.groupBy(*keys, CELL).agg(F.count(F.lit(1)).alias("_n"))
+        large = materialize(sizes.filter(F.col("_n") > max_rows).select(
+            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(CELL).alias("_c"), "_n"))
+        many, largest, size = large.agg(F.count(F.lit(1)), F.max("_n"), F.sum("_n")).first()
+        if not many or largest == before:
+            return rest, cells if done is None else done.unionByName(cells)
+        big = counted_side(large)
+        same = _same_group(keys) & (F.col(CELL) == F.col("_c"))
+        small = cells.join(big, same, "left_anti")
+        done = small if done is None else done.unionByName(small)
+        rows, within = cells.join(big, same, "left_semi"), [CELL]
+        parts, before = math.ceil(4 * size / max_rows), largest
 
 
 def shift_rows(
@@ -87,11 +99,11 @@ def shift_rows(
     if cells is None:
         return whole
     within = _plain([*keys, CELL], order)
-    local = materialize(cells.select(
+    local = cells.select(
         "*", *shifted(within),
         (F.lag(F.lit(1), distance).over(within).isNull()).alias("_head"),
         (F.lead(F.lit(1), distance).over(within).isNull()).alias("_tail"),
-    ))
+    )
     # The rows whose partner lies in another cell. The first and last rows of the cells, taken
     # alone, keep every such partner at its distance.
     open_end = F.col("_head") if n > 0 else F.col("_tail")
