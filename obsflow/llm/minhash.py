@@ -23,11 +23,12 @@ gives an empty result. Other columns don't matter.
 
 from __future__ import annotations
 
-from hashlib import blake2b
+from hashlib import blake2b, sha256
 from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -282,19 +283,47 @@ def one_of_each(docs: DataFrame, least: float = LEAST) -> DataFrame:
     return chosen(docs, stay)
 
 
+def _closed(batches):
+    """Rows with their text compressed, as n_bytes and packed: the one thing that is shuffled whole."""
+    press = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        for part in slices(batch, "text", SLICE):
+            texts = part.column("text").cast(pa.large_binary()).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c) for c in ("no_id", "id", "row_hash")), pa.array([len(t) for t in texts], pa.int64()),
+                 pa.array([press.compress(t) for t in texts], pa.binary())],
+                names=["no_id", "id", "row_hash", "n_bytes", "packed"])
+
+
+def _opened(batch: pa.RecordBatch):
+    """Parts of a batch with at most ``SLICE`` bytes of text (one row at least each), and their texts."""
+    opener = zstandard.ZstdDecompressor()
+    ends, start = np.cumsum(batch.column("n_bytes").to_numpy()), 0
+    while start < batch.num_rows:
+        base = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + SLICE, "right")))
+        part, start = batch.slice(start, stop - start), stop
+        sizes = part.column("n_bytes").to_pylist()
+        yield part, [opener.decompress(t, max_output_size=n) if n else b""
+                     for t, n in zip(part.column("packed").to_pylist(), sizes)]
+
+
 def edited(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text is the text with its last floor(n_chars / 4) code points replaced by the first
-    as many of the next document. Whole texts are shuffled once, by id and hash; the next
-    document's part and fingerprint, never its text, go to the row before it.
+    as many of the next document. Whole texts are shuffled once, compressed, by id and hash; the
+    next document's part and fingerprint, never its text, go to the row before it.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # Plain keys without nulls, so that every step below shares one partitioning.
-    rows = docs.select(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"),
-                       F.xxhash64(text).alias("row_hash"), text.alias("text"))
+    plain = docs.select(F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+                        F.xxhash64(text).alias("row_hash"), text.alias("text"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    named = f"no_id boolean, id {kind}, row_hash long"
     key = ["no_id", "id", "row_hash"]
-    ids = rows.select(*key, F.length("text").cast("long").alias("n_chars")).distinct()
+    rows = shipped(plain).mapInArrow(_closed, f"{named}, n_bytes long, packed binary")
+    ids = plain.select(*key, F.length("text").cast("long").alias("n_chars")).distinct()
     placed = cut(running_sum(ids, [F.col(c) for c in key], "n_chars", "_sum", "place").drop("_sum"))
     total = placed.count()
     to = [f"to_{c}" for c in key]
@@ -302,41 +331,38 @@ def edited(docs: DataFrame) -> DataFrame:
                           *(F.col(c).alias(t) for c, t in zip(key, to)))
     wants = wants.join(placed.select("place", *key), "place").drop("place")
     at_next = rows.join(wants, key)
-    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def heads(batches):
         for batch in batches:
-            for part in slices(batch, "text", SLICE):
-                found = fingerprint(signatures(part.column("text")))
+            for part, texts in _opened(batch):
+                found = fingerprint(signatures(pa.array(texts, pa.binary()).view(pa.string())))
+                first = [t.decode()[:k] for t, k in zip(texts, part.column("k").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in to), part.column("head"), pa.array(found, pa.binary())],
+                    [*(part.column(c) for c in to), pa.array(first, pa.string()), pa.array(found, pa.binary())],
                     names=[*key, "head", "next_fingerprint"])
 
-    sent = at_next.select(*to, F.substring("text", F.lit(1), F.col("k")).alias("head"), "text").mapInArrow(
-        heads, f"no_id boolean, id {kind}, row_hash long, head string, next_fingerprint binary")
+    sent = at_next.select(*to, "k", "n_bytes", "packed").mapInArrow(heads, f"{named}, head string, next_fingerprint binary")
     # Copies of the next row bring the same part again.
     once = sent.groupBy(*key).agg(
         F.any_value("head").alias("head"), F.any_value("next_fingerprint").alias("next_fingerprint"))
-    joined = rows.join(once, key).withColumn("doc_id", F.when(~F.col("no_id"), F.col("id")))
-    n = F.length("text")
-    ready = joined.select(
-        "doc_id", n.cast("long").alias("n_chars"), "text", "next_fingerprint",
-        F.concat(F.substring("text", F.lit(1), n - F.floor(n / 4).cast("int")), "head").alias("edited"))
-    ready = ready.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-                         "text", "edited", "next_fingerprint")
+    joined = rows.join(once, key).select(F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "n_bytes", "packed", "head", "next_fingerprint")
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text", SLICE):
-                own, other = (fingerprint(signatures(part.column(c))) for c in ("text", "edited"))
+            for part, texts in _opened(batch):
+                strings = [t.decode() for t in texts]
+                changed = [t[: len(t) - len(t) // 4] + h for t, h in zip(strings, part.column("head").to_pylist())]
+                own = fingerprint(signatures(pa.array(texts, pa.binary()).view(pa.string())))
+                other = fingerprint(signatures(pa.array(changed, pa.string())))
                 a, b, c = (np.frombuffer(b"".join(x), np.uint8).reshape(-1, HASHES)
                            for x in (own, other, part.column("next_fingerprint").to_pylist()))
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in ("doc_id", "n_chars", "edited_sha256")), pa.array([x.hex() for x in own]),
+                    [part.column("doc_id"), pa.array([len(t) for t in strings], pa.int64()),
+                     pa.array([sha256(t.encode()).hexdigest() for t in changed]), pa.array([x.hex() for x in own]),
                      pa.array([x.hex() for x in other]), pa.array(likeness(a, b)), pa.array(likeness(a, c))],
                     names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
-    return shipped(ready).mapInArrow(
+    return shipped(joined).mapInArrow(
         run, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
              "near_edited double, near_next double")
 
