@@ -38,7 +38,8 @@ from obsflow.llm.common import shipped, slices, table, with_fields
 from obsflow.llm.registry import query
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
-MARK, CACHE = "▁", 500_000
+#: Parts kept at most, and the characters of the longest one kept, which bounds their bytes.
+MARK, CACHE, LONG = "▁", 500_000, 64
 #: Score of one byte piece, below any score of a piece.
 BYTE_SCORE = -1e9
 
@@ -221,7 +222,9 @@ class Encoder:
         for part in coded.dictionary.to_pylist():
             ids = known.get(part)
             if ids is None:
-                ids = known[part] = np.array(best(part.encode()), np.int32)
+                ids = np.array(best(part.encode()), np.int32)
+                if len(part) <= LONG:
+                    known[part] = ids
             parts.append(ids)
         sizes = np.array([len(p) for p in parts], np.int64)
         flat = np.concatenate([np.zeros(0, np.int32), *parts])

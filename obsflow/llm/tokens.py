@@ -44,6 +44,8 @@ from obsflow.llm.registry import query
 
 MODEL, END = public_tokenizers.path("word_bpe_49k.json"), 1
 BLOCK, LANES, CACHE = 1 << 20, 4096, 900_000
+#: Characters of the longest chunk that is kept, which bounds the bytes of all.
+LONG = 64
 _TOP, _LEAST, _CHOICE = np.uint64(1 << 48), np.uint64(1 << 32), np.uint64(12)
 _U = np.uint64
 
@@ -296,6 +298,9 @@ class Tokeniser:
         known, chunks = self.known, coded.dictionary.to_pylist()
         self._learn([c for c in chunks if c not in known])
         parts = [known[c] for c in chunks]
+        for chunk in [c for c in chunks if len(c) > LONG]:
+            del known[chunk]
+            self.words.pop(chunk.rstrip(".,").lower(), None)
         sizes = np.array([len(p) // 4 for p in parts], np.int64)
         flat = np.frombuffer(b"".join(parts), np.int32)
         begins = np.cumsum(sizes) - sizes
