@@ -37,7 +37,7 @@ from obsflow.llm.common import cut, partitions, shipped, table
 from obsflow.llm.packs import pack, packed_schema, tops, whole
 from obsflow.llm.registry import query
 
-K, EVERY, BLOCK, QUERIES = 20, 20, 8192, 1024
+K, EVERY, BLOCK, QUERIES = 20, 20, 8192, 8192
 TREES, BITS, LEAST, SHARE = 128, 64, 2048, 0.45
 _KINDS = {"ids": "<i8", "v": "<f8"}
 
