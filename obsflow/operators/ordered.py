@@ -19,6 +19,8 @@ from obsflow.session import counted_side, materialize
 CELL = "_cell"
 #: Rows one task sorts at most, as far as the order columns can tell rows apart.
 MAX_ROWS = 4_000_000
+#: Rows one task takes at least where cells are smaller, and tasks up to which a cell may be one's own.
+TASK_ROWS, FEW_TASKS = 100_000, 200
 #: Tasks that rows with a null join key are dealt out to.
 NULL_SHARES = 1024
 
@@ -43,10 +45,11 @@ def divide(df: DataFrame, keys, order, max_rows: int = MAX_ROWS):
     """The rows of groups within ``max_rows``, and apart the others with their ``_cell``.
 
     The second is None where no group is above. ``order`` names columns that together are unique
-    within a group. Cells follow ``order``: they are range partitions of sampled quantiles, so
-    outliers, nulls, NaN and infinities only end up in the first or last cells. Rows are written
-    once; only cells still above the bound are cut again, by themselves, until rows equal in
-    ``order`` are all that is left together.
+    within a group. Rows are range-partitioned along keys and ``order`` by sampled quantiles, so
+    outliers, nulls, NaN and infinities only end up in the first or last partitions, sorted there
+    and cut into cells of ``max_rows`` rows: cells follow ``order``, and no cell is above the bound.
+    A partition has ``TASK_ROWS`` rows at most, but for the errors of the sample, or a cell if that
+    is larger; so the number of tasks follows the rows and not the number of cells.
     """
     counts = _oversized(df, keys, max_rows)
     groups, total = counts.agg(F.count(F.lit(1)), F.sum("_n")).first()
@@ -58,26 +61,13 @@ def divide(df: DataFrame, keys, order, max_rows: int = MAX_ROWS):
         rows = df.join(hot, _same_group(keys), "left_semi")
     else:
         rest, rows = df.limit(0), df
-    parts, before, done = math.ceil(2 * total / max_rows), None, None
-    rows, within = rows.withColumn(CELL, F.lit(0).cast("bigint")), []
-    while True:
-        ranged = rows.repartitionByRange(parts, *keys, *within, *order)
-        number = F.col(CELL) * F.lit(parts) + F.spark_partition_id().cast("bigint")
-        cells = materialize(ranged.withColumn(CELL, number))
-        if done is not None:  # the numbers of the cells that stay grow in step
-            done = done.withColumn(CELL, F.col(CELL) * F.lit(parts))
-        sizes = cells.groupBy(*keys, CELL).agg(F.count(F.lit(1)).alias("_n"))
-        large = materialize(sizes.filter(F.col("_n") > max_rows).select(
-            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(CELL).alias("_c"), "_n"))
-        many, largest, size = large.agg(F.count(F.lit(1)), F.max("_n"), F.sum("_n")).first()
-        if not many or largest == before:
-            return rest, cells if done is None else done.unionByName(cells)
-        big = counted_side(large)
-        same = _same_group(keys) & (F.col(CELL) == F.col("_c"))
-        small = cells.join(big, same, "left_anti")
-        done = small if done is None else done.unionByName(small)
-        rows, within = cells.join(big, same, "left_semi"), [CELL]
-        parts, before = math.ceil(4 * size / max_rows), largest
+    parts = min(math.ceil(2 * total / max_rows), max(FEW_TASKS, math.ceil(2 * total / TASK_ROWS)))
+    ranged = rows.repartitionByRange(parts, *keys, *order).sortWithinPartitions(*keys, *order)
+    # The partition in the upper bits, the row's place in it in the lower ones.
+    numbered = ranged.withColumn(CELL, F.monotonically_increasing_id())
+    place = F.col(CELL).bitwiseAND(2**33 - 1)
+    return rest, materialize(numbered.withColumn(
+        CELL, F.col(CELL) - place + F.floor(place / max_rows).cast("bigint")))
 
 
 def shift_rows(
@@ -108,7 +98,8 @@ def shift_rows(
     # alone, keep every such partner at its distance.
     open_end = F.col("_head") if n > 0 else F.col("_tail")
     edges = local.filter(F.col("_head") | F.col("_tail")).drop(*outputs)
-    repaired = edges.select("*", *shifted(_plain(keys, order))).filter(open_end)
+    # Cells come before the order, so that rows equal in it stay on their side of a cut.
+    repaired = edges.select("*", *shifted(_plain(keys, [CELL, *order]))).filter(open_end)
     columns = [*df.columns, *outputs]
     return (
         whole.unionByName(local.filter(~open_end).select(*columns))

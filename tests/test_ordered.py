@@ -182,3 +182,20 @@ def test_numbers_closer_than_doubles_tell(spark):
     df = spark.createDataFrame(data, "name string, big bigint, id bigint")
     got = {r.id: r.position for r in row_positions(df, ["name"], ["big", "id"], max_rows=5).collect()}
     assert got == {r[2]: r[1] - base for r in data}
+
+
+def test_tasks_follow_the_rows_and_not_the_cells(spark):
+    df = spark.range(5000).select(F.lit("hot").alias("name"), F.col("id").cast("double").alias("ts"), "id")
+    _, cells = divide(df, ["name"], ["ts", "id"], 10)
+    assert cells.rdd.getNumPartitions() <= 200
+    assert cells.groupBy("_cell").count().agg({"count": "max"}).first()[0] <= 10
+    assert cells.count() == 5000
+
+
+@pytest.mark.parametrize("n", [1, -2])
+def test_rows_equal_in_order_are_shifted_once_each(spark, n):
+    data = [("hot", float(i // 7), 0, float(i // 7)) for i in range(140)]
+    got = shift_rows(spark.createDataFrame(data, SCHEMA), {"shifted": "value"}, n, ["name"], ["ts", "id"], 5)
+    want = [data[i - n][3] if 0 <= i - n < 140 else None for i in range(140)]
+    by = lambda pair: (pair[0], pair[1] is None, pair[1])
+    assert sorted(((r.ts, r.shifted) for r in got.collect()), key=by) == sorted(zip([d[1] for d in data], want), key=by)
