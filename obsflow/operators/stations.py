@@ -75,15 +75,17 @@ def batch_ids(ids: DataFrame, order, column: str = "id", size: int = IDS_PER_REQ
 
 
 def json_pages(df: DataFrame, columns, order, key: str = "name", page_rows: int = 10_000,
-               max_rows: int | None = None) -> DataFrame:
+               max_rows: int | None = None, number: str | None = None) -> DataFrame:
     """Each station's rows as JSON arrays of at most ``page_rows`` elements, pages in order.
 
     A station within ``page_rows`` gets one array; a larger one gets several, so no value grows
-    with the station.
+    with the station. ``number`` names a field of each element for the number of its page.
     """
     numbered = row_positions(df, [key], order, max_rows=max_rows)
-    paged = numbered.groupBy(key, F.floor(F.col("position") / page_rows).cast("bigint").alias("page"))
-    entries = F.array_sort(F.collect_list(F.struct("position", F.struct(*columns).alias("row"))))
+    page = F.floor(F.col("position") / page_rows).cast("bigint")
+    paged = numbered.groupBy(key, page.alias("page"))
+    fields = [*columns, *([page.alias(number)] if number else [])]
+    entries = F.array_sort(F.collect_list(F.struct("position", F.struct(*fields).alias("row"))))
     return paged.agg(F.count(F.lit(1)).alias("n"), entries.alias("_entries")).select(
         key, "page", "n", F.to_json(F.col("_entries.row")).alias("json")
     )

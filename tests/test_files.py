@@ -148,3 +148,49 @@ def test_shuffle_is_a_permutation_and_repeats(spark):
     assert sorted(once) == list(range(50)) and once != list(range(50))
     assert once == [r.id for r in s.shuffle_ids(ids.repartition(5)).collect()]
     assert once != [r.id for r in s.shuffle_ids(ids, seed=14).collect()]
+
+
+def test_pages_share_files(spark, tmp_path):
+    """Each page's rows come back with its number, from far fewer files than pages."""
+    df = spark.createDataFrame([(f"s{i % 40}", float(i), *ROW[2:]) for i in range(400)], OBS_RAW)
+    pages = s.json_pages(df, list(OBS_RAW.fieldNames()), ["ts"], page_rows=4, number="page")
+    files.write_json_arrays(pages, str(tmp_path / "paged"), per_file=60)
+    assert len(list((tmp_path / "paged").glob("**/*.txt"))) <= 2 < pages.count() == 120
+    back = files.read_observation_arrays(spark, str(tmp_path / "paged"), page="page")
+    assert back.drop("page").exceptAll(df).count() == 0 and back.count() == 400
+    assert {(r.name, r.ts): r.page for r in back.collect()} == {(f"s{i % 40}", float(i)): i // 40 // 4 for i in range(400)}
+
+
+def test_documents_share_files(spark, tmp_path):
+    hourly = [hour(0, "Clear"), hour(1, "Mist", "Drizzle")]
+    texts = [(f"s{i}", 0, json.dumps({"name": f"s{i}", "lon": float(i), "lat": 1.0, "hourly": hourly})) for i in range(50)]
+    documents = spark.createDataFrame(texts, "name string, page bigint, value string")
+    files.write_documents(documents, str(tmp_path / "documents"), ["name", "page"], per_file=25)
+    assert len(list((tmp_path / "documents").glob("**/*.txt"))) <= 2
+    read = files.read_history(spark, str(tmp_path / "documents"), name="name")
+    assert {r.name: (r.lon, len(r.hourly)) for r in read.collect()} == {f"s{i}": (float(i), 2) for i in range(50)}
+    assert rejected_history_documents(read).count() == 0
+
+
+@pytest.mark.parametrize("name", ["json_roundtrip", "read_csv_roundtrip", "append_history_dedup",
+                                  "json_array_roundtrip", "history_documents", "append_history_stream"])
+def test_files_do_not_grow_with_the_stations(spark, tmp_path, monkeypatch, name):
+    from obsflow.plans import queries_models, queries_tables
+    from obsflow.plans.registry import QUERIES
+
+    data, out = str(tmp_path / "data"), []
+
+    def scratch(_, label):
+        out.append(tmp_path / f"{label}-{len(out)}")
+        return str(out[-1])
+
+    for module in (queries_models, queries_tables):
+        monkeypatch.setattr(module, "scratch_path", scratch)
+    moment = F.timestamp_seconds(1704067200 + F.col("id") * 60 % 2592000).cast("timestamp_ntz")
+    spark.range(1500).select(
+        F.col("id").alias("event_id"), moment.alias("ts"), (F.col("id") % 250).alias("user_id"), F.lit("view").alias("event_type"),
+        F.col("id").cast("double").alias("value"), F.format_string('{"k": %d}', F.col("id") % 97).alias("props"),
+    ).coalesce(1).write.parquet(f"{data}/events.parquet")
+    assert QUERIES[name](spark, data).count() > 700
+    folders = {p.parent for path in out for p in path.glob("**/part-*")}
+    assert len(folders) <= 2 + queries_tables.STATION_BUCKETS
