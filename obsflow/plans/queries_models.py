@@ -21,7 +21,7 @@ from obsflow.operators.labels import training_table
 from obsflow.operators.messages import decode_messages, to_observations
 from obsflow.operators.split import hash_split
 from obsflow.plans.queries_scalar import persisted_forecast
-from obsflow.plans.queries_tables import _LATEST_SQL
+from obsflow.plans.queries_tables import STATION_BUCKETS, _LATEST_SQL
 from obsflow.plans.registry import query
 from obsflow.plans.testview import LAGGED_SQL, MERGED_SQL, OBS_SQL, observations
 from obsflow.schemas import FORECAST, FORECAST_COLUMNS, OBS_RAW, OBS_RAW_COLUMNS
@@ -547,7 +547,7 @@ def append_history_stream(spark, sf):
     for page in (first, second, first):
         page.write.mode("append").json(incoming)
         rows = spark.readStream.schema(OBS_RAW).json(incoming)
-        drain(jobs.append_history(jobs.unrepeated(rows), stored), checkpoint)
+        drain(jobs.append_history(jobs.unrepeated(rows), stored, buckets=STATION_BUCKETS), checkpoint)
     return files.read_json_lines(spark, stored, OBS_RAW).select("name", "ts", "weather")
 
 

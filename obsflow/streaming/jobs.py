@@ -19,6 +19,7 @@ from obsflow.functions.weather import event_time, hour_of_epoch, merge_weather
 from obsflow.operators.messages import decode_messages, parse_messages, to_observations
 from obsflow.operators.models import forecast_columns, score
 from obsflow.sources.archive import KeyedArchive
+from obsflow.sources.files import station_bucket
 
 
 def start(writer: DataStreamWriter, checkpoint: str, once: bool = False,
@@ -205,6 +206,18 @@ def unrepeated(rows: DataFrame, keys=("name", "ts", "weather"), delay: str = "60
     return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_time")
 
 
-def append_history(rows: DataFrame, path: str, key: str = "name") -> DataStreamWriter:
-    """Append a stream of rows to JSON lines in folders per station, each batch exactly once."""
+#: Files a batch writes to each folder that stations share.
+FOLDER_SHARES = 4
+
+
+def append_history(rows: DataFrame, path: str, key: str = "name", buckets: int | None = None) -> DataStreamWriter:
+    """Append a stream of rows to JSON lines in folders per station, each batch exactly once.
+
+    With ``buckets``, stations share that many folders and a batch writes at most ``FOLDER_SHARES``
+    files to each, whatever the number of stations.
+    """
+    if buckets:
+        share = F.pmod(F.xxhash64(*rows.columns), F.lit(FOLDER_SHARES))
+        rows = rows.withColumn("bucket", station_bucket(key, buckets)).repartition("bucket", share)
+        key = "bucket"
     return rows.writeStream.format("json").partitionBy(key).option("path", path)
