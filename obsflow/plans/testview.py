@@ -88,8 +88,10 @@ def history_pages(obs: DataFrame) -> DataFrame:
     )
 
 
-def history_payloads(obs: DataFrame) -> DataFrame:
-    page = F.to_json(F.struct("lon", "lat", F.struct(F.lit(1).alias("dt")).alias("current"), "hourly"))
+def history_payloads(obs: DataFrame, named: bool = False) -> DataFrame:
+    """The pages as JSON documents; ``named`` adds the station's name to the document."""
+    own = ["name"] if named else []
+    page = F.to_json(F.struct(*own, "lon", "lat", F.struct(F.lit(1).alias("dt")).alias("current"), "hourly"))
     return history_pages(obs).select("name", "page", page.alias("value"))
 
 
