@@ -19,7 +19,7 @@ from obsflow.session import counted_side, materialize
 CELL = "_cell"
 #: Rows one task sorts at most, as far as the order columns can tell rows apart.
 MAX_ROWS = 4_000_000
-#: Rows one task takes at least where cells are smaller, and tasks up to which a cell may be one's own.
+#: Rows one task takes at most where cells are smaller, and tasks up to which a cell may be one's own.
 TASK_ROWS, FEW_TASKS = 100_000, 200
 #: Tasks that rows with a null join key are dealt out to.
 NULL_SHARES = 1024
