@@ -15,7 +15,7 @@ The files are Parquet folders of blocks: part and block number, ids before the b
 ids of documents and their lengths, coded bytes, checksum.
 
 Text is tokenised by white-space chunks, which a tokeniser that never joins across white space
-codes one by one; each task keeps the chunks it has met, up to ``CACHE`` of them.
+codes one by one; each worker keeps the chunks it has met, up to about ``CACHE`` of them.
 
 Defined results: a null text is empty; an empty text has only the end id; rows that repeat are
 documents of their own; null ids come last; texts of any length are whole in one block. An empty
@@ -39,13 +39,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from obsflow.llm.common import partitions, shared_folder, shipped, slices, table
+from obsflow.llm.common import partitions, shared_folder, shipped, slices, table, text_bytes
 from obsflow.llm.registry import query
 
 MODEL, END = public_tokenizers.path("word_bpe_49k.json"), 1
 BLOCK, LANES, CACHE = 1 << 20, 4096, 900_000
-#: Characters of the longest chunk that is kept, which bounds the bytes of all.
-LONG = 64
+#: Characters of the longest chunk that is kept, which bounds the bytes of all; bytes tokenised at a time.
+LONG, GATHER = 64, 8 << 20
 _TOP, _LEAST, _CHOICE = np.uint64(1 << 48), np.uint64(1 << 32), np.uint64(12)
 _U = np.uint64
 
@@ -112,28 +112,42 @@ class Models:
         self.second = np.zeros(self.SLOTS, np.int32)
         self.first = np.zeros(alphabet, np.int32)
         self.choices = np.tile(np.array([4, 2, 6], np.int64), (32, 1))
-        self.counts = np.zeros(alphabet, np.int64)
+        self.weights = np.ones(alphabet, np.int64)
+        self.cumulative = np.zeros(alphabet + 1, np.int64)
         self.steps = 0
 
     def predict(self, before: np.ndarray, last: np.ndarray):
         """Slots, candidates and context of each lane."""
-        self.slot = (last * 40503 + before * 60493) % self.SLOTS
+        self.slot = (last * 40503 + before * 60493) & (self.SLOTS - 1)
         self.last = last
         self.was = [self.second.take(self.slot), self.first.take(last)]
         self.guess = [was >> 2 for was in self.was]
         self.context = (self.was[0] & 3) * 4 + (self.was[1] & 3) + 16 * (self.guess[0] == self.guess[1])
         if self.steps % self.REBUILD == 0:
-            self.cumulative = np.concatenate([[0], np.cumsum(1 + self.GAIN * self.counts)])
+            np.cumsum(self.weights, out=self.cumulative[1:])
         self.steps += 1
         shares = 1 + self.choices * ((1 << 12) - 3) // self.choices.sum(axis=1, keepdims=True)
         shares[:, 2] += (1 << 12) - shares.sum(axis=1)
         self.bounds = np.concatenate([np.zeros((32, 1), np.int64), np.cumsum(shares, axis=1)], axis=1)
 
+    def interval(self, choice: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and width of each lane's choice."""
+        at = self.context * 4 + choice
+        start = self.bounds.ravel().take(at)
+        return start, self.bounds.ravel().take(at + 1) - start
+
+    def find(self, values: np.ndarray) -> np.ndarray:
+        """Ids whose order-0 interval holds each value; looked up in rising order, which is faster."""
+        order = np.argsort(values)
+        ids = np.empty(len(values), np.int64)
+        ids[order] = np.searchsorted(self.cumulative, values[order], "right") - 1
+        return ids
+
     def learn(self, ids: np.ndarray, choice: np.ndarray) -> None:
         self.choices += np.bincount(self.context * 3 + choice, minlength=96).reshape(32, 3)
         if self.steps % 32 == 0:
             self.choices -= self.choices // 4
-        np.add.at(self.counts, ids[choice == 2], 1)
+        np.add.at(self.weights, ids[choice == 2], self.GAIN)
         fresh = (ids << 2).astype(np.int32)
         for values, at, guess, was in zip((self.second, self.first), (self.slot, self.last), self.guess, self.was):
             # A hit is surer by one; a miss halves that, and replaces a candidate that is not sure.
@@ -167,8 +181,7 @@ def compress(ids: np.ndarray) -> bytes:
         x = grid[step, :used]
         models.predict(before[:used], last[:used])
         choice = np.where(models.guess[0] == x, 0, np.where(models.guess[1] == x, 1, 2))
-        start = models.bounds[models.context, choice]
-        share = models.bounds[models.context, choice + 1] - start
+        start, share = models.interval(choice)
         coder.narrow(slice(0, used), start.astype(_U), share.astype(_U), coder.range[:used] >> _CHOICE)
         miss = np.flatnonzero(choice == 2)
         if len(miss):
@@ -203,15 +216,14 @@ def decompress(data: bytes) -> np.ndarray:
         choice = (value >= models.bounds[:, 1].take(models.context)).astype(np.int64)
         choice += value >= models.bounds[:, 2].take(models.context)
         x = np.where(choice == 0, models.guess[0], models.guess[1])
-        start = models.bounds[models.context, choice]
-        share = models.bounds[models.context, choice + 1] - start
+        start, share = models.interval(choice)
         coder.narrow(slice(0, used), start.astype(_U), share.astype(_U), unit)
         miss = np.flatnonzero(choice == 2)
         if len(miss):
             total = models.cumulative[-1]
             unit = coder.range[miss] // _U(total)
             value = np.minimum((coder.code[miss] - coder.low[miss]) // unit, _U(total - 1)).astype(np.int64)
-            x[miss] = np.searchsorted(models.cumulative, value, "right") - 1
+            x[miss] = models.find(value)
             start = models.cumulative[x[miss]]
             share = models.cumulative[x[miss] + 1] - start
             coder.narrow(miss, start.astype(_U), share.astype(_U), unit)
@@ -223,25 +235,30 @@ def decompress(data: bytes) -> np.ndarray:
 
 #: What word_bpe_49k.json does before its merges; only then are plain words taken apart from the rest.
 _NORMALIZERS, _SUFFIX = ["NFC", "Replace", "Lowercase"], "</w>"
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Letters that only need lower case, and the marks that are taken off behind them, at most so many.
+_LETTERS, _MARKS, _MOST = "^[A-Za-zªµºÀ-ÖØ-öø-ÿ]+$", '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~', 8
 
 
 class Tokeniser:
     """Ids of batches of texts; keeps the chunks it has met.
 
-    Most chunks are one word of Latin letters, perhaps with a full stop or comma: these need
+    Most chunks are one word of Latin letters, perhaps with a run of marks behind it: the words need
     nothing but lower case and the merges, and are coded many at a time by a copy of the model
-    without the rest. The library codes all others.
+    without the rest; the marks are a chunk of their own. The library codes all others.
     """
 
     def __init__(self, path: str = MODEL):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.model, self.known, self.words = Tokenizer.from_file(path), {}, {}
+        self.model = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         kinds = [n.get("type") for n in (spec["normalizer"] or {}).get("normalizers", [])]
-        self.plain = kinds == _NORMALIZERS and spec["model"].get("end_of_word_suffix") == _SUFFIX
+        splits = [p.get("pattern") for p in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        self.plain = (kinds == _NORMALIZERS and splits[:1] == [{"Regex": _PATTERN}]
+                      and spec["model"].get("end_of_word_suffix") == _SUFFIX)
         if self.plain:
             lean = spec | {"normalizer": None, "added_tokens": [], "pre_tokenizer": {
                 "type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, {
@@ -250,66 +267,91 @@ class Tokeniser:
             vocabulary = self.lean.get_vocab()
             self.last = np.zeros(max(vocabulary.values()) + 1, bool)
             self.last[[i for t, i in vocabulary.items() if t.endswith(_SUFFIX)]] = True
-        self.tails = {"": b""} | {c: self._whole([c])[0] for c in ".,"}
+        self._forget()
 
-    def _whole(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.int32).tobytes() for e in self.model.encode_batch_fast(chunks, add_special_tokens=False)]
+    def _forget(self) -> None:
+        """``known`` has the place of each chunk in ``sizes``, whose ids lie one after the other."""
+        self.known, self.ids, self.sizes = {}, np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def _keep(self, chunks: list[str], ids, sizes) -> None:
+        self.known.update(zip(chunks, range(len(self.sizes), len(self.sizes) + len(chunks))))
+        self.ids = np.concatenate([self.ids, np.asarray(ids, np.int32)])
+        self.sizes = np.concatenate([self.sizes, np.asarray(sizes, np.int64)])
 
     def _learn_words(self, words: list[str]) -> None:
         """Ids of lower-case words of letters; every word ends with a token that says so."""
         lines = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
-        ids = np.array([i for e in self.lean.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids], np.int32)
-        raw, ends = ids.tobytes(), (np.flatnonzero(self.last[ids]) + 1).tolist()
+        ids = np.concatenate([np.array(e.ids, np.int32) for e in self.lean.encode_batch_fast(lines, add_special_tokens=False)])
+        ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) != len(words):
             raise ValueError("the tokeniser does not mark the ends of words")
-        begin = 0
-        for word, end in zip(words, ends):
-            self.words[word] = raw[4 * begin : 4 * end]
-            begin = end
+        self._keep(words, ids, np.diff(ends, prepend=0))
 
     def _learn(self, chunks: list[str]) -> None:
-        rest, parts, fresh = [], [], {}
+        rest, lowered, fresh, known = [], [], {}, self.known
         for chunk in chunks:
-            tail = chunk[-1:] if chunk[-1:] in (".", ",") else ""
-            word = chunk[:-1] if tail else chunk
-            if self.plain and word.isalpha() and max(word) < "Ā":
-                word = word.lower()
-                parts.append((chunk, word, tail))
-                if word not in self.words:
+            if self.plain and chunk.isalpha() and (chunk.isascii() or max(chunk) < "Ā"):
+                word = chunk.lower()
+                if word != chunk:
+                    lowered.append((chunk, word))
+                if word not in known:
                     fresh[word] = None
             else:
                 rest.append(chunk)
         if fresh:
             self._learn_words(list(fresh))
-        for chunk, word, tail in parts:
-            self.known[chunk] = self.words[word] + self.tails[tail]
-        for start in range(0, len(rest), 1000):
-            some = rest[start : start + 1000]
-            self.known.update(zip(some, self._whole(some)))
+        for chunk, word in lowered:
+            known[chunk] = known[word]
+        if rest:
+            coded = [e.ids for start in range(0, len(rest), 1000)
+                     for e in self.model.encode_batch_fast(rest[start : start + 1000], add_special_tokens=False)]
+            self._keep(rest, [i for ids in coded for i in ids], list(map(len, coded)))
+
+    def _without_marks(self, chunks: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Chunks without the marks behind plain words, which chunks had some, and their places."""
+        heads = pc.utf8_rtrim(chunks, _MARKS)
+        cut = (pc.binary_length(chunks).to_numpy() - pc.binary_length(heads).to_numpy()).astype(np.int64)
+        at = np.flatnonzero((cut > 0) & (cut <= _MOST))
+        at = at[pc.match_substring_regex(heads.take(pa.array(at)), _LETTERS).to_numpy(zero_copy_only=False)]
+        if not self.plain or not len(at):
+            return chunks, at[:0], at[:0]
+        data, offsets = text_bytes(chunks)
+        cut, ends, marks = cut[at], offsets[at + 1], np.zeros(len(at), np.uint64)
+        for k in range(int(cut.max())):
+            some = np.flatnonzero(cut > k)
+            marks[some] |= data[ends[some] - 1 - k].astype(np.uint64) << np.uint64(8 * k)
+        kinds, which = np.unique(marks, return_inverse=True)
+        tails = [k.to_bytes(_MOST, "big").lstrip(b"\0").decode() for k in kinds.tolist()]
+        self._learn([t for t in tails if t not in self.known])
+        mask = np.zeros(len(chunks), bool)
+        mask[at] = True
+        return pc.if_else(pa.array(mask), heads, chunks), at, np.array([self.known[t] for t in tails], np.int64)[which]
 
     def __call__(self, texts: pa.Array, end: int | None = END) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, ``end`` after each text, and the n + 1 offsets."""
-        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
-        coded = split.flatten().dictionary_encode()
         if len(self.known) > CACHE:
-            self.known.clear()
-        if len(self.words) > CACHE:
-            self.words.clear()
-        known, chunks = self.known, coded.dictionary.to_pylist()
-        self._learn([c for c in chunks if c not in known])
-        parts = [known[c] for c in chunks]
-        for chunk in [c for c in chunks if len(c) > LONG]:
-            del known[chunk]
-            self.words.pop(chunk.rstrip(".,").lower(), None)
-        sizes = np.array([len(p) // 4 for p in parts], np.int64)
-        flat = np.frombuffer(b"".join(parts), np.int32)
-        begins = np.cumsum(sizes) - sizes
-        which = coded.indices.to_numpy(zero_copy_only=False)
-        each = sizes[which]
+            self._forget()
+        split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+        heads, at, tails = self._without_marks(split.flatten())
+        coded = heads.dictionary_encode()
+        chunks = coded.dictionary.to_pylist()
+        fresh = [c for c in chunks if c not in self.known]
+        self._learn([c for c in fresh if len(c) <= LONG])
+        kept, long = (self.ids, self.sizes), [c for c in fresh if len(c) > LONG]
+        self._learn(long)
+        places = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
+        places = np.insert(places[coded.indices.to_numpy(zero_copy_only=False)], at + 1, tails)
+        each = self.sizes[places]
         ends = np.cumsum(each)
-        ids = flat[np.repeat(begins[which] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        counts = pc.list_value_length(split).to_numpy(zero_copy_only=False)
-        offsets = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        begins = np.cumsum(self.sizes) - self.sizes
+        ids = self.ids[np.repeat(begins[places] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        if long:
+            for chunk in long:
+                self.known.pop(chunk, None)
+                self.known.pop(chunk.lower(), None)
+            self.ids, self.sizes = kept
+        stops = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
+        offsets = np.concatenate([[0], ends])[stops + np.searchsorted(at, stops)]
         if end is None:
             return ids, offsets
         return np.insert(ids, offsets[1:], end), offsets + np.arange(len(offsets))
@@ -324,32 +366,52 @@ def tokeniser(path: str = MODEL) -> Tokeniser:
 _FILE = "part int, block int, before long, n_ids long, doc_ids binary, known binary, lengths binary, coded binary, crc long"
 
 
+def _gathered(batches):
+    """Texts and doc ids, some ``GATHER`` bytes of text at a time."""
+    texts, docs, size = [], [], 0
+    for batch in batches:
+        for some in slices(batch, "text", 2 << 20):
+            texts.append(some.column("text").cast(pa.large_string()))
+            docs += some.column("doc_id").to_pylist()
+            size += texts[-1].nbytes
+            if size >= GATHER:
+                yield pa.concat_arrays(texts), docs
+                texts, docs, size = [], [], 0
+    if docs:
+        yield pa.concat_arrays(texts), docs
+
+
 def _code(path: str, end: int | None):
     def run(batches):
         part, block, before = TaskContext.get().partitionId(), 0, 0
         tokenise = tokeniser(path)
-        ids, lengths, docs = [], [], []
+        ids, lengths, docs, size = [], [], [], 0
 
         def flush():
-            nonlocal block, before, ids, lengths, docs
+            nonlocal block, before, ids, lengths, docs, size
             every = np.concatenate(ids)
             row = {"part": part, "block": block, "before": before, "n_ids": len(every),
                    "doc_ids": np.array([d or 0 for d in docs], "<i8").tobytes(),
                    "known": np.array([d is not None for d in docs], np.uint8).tobytes(),
                    "lengths": np.concatenate(lengths).astype("<i8").tobytes(), "coded": compress(every),
                    "crc": zlib.crc32(every.astype("<u4").tobytes())}
-            block, before, ids, lengths, docs = block + 1, before + len(every), [], [], []
+            block, before, ids, lengths, docs, size = block + 1, before + len(every), [], [], [], 0
             kinds = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("n_ids", pa.int64()), *(
                 (c, pa.binary()) for c in ("doc_ids", "known", "lengths", "coded")), ("crc", pa.int64())])
             return pa.RecordBatch.from_pylist([row], kinds)
 
-        for batch in batches:
-            for some in slices(batch, "text", 2 << 20):
-                found, offsets = tokenise(some.column("text"), end)
-                ids.append(found)
-                lengths.append(np.diff(offsets))
-                docs += some.column("doc_id").to_pylist()
-                if sum(map(len, ids)) >= BLOCK:
+        for texts, names in _gathered(batches):
+            found, offsets = tokenise(texts, end)
+            start = 0
+            while start < len(names):  # a block ends with the document that fills it
+                stop = min(len(names), int(np.searchsorted(offsets, offsets[start] + BLOCK - size)))
+                stop = max(stop, start + 1)
+                ids.append(found[offsets[start] : offsets[stop]])
+                lengths.append(np.diff(offsets[start : stop + 1]))
+                docs += names[start:stop]
+                size += len(ids[-1])
+                start = stop
+                if size >= BLOCK:
                     yield flush()
         if docs:
             yield flush()

@@ -26,6 +26,26 @@ def test_tokeniser_equals_the_library():
         assert ids[offsets[k]:offsets[k + 1]].tolist() == ids_of(text), repr(text)
 
 
+def test_words_with_marks_are_learnt_once(monkeypatch):
+    tokenise, whole = tk.Tokeniser(), []
+
+    class Library:
+        def encode_batch_fast(self, chunks, **options):
+            whole.extend(chunks)
+            return model.encode_batch_fast(chunks, **options)
+
+    model, tokenise.model = tokenise.model, Library()
+    texts = ["That&&& that### that.*** été--", "That### that... That", "don't. x" + "!" * 9, "w" * 70 + "? " + "W" * 80, None]
+    ids, offsets = tokenise(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [ids_of(t) for t in texts]
+    assert sorted(whole) == sorted(["", "&&&", "###", ".***", "--", "...", "don't.", "x" + "!" * 9, "?"])
+    assert not [c for c in tokenise.known if len(c) > tk.LONG]
+    kept = len(tokenise.sizes)
+    assert tokenise(pa.array(texts))[0].tolist() == ids.tolist() and len(tokenise.sizes) == kept
+    monkeypatch.setattr(tk, "CACHE", 3)
+    assert tokenise(pa.array(texts))[0].tolist() == ids.tolist()
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 63, 64, 65, 1000, 40_000, 150_001])
 def test_coder_round_trip(n):
     rng = np.random.default_rng(n)
@@ -72,3 +92,10 @@ def test_empty(spark, docs, tmp_path):
     tk.write(docs([]), f"{tmp_path}/e")
     assert tk.digest(spark, f"{tmp_path}/e").count() == 0
     assert tk.read(spark, f"{tmp_path}/e").count() == 0
+
+
+def test_blocks_end_with_the_document_that_fills_them(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(tk, "BLOCK", 10)
+    tk.write(docs([(i, "a b c") for i in range(11)]).coalesce(1), f"{tmp_path}/b")
+    sizes = [r.n_ids for r in spark.read.parquet(f"{tmp_path}/b").collect()]
+    assert sum(sizes) == 44 and max(sizes) == 12
