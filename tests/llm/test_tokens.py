@@ -96,6 +96,6 @@ def test_empty(spark, docs, tmp_path):
 
 def test_blocks_end_with_the_document_that_fills_them(spark, docs, tmp_path, monkeypatch):
     monkeypatch.setattr(tk, "BLOCK", 10)
-    tk.write(docs([(i, "a b c") for i in range(11)]).coalesce(1), f"{tmp_path}/b")
+    tk.write(docs([(i, "a b c") for i in range(240)]), f"{tmp_path}/b")
     sizes = [r.n_ids for r in spark.read.parquet(f"{tmp_path}/b").collect()]
-    assert sum(sizes) == 44 and max(sizes) == 12
+    assert sum(sizes) == 960 and max(sizes) == 12
