@@ -94,12 +94,21 @@ def fit_forecaster(train: DataFrame, max_iter: int = 20, max_depth: int = 5, see
     ])
 
 
+def worked_out(rows: DataFrame, column: str = "weather") -> DataFrame:
+    """The same rows, with ``column`` worked out before anything filters on it.
+
+    The indexer's filter would be moved below the projections and work the class out again, once
+    for each time its expression names its source. Filters are not moved below an exploded list.
+    """
+    return rows.select(*[F.explode(F.array(c)).alias(c) if c == column else F.col(c) for c in rows.columns])
+
+
 def score(observations: DataFrame, forecaster: PipelineModel) -> DataFrame:
     """Batch or streaming observations plus ``temp_forecast`` and ``predicted_label``.
 
     Rows of classes the training never saw are skipped.
     """
-    scored = forecaster.transform(observations)
+    scored = forecaster.transform(worked_out(observations))
     return scored.select(*observations.columns, "temp_forecast", "predicted_label")
 
 

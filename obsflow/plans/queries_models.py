@@ -234,7 +234,7 @@ def forecast_by_parts(spark, rows, chain, temperature="temp_forecast"):
     hand, stage one written and joined back by event_id, ``temperature`` given to the classifier."""
     indexer, boosted, tree, names = (chain.stages[i] for i in (0, 3, 5, 6))
     slots = [f"_slot{i}" for i in range(len(indexer.labels) - 1)]
-    known = rows.filter(F.col("weather").isin(*indexer.labels)).withColumns(
+    known = ml.worked_out(rows).filter(F.col("weather").isin(*indexer.labels)).withColumns(
         {slot: (F.col("weather") == label).cast("double") for slot, label in zip(slots, indexer.labels)})
     first = VectorAssembler(inputCols=[*FEATURES, *slots], outputCol=ml.REGRESSION_FEATURES).transform(known)
     path = scratch_path(spark, "stage-one")

@@ -113,6 +113,19 @@ def test_unknown_classes_are_not_scored(spark, train, forecaster):
     assert ml.score(live, forecaster).count() == 0
 
 
+def test_class_is_worked_out_once(spark, train, forecaster):
+    live = train.drop("weather_forecast", "temp_forecast")
+    packed = live.withColumn("weather", F.to_json(F.struct("weather")))
+    taken = F.get_json_object("weather", "$.weather")
+    again = packed.withColumn("weather", F.when(taken == "Fog", "Clear").when(taken == "Rain", "Clouds").otherwise(taken))
+    scored = ml.score(again, forecaster)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan and not [line for line in plan.splitlines() if "Filter" in line and "get_json_object" in line]
+    assert scored.columns[:len(live.columns)] == live.columns and scored.count() == live.count()
+    empty = ml.worked_out(spark.createDataFrame([(1, None), (1, None), (2, "a")], "n int, weather string"))
+    assert sorted(empty.collect(), key=str) == sorted([(1, None), (1, None), (2, "a")], key=str)
+
+
 def test_splits(train):
     key = F.concat("name", F.col("event_id").cast("string"))
     first, second = hash_split(train, key)
