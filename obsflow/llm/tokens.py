@@ -73,13 +73,15 @@ class Coder:
         """Take ``share`` parts from ``start`` on, each ``unit`` wide, in the given lanes."""
         low = self.low[lanes] + unit * start
         width = unit * share
-        at = np.flatnonzero(((low ^ (low + width)) < _TOP) | (width < _LEAST))
+        differ = low ^ (low + width)
+        at = np.flatnonzero((differ < _TOP) | (width < _LEAST))
         if len(at) and not self.decoding and self.at.max() + 8 > self.words.shape[1]:
             self.words = np.concatenate([self.words, np.zeros_like(self.words)], axis=1)
+        differ = differ[at]
         while len(at):
             rows = at if isinstance(lanes, slice) else lanes[at]
             some, wide = low[at], width[at]
-            cut = np.flatnonzero((some ^ (some + wide)) >= _TOP)
+            cut = np.flatnonzero(differ >= _TOP)
             if len(cut):
                 wide[cut] = (_U(0) - some[cut]) & (_LEAST - _U(1))
             place = self.at[rows]
@@ -90,7 +92,9 @@ class Coder:
             self.at[rows] = place + 1
             some, wide = some << _U(16), wide << _U(16)
             low[at], width[at] = some, wide
-            at = at[((some ^ (some + wide)) < _TOP) | (wide < _LEAST)]
+            differ = some ^ (some + wide)
+            more = np.flatnonzero((differ < _TOP) | (wide < _LEAST))
+            at, differ = at[more], differ[more]
         self.low[lanes], self.range[lanes] = low, width
 
     def finish(self) -> list[np.ndarray]:
@@ -105,53 +109,59 @@ class Coder:
 class Models:
     """What the lanes of a block have learnt together."""
 
-    SURE, SLOTS, GAIN, REBUILD = 3, 1 << 17, 24, 4
+    SLOTS, GAIN, REBUILD = 1 << 17, 24, 4
+    #: What is added to a candidate by how sure it is (0 to 3), after a miss and after a hit.
+    CHANGE = np.array([0, -1, -1, -2, 1, 1, 1, 0], np.int32)
 
     def __init__(self, alphabet: int):
-        # A candidate and, in the two low bits, how sure it is.
-        self.second = np.zeros(self.SLOTS, np.int32)
-        self.first = np.zeros(alphabet, np.int32)
+        # A candidate and, in the two low bits, how sure it is: of the order-2 slots, then of each id.
+        self.candidates = np.zeros(self.SLOTS + alphabet, np.int32)
         self.choices = np.tile(np.array([4, 2, 6], np.int64), (32, 1))
         self.weights = np.ones(alphabet, np.int64)
         self.cumulative = np.zeros(alphabet + 1, np.int64)
         self.steps = 0
 
-    def predict(self, before: np.ndarray, last: np.ndarray):
-        """Slots, candidates and context of each lane."""
-        self.slot = (last * 40503 + before * 60493) & (self.SLOTS - 1)
-        self.last = last
-        self.was = [self.second.take(self.slot), self.first.take(last)]
-        self.guess = [was >> 2 for was in self.was]
-        self.context = (self.was[0] & 3) * 4 + (self.was[1] & 3) + 16 * (self.guess[0] == self.guess[1])
+    def predict(self, before: np.ndarray, last: np.ndarray) -> None:
+        """Candidates and context of each lane."""
+        self.at = np.empty((2, len(last)), np.int64)
+        # Wraps around in 32 bits, which leaves the low ones as they are.
+        np.bitwise_and(last * np.int32(40503) + before * np.int32(60493), self.SLOTS - 1, out=self.at[0])
+        np.add(last, self.SLOTS, out=self.at[1])
+        self.was = self.candidates.take(self.at)
+        self.guess, self.sure = self.was >> 2, self.was & 3
+        self.context = (self.sure[0] << 2) + self.sure[1] + ((self.guess[0] == self.guess[1]).astype(np.int32) << 4)
         if self.steps % self.REBUILD == 0:
             np.cumsum(self.weights, out=self.cumulative[1:])
         self.steps += 1
         shares = 1 + self.choices * ((1 << 12) - 3) // self.choices.sum(axis=1, keepdims=True)
         shares[:, 2] += (1 << 12) - shares.sum(axis=1)
-        self.bounds = np.concatenate([np.zeros((32, 1), np.int64), np.cumsum(shares, axis=1)], axis=1)
+        self.shares = shares.astype(_U)
+        self.starts = np.cumsum(self.shares, axis=1) - self.shares
 
     def interval(self, choice: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and width of each lane's choice."""
-        at = self.context * 4 + choice
-        start = self.bounds.ravel().take(at)
-        return start, self.bounds.ravel().take(at + 1) - start
+        self.chosen = self.context * 3 + choice
+        return self.starts.ravel().take(self.chosen), self.shares.ravel().take(self.chosen)
 
     def find(self, values: np.ndarray) -> np.ndarray:
         """Ids whose order-0 interval holds each value; looked up in rising order, which is faster."""
-        order = np.argsort(values)
+        bits = len(values).bit_length()
+        order = np.sort(values << bits | np.arange(len(values)))
         ids = np.empty(len(values), np.int64)
-        ids[order] = np.searchsorted(self.cumulative, values[order], "right") - 1
+        ids[order & ((1 << bits) - 1)] = np.searchsorted(self.cumulative, order >> bits, "right") - 1
         return ids
 
-    def learn(self, ids: np.ndarray, choice: np.ndarray) -> None:
-        self.choices += np.bincount(self.context * 3 + choice, minlength=96).reshape(32, 3)
+    def learn(self, ids: np.ndarray, missed: np.ndarray) -> None:
+        """All ``ids``, and those that no candidate named."""
+        self.choices += np.bincount(self.chosen, minlength=96).reshape(32, 3)
         if self.steps % 32 == 0:
             self.choices -= self.choices // 4
-        np.add.at(self.weights, ids[choice == 2], self.GAIN)
-        fresh = (ids << 2).astype(np.int32)
-        for values, at, guess, was in zip((self.second, self.first), (self.slot, self.last), self.guess, self.was):
-            # A hit is surer by one; a miss halves that, and replaces a candidate that is not sure.
-            values[at] = np.where(guess == ids, was + (was & 3 < self.SURE), np.where(was & 3, was - ((was & 3) + 1) // 2, fresh))
+        np.add.at(self.weights, missed, self.GAIN)
+        # A hit is surer by one; a miss halves that, and replaces a candidate that is not sure.
+        case = self.sure + ((self.guess == ids).astype(np.int32) << 2)
+        self.was += self.CHANGE.take(case)
+        np.copyto(self.was, ids << 2, where=case == 0)
+        self.candidates[self.at] = self.was
 
 
 def _lanes(n: int) -> tuple[int, int]:
@@ -168,27 +178,27 @@ def compress(ids: np.ndarray) -> bytes:
     if not n:
         return head
     steps, lanes = _lanes(n)
-    grid = np.zeros(steps * lanes, np.int64)
+    grid = np.zeros(steps * lanes, np.int32)
     grid[:n] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
     tail = n - (lanes - 1) * steps
     coder, models = Coder(lanes), Models(alphabet)
-    before, last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+    before, last = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
     for step in range(steps):
         used = lanes if step < tail else lanes - 1
         if not used:
             break
         x = grid[step, :used]
         models.predict(before[:used], last[:used])
-        choice = np.where(models.guess[0] == x, 0, np.where(models.guess[1] == x, 1, 2))
-        start, share = models.interval(choice)
-        coder.narrow(slice(0, used), start.astype(_U), share.astype(_U), coder.range[:used] >> _CHOICE)
+        choice = np.where(models.guess[0] == x, 0, 2 - (models.guess[1] == x))
+        coder.narrow(slice(0, used), *models.interval(choice), coder.range[:used] >> _CHOICE)
         miss = np.flatnonzero(choice == 2)
+        missed = x[miss].astype(np.int64)
         if len(miss):
-            start = models.cumulative[x[miss]]
-            share = models.cumulative[x[miss] + 1] - start
+            start = models.cumulative[missed]
+            share = models.cumulative[missed + 1] - start
             coder.narrow(miss, start.astype(_U), share.astype(_U), coder.range[miss] // _U(models.cumulative[-1]))
-        models.learn(x, choice)
+        models.learn(x, missed)
         before, last = last, grid[step]
     streams = coder.finish()
     sizes = np.array([len(s) for s in streams], "<u4").tobytes()
@@ -203,41 +213,50 @@ def decompress(data: bytes) -> np.ndarray:
     sizes = np.frombuffer(data, "<u4", lanes, 8)
     streams = np.split(np.frombuffer(data, "<u2", -1, 8 + 4 * lanes), np.cumsum(sizes)[:-1])
     coder, models = Coder(lanes, streams), Models(alphabet)
-    grid = np.zeros((steps, lanes), np.int64)
+    grid = np.zeros((steps, lanes), np.int32)
     tail = n - (lanes - 1) * steps
-    before, last = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+    before, last = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
     for step in range(steps):
         used = lanes if step < tail else lanes - 1
         if not used:
             break
         models.predict(before[:used], last[:used])
         unit = coder.range[:used] >> _CHOICE
-        value = np.minimum((coder.code[:used] - coder.low[:used]) // unit, _U((1 << 12) - 1)).astype(np.int64)
-        choice = (value >= models.bounds[:, 1].take(models.context)).astype(np.int64)
-        choice += value >= models.bounds[:, 2].take(models.context)
+        value = coder.code[:used] - coder.low[:used]
+        choice = (value >= unit * models.starts[:, 1].take(models.context)).astype(np.int64)
+        choice += value >= unit * models.starts[:, 2].take(models.context)
         x = np.where(choice == 0, models.guess[0], models.guess[1])
-        start, share = models.interval(choice)
-        coder.narrow(slice(0, used), start.astype(_U), share.astype(_U), unit)
+        coder.narrow(slice(0, used), *models.interval(choice), unit)
         miss = np.flatnonzero(choice == 2)
+        missed = miss
         if len(miss):
             total = models.cumulative[-1]
             unit = coder.range[miss] // _U(total)
             value = np.minimum((coder.code[miss] - coder.low[miss]) // unit, _U(total - 1)).astype(np.int64)
-            x[miss] = models.find(value)
-            start = models.cumulative[x[miss]]
-            share = models.cumulative[x[miss] + 1] - start
+            missed = models.find(value)
+            x[miss] = missed
+            start = models.cumulative[missed]
+            share = models.cumulative[missed + 1] - start
             coder.narrow(miss, start.astype(_U), share.astype(_U), unit)
-        models.learn(x, choice)
+        models.learn(x, missed)
         grid[step, :used] = x
         before, last = last, grid[step]
-    return grid.T.ravel()[:n] if tail == steps else np.concatenate([grid.T[:-1].ravel(), grid[:tail, -1]])
+    grid = np.ascontiguousarray(grid.T).astype(np.int64)
+    return grid.ravel()[:n]
 
 
 #: What word_bpe_49k.json does before its merges; only then are plain words taken apart from the rest.
 _NORMALIZERS, _SUFFIX = ["NFC", "Replace", "Lowercase"], "</w>"
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Letters that only need lower case, and the marks that are taken off behind them, at most so many.
-_LETTERS, _MARKS, _MOST = "^[A-Za-zªµºÀ-ÖØ-öø-ÿ]+$", '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~', 8
+#: Letters that only need lower case, these in lower case, and the marks taken off behind them, at most so many.
+_LETTERS, _LOWER = "^[A-Za-zªµºÀ-ÖØ-öø-ÿ]+$", "^[a-zªµºß-öø-ÿ]+$"
+_MARKS, _MOST = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~', 8
+
+
+def _runs(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of runs of the given beginnings and sizes, one run after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begins - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
 class Tokeniser:
@@ -267,91 +286,80 @@ class Tokeniser:
             vocabulary = self.lean.get_vocab()
             self.last = np.zeros(max(vocabulary.values()) + 1, bool)
             self.last[[i for t, i in vocabulary.items() if t.endswith(_SUFFIX)]] = True
-        self._forget()
+        # The chunks met, how often, and where the ids of each begin in ``ids`` and how many they are.
+        self.chunks, self.met = pa.array([], pa.large_string()), np.zeros(0, np.int64)
+        self.begins, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
-    def _forget(self) -> None:
-        """``known`` has the place of each chunk in ``sizes``, whose ids lie one after the other."""
-        self.known, self.ids, self.sizes = {}, np.zeros(0, np.int32), np.zeros(0, np.int64)
+    @property
+    def known(self) -> list[str]:
+        return self.chunks.to_pylist()
 
-    def _keep(self, chunks: list[str], ids, sizes) -> None:
-        self.known.update(zip(chunks, range(len(self.sizes), len(self.sizes) + len(chunks))))
-        self.ids = np.concatenate([self.ids, np.asarray(ids, np.int32)])
-        self.sizes = np.concatenate([self.sizes, np.asarray(sizes, np.int64)])
+    def _keep(self, stay: np.ndarray) -> None:
+        """Forget the chunks that don't stay."""
+        self.chunks, self.met = self.chunks.filter(pa.array(stay)), self.met[stay]
+        begins, self.sizes = self.begins[stay], self.sizes[stay]
+        self.ids = self.ids[_runs(begins, self.sizes)]
+        self.begins = np.cumsum(self.sizes) - self.sizes
 
-    def _learn_words(self, words: list[str]) -> None:
-        """Ids of lower-case words of letters; every word ends with a token that says so."""
+    def _forget(self) -> None:
+        """Keep what was met more than once, the most frequent ones if these are many."""
+        half = CACHE // 2
+        least = max(1, int(np.partition(self.met, -half - 1)[-half - 1]))
+        self._keep(self.met > least)
+        self.met //= 2
+
+    def _learn(self, fresh: pa.Array) -> None:
+        """Ids of ``fresh``, which come behind the chunks met; lower-case words of letters by the copy."""
+        plain = pc.match_substring_regex(fresh, _LOWER).to_numpy(zero_copy_only=False) & self.plain
+        words, rest = (fresh.filter(pa.array(some)).to_pylist() for some in (plain, ~plain))
         lines = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
-        ids = np.concatenate([np.array(e.ids, np.int32) for e in self.lean.encode_batch_fast(lines, add_special_tokens=False)])
-        ends = np.flatnonzero(self.last[ids]) + 1
-        if len(ends) != len(words):
+        coded = [np.array(e.ids, np.int32) for e in self.lean.encode_batch_fast(lines, add_special_tokens=False)] if lines else []
+        ids = np.concatenate([np.zeros(0, np.int32), *coded])
+        ends = np.flatnonzero(self.last[ids]) + 1 if lines else np.zeros(0, np.int64)
+        if len(ends) != len(words):  # every word ends with a token that says so
             raise ValueError("the tokeniser does not mark the ends of words")
-        self._keep(words, ids, np.diff(ends, prepend=0))
-
-    def _learn(self, chunks: list[str]) -> None:
-        rest, lowered, fresh, known = [], [], {}, self.known
-        for chunk in chunks:
-            if self.plain and chunk.isalpha() and (chunk.isascii() or max(chunk) < "Ā"):
-                word = chunk.lower()
-                if word != chunk:
-                    lowered.append((chunk, word))
-                if word not in known:
-                    fresh[word] = None
-            else:
-                rest.append(chunk)
-        if fresh:
-            self._learn_words(list(fresh))
-        for chunk, word in lowered:
-            known[chunk] = known[word]
-        if rest:
-            coded = [e.ids for start in range(0, len(rest), 1000)
-                     for e in self.model.encode_batch_fast(rest[start : start + 1000], add_special_tokens=False)]
-            self._keep(rest, [i for ids in coded for i in ids], list(map(len, coded)))
-
-    def _without_marks(self, chunks: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-        """Chunks without the marks behind plain words, which chunks had some, and their places."""
-        heads = pc.utf8_rtrim(chunks, _MARKS)
+        coded = [e.ids for start in range(0, len(rest), 1000)
+                 for e in self.model.encode_batch_fast(rest[start : start + 1000], add_special_tokens=False)]
+        sizes = np.concatenate([np.diff(ends, prepend=0), np.fromiter(map(len, coded), np.int64, len(coded))])
+        order = np.argsort(np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)]))
+        self.begins = np.concatenate([self.begins, (len(self.ids) + np.cumsum(sizes) - sizes)[order]])
+        self.sizes = np.concatenate([self.sizes, sizes[order]])
+        self.ids = np.concatenate([self.ids, ids, np.array([i for some in coded for i in some], np.int32)])
+
+    def _apart(self, chunks: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Chunks with plain words in lower case and the marks behind them as chunks of their own; the chunks that had some."""
+        if not self.plain:
+            return chunks, np.zeros(0, np.int64)
+        heads = pc.ascii_rtrim(chunks, _MARKS)
         cut = (pc.binary_length(chunks).to_numpy() - pc.binary_length(heads).to_numpy()).astype(np.int64)
-        at = np.flatnonzero((cut > 0) & (cut <= _MOST))
-        at = at[pc.match_substring_regex(heads.take(pa.array(at)), _LETTERS).to_numpy(zero_copy_only=False)]
-        if not self.plain or not len(at):
-            return chunks, at[:0], at[:0]
-        data, offsets = text_bytes(chunks)
-        cut, ends, marks = cut[at], offsets[at + 1], np.zeros(len(at), np.uint64)
-        for k in range(int(cut.max())):
-            some = np.flatnonzero(cut > k)
-            marks[some] |= data[ends[some] - 1 - k].astype(np.uint64) << np.uint64(8 * k)
-        kinds, which = np.unique(marks, return_inverse=True)
-        tails = [k.to_bytes(_MOST, "big").lstrip(b"\0").decode() for k in kinds.tolist()]
-        self._learn([t for t in tails if t not in self.known])
-        mask = np.zeros(len(chunks), bool)
-        mask[at] = True
-        return pc.if_else(pa.array(mask), heads, chunks), at, np.array([self.known[t] for t in tails], np.int64)[which]
+        plain = pc.match_substring_regex(heads, _LETTERS).to_numpy(zero_copy_only=False) & (cut <= _MOST)
+        # Lower case leaves the marks and, for these letters, the number of bytes as they are.
+        data, offsets = text_bytes(pc.if_else(pa.array(plain), pc.utf8_lower(chunks), chunks))
+        at = np.flatnonzero(plain & (cut > 0))
+        offsets = np.insert(offsets, at + 1, offsets[at + 1] - cut[at])
+        return pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(data)), at
 
     def __call__(self, texts: pa.Array, end: int | None = END) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, ``end`` after each text, and the n + 1 offsets."""
-        if len(self.known) > CACHE:
+        if len(self.chunks) > CACHE:
             self._forget()
         split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
-        heads, at, tails = self._without_marks(split.flatten())
-        coded = heads.dictionary_encode()
-        chunks = coded.dictionary.to_pylist()
-        fresh = [c for c in chunks if c not in self.known]
-        self._learn([c for c in fresh if len(c) <= LONG])
-        kept, long = (self.ids, self.sizes), [c for c in fresh if len(c) > LONG]
-        self._learn(long)
-        places = np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))
-        places = np.insert(places[coded.indices.to_numpy(zero_copy_only=False)], at + 1, tails)
+        chunks, at = self._apart(split.flatten())
+        # The chunks met come first and so keep their places; the new ones follow.
+        met = len(self.chunks)
+        coded = pa.concat_arrays([self.chunks, chunks]).dictionary_encode()
+        self.chunks = coded.dictionary
+        self._learn(self.chunks.slice(met))
+        places = coded.indices.to_numpy(zero_copy_only=False)[met:]
+        self.met = np.bincount(places, minlength=len(self.chunks)) + np.pad(self.met, (0, len(self.chunks) - met))
         each = self.sizes[places]
-        ends = np.cumsum(each)
-        begins = np.cumsum(self.sizes) - self.sizes
-        ids = self.ids[np.repeat(begins[places] - (ends - each), each) + np.arange(int(ends[-1]) if len(ends) else 0)]
-        if long:
-            for chunk in long:
-                self.known.pop(chunk, None)
-                self.known.pop(chunk.lower(), None)
-            self.ids, self.sizes = kept
+        ends = np.concatenate([[0], np.cumsum(each)])
+        ids = self.ids[_runs(self.begins[places], each)]
+        long = pc.utf8_length(self.chunks).to_numpy(zero_copy_only=False) > LONG
+        if long.any():
+            self._keep(~long)
         stops = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
-        offsets = np.concatenate([[0], ends])[stops + np.searchsorted(at, stops)]
+        offsets = ends[stops + np.searchsorted(at, stops)]
         if end is None:
             return ids, offsets
         return np.insert(ids, offsets[1:], end), offsets + np.arange(len(offsets))

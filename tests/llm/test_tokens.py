@@ -99,3 +99,46 @@ def test_blocks_end_with_the_document_that_fills_them(spark, docs, tmp_path, mon
     tk.write(docs([(i, "a b c") for i in range(240)]), f"{tmp_path}/b")
     sizes = [r.n_ids for r in spark.read.parquet(f"{tmp_path}/b").collect()]
     assert sum(sizes) == 960 and max(sizes) == 12
+
+
+def test_words_share_their_lower_case_and_marks_are_apart():
+    tokenise = tk.Tokeniser()
+    letters = [chr(c) for c in range(0xAA, 0x100) if chr(c).isalpha()]
+    texts = ["That THAT, that that!!", "Été ÉTÉ été.", " ".join(letters), " ".join(c + "X;" for c in letters), "x" + "".join(letters)]
+    ids, offsets = tokenise(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [ids_of(t) for t in texts]
+    assert tokenise.known[:4] == ["that", ",", "!!", "été"]
+    assert not [c for c in tokenise.known if c != c.lower()]
+
+
+def test_frequent_chunks_outlast_the_cache(monkeypatch):
+    monkeypatch.setattr(tk, "CACHE", 8)
+    tokenise, asked = tk.Tokeniser(), []
+
+    class Library:
+        def encode_batch_fast(self, lines, **options):
+            asked.extend(" ".join(lines).split())
+            return lean.encode_batch_fast(lines, **options)
+
+    lean, tokenise.lean = tokenise.lean, Library()
+    for k in range(6):
+        text = "often often also also " + " ".join(f"rare{'abcdefgh'[j]}{'uvwxyz'[k]}" for j in range(8))
+        ids, _ = tokenise(pa.array([text]))
+        assert ids.tolist() == ids_of(text)
+    assert asked.count("often") == asked.count("also") == 1 and len(asked) == 50
+    assert len(tokenise.known) <= 4 + 8
+
+
+def test_lookup_of_order_0_equals_plain_search():
+    rng = np.random.default_rng(2)
+    models = tk.Models(1000)
+    models.cumulative[1:] = np.cumsum(rng.integers(1, 1 << 40, 1000))
+    for n in (1, 2, 4095, 4096):
+        values = rng.integers(0, models.cumulative[-1], n)
+        assert models.find(values).tolist() == (np.searchsorted(models.cumulative, values, "right") - 1).tolist()
+
+
+def test_coded_bytes_stay_as_they_were():
+    ids = np.random.default_rng(5).zipf(1.2, 70_000) % 49408
+    ids[20_000:40_000] = ids[:20_000]
+    assert zlib.crc32(tk.compress(ids)) == 3446449305
