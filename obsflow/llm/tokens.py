@@ -51,17 +51,16 @@ _U = np.uint64
 
 
 class Coder:
-    """Ranges of all lanes; ``words`` out (encoding) or in (decoding)."""
+    """Ranges of all lanes; ``words`` out (encoding) or in (decoding, given with the number of each lane)."""
 
-    def __init__(self, lanes: int, streams: list[np.ndarray] | None = None):
+    def __init__(self, lanes: int, words: np.ndarray | None = None, sizes: np.ndarray | None = None):
         self.low = np.zeros(lanes, _U)
         self.range = np.full(lanes, 0xFFFFFFFFFFFFFFFF, _U)
         self.at = np.zeros(lanes, np.int64)
-        self.decoding = streams is not None
+        self.decoding = words is not None
         if self.decoding:
-            self.words = np.zeros((lanes, max(map(len, streams)) + 4), np.uint16)
-            for row, stream in zip(self.words, streams):
-                row[: len(stream)] = stream
+            self.words = np.zeros((lanes, int(sizes.max()) + 4), np.uint16)
+            self.words[np.arange(self.words.shape[1]) < sizes[:, None]] = words
             self.code = np.zeros(lanes, _U)
             for k in range(4):
                 self.code = self.code << _U(16) | self.words[:, k].astype(_U)
@@ -85,11 +84,12 @@ class Coder:
             if len(cut):
                 wide[cut] = (_U(0) - some[cut]) & (_LEAST - _U(1))
             place = self.at[rows]
+            self.at[rows] = place + 1
+            place += rows * self.words.shape[1]
             if self.decoding:
-                self.code[rows] = self.code[rows] << _U(16) | self.words[rows, place].astype(_U)
+                self.code[rows] = self.code[rows] << _U(16) | self.words.ravel().take(place)
             else:
-                self.words[rows, place] = some >> _U(48)
-            self.at[rows] = place + 1
+                self.words.ravel()[place] = some >> _U(48)
             some, wide = some << _U(16), wide << _U(16)
             low[at], width[at] = some, wide
             differ = some ^ (some + wide)
@@ -97,13 +97,14 @@ class Coder:
             at, differ = at[more], differ[more]
         self.low[lanes], self.range[lanes] = low, width
 
-    def finish(self) -> list[np.ndarray]:
+    def finish(self) -> tuple[np.ndarray, np.ndarray]:
+        """Words of all lanes, one lane after the other, and the number of each."""
         for k in range(4):
             if self.at.max() + 1 > self.words.shape[1]:
                 self.words = np.concatenate([self.words, np.zeros_like(self.words)], axis=1)
             self.words[np.arange(len(self.at)), self.at] = (self.low >> _U(48 - 16 * k)) & _U(0xFFFF)
             self.at += 1
-        return [row[:n] for row, n in zip(self.words, self.at.tolist())]
+        return self.words[np.arange(self.words.shape[1]) < self.at[:, None]], self.at
 
 
 class Models:
@@ -133,10 +134,11 @@ class Models:
         if self.steps % self.REBUILD == 0:
             np.cumsum(self.weights, out=self.cumulative[1:])
         self.steps += 1
-        shares = 1 + self.choices * ((1 << 12) - 3) // self.choices.sum(axis=1, keepdims=True)
-        shares[:, 2] += (1 << 12) - shares.sum(axis=1)
-        self.shares = shares.astype(_U)
-        self.starts = np.cumsum(self.shares, axis=1) - self.shares
+        self.starts, self.shares = np.zeros((32, 3), _U), np.empty((32, 3), _U)
+        self.shares[:, :2] = 1 + self.choices[:, :2] * ((1 << 12) - 3) // self.choices.sum(axis=1, keepdims=True)
+        self.starts[:, 1] = self.shares[:, 0]
+        self.starts[:, 2] = self.shares[:, 0] + self.shares[:, 1]
+        self.shares[:, 2] = _U(1 << 12) - self.starts[:, 2]
 
     def interval(self, choice: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and width of each lane's choice."""
@@ -200,9 +202,8 @@ def compress(ids: np.ndarray) -> bytes:
             coder.narrow(miss, start.astype(_U), share.astype(_U), coder.range[miss] // _U(models.cumulative[-1]))
         models.learn(x, missed)
         before, last = last, grid[step]
-    streams = coder.finish()
-    sizes = np.array([len(s) for s in streams], "<u4").tobytes()
-    return head + sizes + np.concatenate(streams).astype("<u2").tobytes()
+    words, sizes = coder.finish()
+    return head + sizes.astype("<u4").tobytes() + words.astype("<u2").tobytes()
 
 
 def decompress(data: bytes) -> np.ndarray:
@@ -211,8 +212,7 @@ def decompress(data: bytes) -> np.ndarray:
         return np.zeros(0, np.int64)
     steps, lanes = _lanes(n)
     sizes = np.frombuffer(data, "<u4", lanes, 8)
-    streams = np.split(np.frombuffer(data, "<u2", -1, 8 + 4 * lanes), np.cumsum(sizes)[:-1])
-    coder, models = Coder(lanes, streams), Models(alphabet)
+    coder, models = Coder(lanes, np.frombuffer(data, "<u2", -1, 8 + 4 * lanes), sizes), Models(alphabet)
     grid = np.zeros((steps, lanes), np.int32)
     tail = n - (lanes - 1) * steps
     before, last = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
@@ -241,8 +241,7 @@ def decompress(data: bytes) -> np.ndarray:
         models.learn(x, missed)
         grid[step, :used] = x
         before, last = last, grid[step]
-    grid = np.ascontiguousarray(grid.T).astype(np.int64)
-    return grid.ravel()[:n]
+    return grid.T.astype(np.int64, order="C").ravel()[:n]
 
 
 #: What word_bpe_49k.json does before its merges; only then are plain words taken apart from the rest.
