@@ -293,12 +293,15 @@ class Tokeniser:
     def known(self) -> list[str]:
         return self.chunks.to_pylist()
 
-    def _keep(self, stay: np.ndarray) -> None:
-        """Forget the chunks that don't stay."""
-        self.chunks, self.met = self.chunks.filter(pa.array(stay)), self.met[stay]
-        begins, self.sizes = self.begins[stay], self.sizes[stay]
-        self.ids = self.ids[_runs(begins, self.sizes)]
-        self.begins = np.cumsum(self.sizes) - self.sizes
+    def _keep(self, stay: np.ndarray, start: int = 0) -> None:
+        """Forget the chunks from ``start`` on that don't stay; their ids are the last ones."""
+        at = np.flatnonzero(stay) + start
+        sizes, first = self.sizes[at], len(self.ids) - int(self.sizes[start:].sum())
+        self.ids = np.concatenate([self.ids[:first], self.ids[_runs(self.begins[at], sizes)]])
+        self.begins = np.concatenate([self.begins[:start], first + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes[:start], sizes])
+        self.met = np.concatenate([self.met[:start], self.met[at]])
+        self.chunks = pa.concat_arrays([self.chunks.slice(0, start), self.chunks.take(pa.array(at))])
 
     def _forget(self) -> None:
         """Keep what was met more than once, the most frequent ones if these are many."""
@@ -354,9 +357,9 @@ class Tokeniser:
         each = self.sizes[places]
         ends = np.concatenate([[0], np.cumsum(each)])
         ids = self.ids[_runs(self.begins[places], each)]
-        long = pc.utf8_length(self.chunks).to_numpy(zero_copy_only=False) > LONG
+        long = pc.utf8_length(self.chunks.slice(met)).to_numpy(zero_copy_only=False) > LONG
         if long.any():
-            self._keep(~long)
+            self._keep(~long, met)
         stops = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
         offsets = ends[stops + np.searchsorted(at, stops)]
         if end is None:

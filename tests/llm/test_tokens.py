@@ -129,6 +129,15 @@ def test_frequent_chunks_outlast_the_cache(monkeypatch):
     assert len(tokenise.known) <= 4 + 8
 
 
+def test_long_chunks_go_and_leave_the_others_in_place():
+    tokenise = tk.Tokeniser()
+    for text in ("some words", "L" * 90 + " more, é" + "l" * 70 + "9 words 日本", "words 日本 " + "z" * 65 + "! more some"):
+        ids, _ = tokenise(pa.array([text]))
+        assert ids.tolist() == ids_of(text)
+    assert tokenise.known == ["some", "words", "more", ",", "日本", "!"]
+    assert len(tokenise.ids) == tokenise.sizes.sum() and len(tokenise.met) == 6
+
+
 def test_lookup_of_order_0_equals_plain_search():
     rng = np.random.default_rng(2)
     models = tk.Models(1000)
