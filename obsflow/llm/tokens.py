@@ -15,7 +15,8 @@ The files are Parquet folders of blocks: part and block number, ids before the b
 ids of documents and their lengths, coded bytes, checksum.
 
 Text is tokenised by white-space chunks, which a tokeniser that never joins across white space
-codes one by one; each worker keeps the chunks it has met, up to about ``CACHE`` of them.
+codes one by one; each worker keeps the chunks it has met, up to about ``CACHE`` of them, and then
+those met more than once.
 
 Defined results: a null text is empty; an empty text has only the end id; rows that repeat are
 documents of their own; null ids come last; texts of any length are whole in one block. An empty
@@ -255,7 +256,9 @@ _MARKS, _MOST = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~', 8
 def _runs(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Places of runs of the given beginnings and sizes, one run after the other."""
     ends = np.cumsum(sizes)
-    return np.repeat(begins - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+    places = np.repeat(begins - (ends - sizes), sizes)
+    places += np.arange(len(places))
+    return places
 
 
 class Tokeniser:
